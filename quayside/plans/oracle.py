@@ -106,7 +106,7 @@ def oracle(name: str, body: str) -> None:
     ORACLES[name] = with_ctes(body)
 
 
-oracle("trade_cart_add", """
+CART_ADD = """
 SELECT c.id, c.user_id, c.sku_id, c.source_id, c.source_type AS source_type_code,
        d.dic_name AS source_type_name,
        CASE WHEN c.type = 'insert' THEN c.sku_num
@@ -116,7 +116,8 @@ SELECT c.id, c.user_id, c.sku_id, c.source_id, c.source_type AS source_type_code
 FROM cart c JOIN dic d ON c.source_type = d.dic_code
 WHERE c.type = 'insert'
    OR (c.type = 'update' AND c.old_sku_num IS NOT NULL
-       AND TRY_CAST(c.sku_num AS INTEGER) > TRY_CAST(c.old_sku_num AS INTEGER))""")
+       AND TRY_CAST(c.sku_num AS INTEGER) > TRY_CAST(c.old_sku_num AS INTEGER))"""
+oracle("trade_cart_add", CART_ADD)
 
 # order detail ⋈ order ⟕ activity ⟕ coupon ⋈ dictionary
 ORDER_DETAIL_SELECT = """
@@ -134,3 +135,114 @@ JOIN dic d ON od.source_type = d.dic_code"""
 CTES["tod"] = ORDER_DETAIL_SELECT
 
 oracle("trade_order_detail", "SELECT * FROM tod")
+
+# Every record of the replayed change log: database, table, type, ts, whether
+# `old` is present, and the number of `data` fields (NULL: text not JSON).
+CTES["topic"] = """
+SELECT 'shop' AS database, 'cart_info' AS "table", type, ts,
+       type = 'update' AS has_old, 6 AS n_fields FROM cart
+UNION ALL SELECT NULL, NULL, NULL, NULL, false, NULL FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'other_shop', 'cart_info', 'insert', CAST(epoch_us(ts) // 1000000 AS BIGINT),
+       false, 2 FROM events WHERE event_id % 97 <> 0 AND event_id % 101 = 0
+UNION ALL SELECT 'shop', 'cart_info', 'insert', CAST(epoch_us(ts) // 1000000 AS BIGINT),
+       false, 0 FROM events
+       WHERE event_id % 97 <> 0 AND event_id % 101 <> 0 AND event_id % 103 = 0
+UNION ALL SELECT 'shop', 'order_info', 'insert', ts, false, 4 FROM oi
+UNION ALL SELECT 'shop', 'order_info', 'update', ts, true, 4 FROM oi WHERE new_status IS NOT NULL
+UNION ALL SELECT 'shop', 'order_detail', 'insert', ts, false, 12 FROM od
+UNION ALL SELECT 'shop', 'order_detail_activity', 'insert', ots, false, 3
+       FROM li WHERE l_returnflag = 'A'
+UNION ALL SELECT 'shop', 'order_detail_coupon', 'insert', ots, false, 2
+       FROM li WHERE l_linestatus = 'F'
+UNION ALL SELECT 'shop', 'payment_info', 'update', ts, true, 5 FROM pay
+UNION ALL SELECT 'shop', 'order_refund_info', 'insert', ts, false, 11 FROM ri
+UNION ALL SELECT 'shop', 'refund_payment', 'insert', ts, false, 7 FROM rp
+UNION ALL SELECT 'shop', 'user_info', 'insert', 0, false, 4 FROM customer
+UNION ALL SELECT 'shop', 'user_info', 'update', 1, true, 4 FROM customer WHERE c_custkey % 10 = 0
+UNION ALL SELECT 'shop', 'sku_info', 'bootstrap-insert', 0, false, 4 FROM part
+UNION ALL SELECT 'shop', 'base_province', 'insert', 0, false, 3 FROM nation
+UNION ALL SELECT 'shop', 'supplier_info', 'insert', 0, false, 2 FROM supplier"""
+
+oracle("ods_envelope_parse", """
+SELECT database, "table", type, count(*) AS n, CAST(COALESCE(sum(ts), 0) AS BIGINT) AS sum_ts,
+       CAST(count(*) FILTER (WHERE has_old) AS BIGINT) AS n_old,
+       CAST(sum(COALESCE(n_fields, 0)) AS BIGINT) AS n_fields
+FROM topic GROUP BY ALL""")
+
+oracle("ods_clean", """
+SELECT "table", regexp_replace(type, '^bootstrap-', '') AS type, count(*) AS n,
+       CAST(sum(ts) AS BIGINT) AS sum_ts, CAST(sum(n_fields) AS BIGINT) AS n_fields
+FROM topic
+WHERE database = 'shop' AND regexp_replace(type, '^bootstrap-', '') IN ('insert', 'update')
+  AND n_fields > 0
+GROUP BY ALL""")
+
+oracle("order_info_inserts", "SELECT id, user_id, province_id, ts FROM oi")
+
+oracle("payment_success", """
+SELECT user_id, order_id, payment_type, callback_time, ts FROM pay WHERE status_changed""")
+
+oracle("order_status_1005", """
+SELECT id, user_id, province_id, ts FROM oi WHERE new_status = '1005'""")
+
+oracle("order_status_1006", """
+SELECT id, user_id, province_id, ts FROM oi WHERE new_status = '1006'""")
+
+oracle("order_detail_amount", "SELECT id, sku_num, split_original_amount FROM od")
+
+oracle("order_detail_date_id", """
+SELECT id, create_time, strftime(CAST(create_time AS TIMESTAMP), '%Y-%m-%d') AS date_id FROM od""")
+
+oracle("lookup_join_dic", """
+SELECT od.id, od.source_type AS source_type_code, d.dic_name AS source_type_name
+FROM od JOIN dic d ON od.source_type = d.dic_code""")
+
+oracle("order_detail_join_info", """
+SELECT od.id, od.order_id, oi.user_id, oi.province_id FROM od JOIN oi ON od.order_id = oi.id""")
+
+oracle("order_detail_left_joins", """
+SELECT od.id, act.activity_id, act.activity_rule_id, cou.coupon_id
+FROM od LEFT JOIN act ON od.id = act.order_detail_id
+LEFT JOIN cou ON od.id = cou.order_detail_id""")
+
+oracle("refund_pay_join_refund", """
+SELECT rp.id, rp.order_id, rp.sku_id, ri.refund_num, rp.total_amount
+FROM rp JOIN ri ON rp.order_id = ri.order_id AND rp.sku_id = ri.sku_id""")
+
+PAY_SELECT = """
+SELECT tod.id AS order_detail_id, tod.order_id, tod.user_id, tod.sku_id, tod.sku_name,
+       tod.province_id, tod.activity_id, tod.activity_rule_id, tod.coupon_id,
+       p.payment_type AS payment_type_code, d.dic_name AS payment_type_name, p.callback_time,
+       tod.source_id, tod.source_type_code, tod.source_type_name, tod.sku_num,
+       tod.split_original_amount, tod.split_activity_amount, tod.split_coupon_amount,
+       tod.split_total_amount AS split_payment_amount, p.ts
+FROM tod JOIN pay p ON tod.order_id = p.order_id AND p.status_changed {bound}
+JOIN dic d ON p.payment_type = d.dic_code"""
+
+oracle("trade_pay_detail_suc", PAY_SELECT.format(bound=""))
+oracle("pay_within_ttl", PAY_SELECT.format(
+    bound="AND p.ts BETWEEN tod.ts - 1805 AND tod.ts + 1805"))
+
+oracle("trade_order_refund", """
+SELECT ri.id, ri.user_id, ri.order_id, ri.sku_id, o.province_id,
+       strftime(CAST(ri.create_time AS TIMESTAMP), '%Y-%m-%d') AS date_id, ri.create_time,
+       ri.refund_type AS refund_type_code, d1.dic_name AS refund_type_name,
+       ri.refund_reason_type AS refund_reason_type_code, d2.dic_name AS refund_reason_type_name,
+       ri.refund_reason_txt, ri.refund_num, ri.refund_amount, ri.ts
+FROM ri JOIN oi o ON ri.order_id = o.id AND o.new_status = '1005'
+JOIN dic d1 ON ri.refund_type = d1.dic_code
+JOIN dic d2 ON ri.refund_reason_type = d2.dic_code""")
+
+oracle("trade_refund_pay_suc", """
+SELECT rp.id, o.user_id, rp.order_id, rp.sku_id, o.province_id,
+       rp.payment_type AS payment_type_code, d.dic_name AS payment_type_name,
+       strftime(CAST(rp.callback_time AS TIMESTAMP), '%Y-%m-%d') AS date_id, rp.callback_time,
+       r.refund_num, rp.total_amount AS refund_amount, rp.ts
+FROM rp JOIN ri r ON rp.order_id = r.order_id AND rp.sku_id = r.sku_id
+JOIN oi o ON rp.order_id = o.id AND o.new_status = '1006'
+JOIN dic d ON rp.payment_type = d.dic_code""")
+
+oracle("upsert_latest_by_key", """
+SELECT * REPLACE (COALESCE(coupon_id, 'x') AS coupon_id) FROM tod""")
+
+oracle("dwd_json_sink_roundtrip", CART_ADD)

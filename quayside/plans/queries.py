@@ -13,10 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.times import day_of_text
 from quayside.operators import trade
+from quayside.operators.cdc import changes, clean_ods, fields, transitioned
+from quayside.operators.lookup import lookup
+from quayside.operators.upsert import latest_by_key
+from quayside.schemas import DWD_TRADE_CART_ADD, DWD_TRADE_ORDER_DETAIL
 from quayside.sources import replay
 from quayside.sources.dictionary import base_dic
 from quayside.sources.ods import parse_ods_db
+from quayside.sources.sinks import json_records, read_json_records, upsert_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +38,11 @@ def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_ods_db(replay.ods_db(spark, sf_dir))
 
 
+def with_event_time(df: DataFrame) -> DataFrame:
+    """`event_time` from the epoch-seconds `ts` (for bounded joins)."""
+    return df.withColumn(trade.EVENT_TIME, F.timestamp_seconds(F.col("ts")))
+
+
 # -- trade ----------------------------------------------------------------------
 
 @query
@@ -42,3 +53,141 @@ def trade_cart_add(spark, sf_dir):
 @query
 def trade_order_detail(spark, sf_dir):
     return trade.trade_order_detail(ods(spark, sf_dir), base_dic(spark)).drop("row_op_ts")
+
+
+def order_detail_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`dwd_trade_order_detail` as the payment job reads it: written as an
+    upsert topic (JSON key/value), parsed back, last version per `id`."""
+    od = trade.trade_order_detail(ods(spark, sf_dir), base_dic(spark))
+    topic = read_json_records(upsert_records(od, "id"), DWD_TRADE_ORDER_DETAIL)
+    return latest_by_key(topic, "id", ["row_op_ts", "ts"])
+
+
+@query
+def trade_pay_detail_suc(spark, sf_dir):
+    od = order_detail_topic(spark, sf_dir)
+    return trade.trade_pay_detail_suc(od, ods(spark, sf_dir), base_dic(spark)).drop("row_op_ts")
+
+
+@query
+def pay_within_ttl(spark, sf_dir):
+    """Payment success where payment and order detail are at most the
+    reference's state retention (1,805 s) apart."""
+    od = with_event_time(order_detail_topic(spark, sf_dir))
+    return trade.trade_pay_detail_suc(
+        od, with_event_time(ods(spark, sf_dir)), base_dic(spark),
+        bound=trade.PAYMENT_BOUND_SECONDS).drop("row_op_ts")
+
+
+@query
+def trade_order_refund(spark, sf_dir):
+    return trade.trade_order_refund(ods(spark, sf_dir), base_dic(spark)).drop("row_op_ts")
+
+
+@query
+def trade_refund_pay_suc(spark, sf_dir):
+    return trade.trade_refund_pay_suc(ods(spark, sf_dir), base_dic(spark)).drop("row_op_ts")
+
+
+# -- change-log building blocks -----------------------------------------------
+
+@query
+def ods_envelope_parse(spark, sf_dir):
+    """Every record of the topic parsed; one row per (database, table, type).
+    Text that is not JSON lands in the all-NULL group with zero sums."""
+    return ods(spark, sf_dir).groupBy("database", "table", "type").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("ts"), F.lit(0)).alias("sum_ts"),
+        F.count("old").alias("n_old"),
+        F.sum(F.coalesce(F.size("data"), F.lit(0))).cast("bigint").alias("n_fields"))
+
+
+@query
+def ods_clean(spark, sf_dir):
+    return clean_ods(ods(spark, sf_dir)).groupBy("table", "type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ts").alias("sum_ts"),
+        F.sum(F.size("data")).cast("bigint").alias("n_fields"))
+
+
+@query
+def order_info_inserts(spark, sf_dir):
+    return changes(ods(spark, sf_dir), "order_info", ("insert",)).select(
+        *fields("id", "user_id", "province_id"), "ts")
+
+
+@query
+def payment_success(spark, sf_dir):
+    return trade.payment_successes(ods(spark, sf_dir))
+
+
+@query
+def order_status_1005(spark, sf_dir):
+    return transitioned(ods(spark, sf_dir), "order_info", "order_status", "1005").select(
+        *fields("id", "user_id", "province_id"), "ts")
+
+
+@query
+def order_status_1006(spark, sf_dir):
+    return transitioned(ods(spark, sf_dir), "order_info", "order_status", "1006").select(
+        *fields("id", "user_id", "province_id"), "ts")
+
+
+@query
+def order_detail_amount(spark, sf_dir):
+    return trade.order_details(ods(spark, sf_dir)).select(
+        "id", "sku_num", "split_original_amount")
+
+
+@query
+def order_detail_date_id(spark, sf_dir):
+    return trade.order_details(ods(spark, sf_dir)).select(
+        "id", "create_time", day_of_text(F.col("create_time")).alias("date_id"))
+
+
+@query
+def lookup_join_dic(spark, sf_dir):
+    od = trade.order_details(ods(spark, sf_dir))
+    return lookup(od, base_dic(spark), "source_type", "source_type_name").select(
+        "id", F.col("source_type").alias("source_type_code"), "source_type_name")
+
+
+@query
+def order_detail_join_info(spark, sf_dir):
+    o = ods(spark, sf_dir)
+    return trade.join_order_info(trade.order_details(o), trade.order_infos(o)).select(
+        "id", "order_id", "user_id", "province_id")
+
+
+@query
+def order_detail_left_joins(spark, sf_dir):
+    o = ods(spark, sf_dir)
+    return trade.join_activity_coupon(
+        trade.order_details(o), trade.detail_activities(o), trade.detail_coupons(o)).select(
+        "id", "activity_id", "activity_rule_id", "coupon_id")
+
+
+@query
+def refund_pay_join_refund(spark, sf_dir):
+    o = ods(spark, sf_dir)
+    return trade.join_refund_lines(trade.refund_payments(o), trade.refund_lines(o)).select(
+        "id", "order_id", "sku_id", "refund_num", "total_amount")
+
+
+@query
+def upsert_latest_by_key(spark, sf_dir):
+    """Two versions of every order-detail row on the upsert topic: the first
+    without coupon, the second one second later with the coupon filled in
+    (`'x'` where there is none); readers must see only the second."""
+    od = trade.trade_order_detail(ods(spark, sf_dir), base_dic(spark),
+                                  row_op_ts=F.timestamp_seconds(F.col("ts")))
+    later = (od.withColumn("coupon_id", F.coalesce("coupon_id", F.lit("x")))
+               .withColumn("row_op_ts", F.col("row_op_ts") + F.expr("INTERVAL 1 SECOND")))
+    topic = read_json_records(upsert_records(od.unionByName(later), "id"),
+                              DWD_TRADE_ORDER_DETAIL)
+    return latest_by_key(topic, "id", ["row_op_ts", "ts"]).drop("row_op_ts")
+
+
+@query
+def dwd_json_sink_roundtrip(spark, sf_dir):
+    """Cart additions written as JSON topic text and read back."""
+    ca = trade.trade_cart_add(ods(spark, sf_dir), base_dic(spark))
+    return read_json_records(json_records(ca), DWD_TRADE_CART_ADD)
