@@ -246,3 +246,49 @@ oracle("upsert_latest_by_key", """
 SELECT * REPLACE (COALESCE(coupon_id, 'x') AS coupon_id) FROM tod""")
 
 oracle("dwd_json_sink_roundtrip", CART_ADD)
+
+# Tracking log: one record per event; `is_new` repaired per device by its
+# first record in arrival order (ts millis, then event id).
+CTES["lg"] = """
+SELECT event_id, event_type, 'm' || CAST(user_id AS VARCHAR) AS mid,
+       CAST(user_id AS VARCHAR) AS uid,
+       CASE WHEN event_id % 3 = 0 THEN '0' ELSE '1' END AS is_new0,
+       CAST(epoch_us(ts) // 1000 AS BIGINT) AS ms,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       strftime(ts, '%Y-%m-%d') AS day
+FROM events"""
+CTES["lgr"] = """
+SELECT *, CASE WHEN is_new0 = '1' AND day <> first_day THEN '0' ELSE is_new0 END AS is_new
+FROM (SELECT *, first_value(CASE WHEN is_new0 = '1' THEN day
+                 ELSE strftime(CAST(day AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') END)
+             OVER (PARTITION BY mid ORDER BY ms, event_id) AS first_day
+      FROM lg)"""
+
+oracle("log_etl_clean", """
+SELECT mid, uid, is_new0 AS is_new, CASE WHEN event_type <> 'signup' THEN event_type END AS page_id,
+       ms AS ts FROM lg""")
+oracle("is_new_repair", "SELECT mid, uid, is_new, ms AS ts FROM lgr")
+oracle("traffic_start", """
+SELECT mid, uid, is_new, CAST(k AS VARCHAR) AS entry, ms AS ts FROM lgr WHERE event_type = 'signup'""")
+CTES["disp"] = """
+SELECT mid, uid, is_new, CAST(k + i AS VARCHAR) AS item, CAST(i AS VARCHAR) AS "order", ms AS ts
+FROM lgr, LATERAL (SELECT unnest(generate_series(1, CASE WHEN event_type = 'view'
+                                                      THEN 1 + k % 3 ELSE 1 END)) AS i)
+WHERE event_type IN ('view', 'error')"""
+CTES["acts"] = """
+SELECT mid, uid, is_new, CAST(i AS VARCHAR) AS action_id, ms + i AS ts
+FROM lgr, LATERAL (SELECT unnest(generate_series(1, 1 + k % 2)) AS i)
+WHERE event_type = 'click'"""
+oracle("traffic_display", "SELECT * FROM disp")
+oracle("traffic_action", "SELECT * FROM acts")
+oracle("traffic_error", """
+SELECT mid, uid, is_new, event_type AS page_id, CAST(k AS VARCHAR) AS err_code, ms AS ts
+FROM lgr WHERE event_type = 'error'""")
+oracle("traffic_page", """
+SELECT mid, uid, is_new, event_type AS page_id, ms AS ts FROM lgr WHERE event_type <> 'signup'""")
+oracle("traffic_topic_counts", """
+SELECT 'dwd_traffic_start' AS topic, count(*) AS n FROM lgr WHERE event_type = 'signup'
+UNION ALL SELECT 'dwd_traffic_display', count(*) FROM disp
+UNION ALL SELECT 'dwd_traffic_action', count(*) FROM acts
+UNION ALL SELECT 'dwd_traffic_err', count(*) FROM lgr WHERE event_type = 'error'
+UNION ALL SELECT 'dwd_traffic_page', count(*) FROM lgr WHERE event_type <> 'signup'""")

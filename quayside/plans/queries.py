@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.times import day_of_text
-from quayside.operators import trade
+from quayside.operators import traffic, trade
 from quayside.operators.cdc import changes, clean_ods, fields, transitioned
 from quayside.operators.lookup import lookup
 from quayside.operators.upsert import latest_by_key
 from quayside.schemas import DWD_TRADE_CART_ADD, DWD_TRADE_ORDER_DETAIL
 from quayside.sources import replay
 from quayside.sources.dictionary import base_dic
+from quayside.sources.logs import clean_log
 from quayside.sources.ods import parse_ods_db
 from quayside.sources.sinks import json_records, read_json_records, upsert_records
 
@@ -191,3 +192,77 @@ def dwd_json_sink_roundtrip(spark, sf_dir):
     """Cart additions written as JSON topic text and read back."""
     ca = trade.trade_cart_add(ods(spark, sf_dir), base_dic(spark))
     return read_json_records(json_records(ca), DWD_TRADE_CART_ADD)
+
+
+# -- traffic (tracking log) -----------------------------------------------------
+
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.ods_log(spark, sf_dir)
+
+
+def repaired_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return traffic.repair_is_new(clean_log(raw_log(spark, sf_dir)))
+
+
+def _common(*keys: str):
+    return [F.col("common")[k].alias(k) for k in keys]
+
+
+@query
+def log_etl_clean(spark, sf_dir):
+    """Valid log records (JSON objects with a device id)."""
+    lg = clean_log(raw_log(spark, sf_dir))
+    return lg.select(*_common("mid", "uid", "is_new"), F.col("page")["page_id"].alias("page_id"),
+                     "ts")
+
+
+@query
+def is_new_repair(spark, sf_dir):
+    return repaired_log(spark, sf_dir).select(*_common("mid", "uid", "is_new"), "ts")
+
+
+def _split(spark, sf_dir, topic):
+    return traffic.split_log(repaired_log(spark, sf_dir))[topic]
+
+
+@query
+def traffic_start(spark, sf_dir):
+    s = _split(spark, sf_dir, traffic.TOPIC_START)
+    return s.select(*_common("mid", "uid", "is_new"), F.col("start")["entry"].alias("entry"), "ts")
+
+
+@query
+def traffic_display(spark, sf_dir):
+    d = F.col("display")
+    return _split(spark, sf_dir, traffic.TOPIC_DISPLAY).select(
+        d["mid"].alias("mid"), d["uid"].alias("uid"), d["is_new"].alias("is_new"),
+        d["item"].alias("item"), d["order"].alias("order"), d["ts"].cast("bigint").alias("ts"))
+
+
+@query
+def traffic_action(spark, sf_dir):
+    a = F.col("action")
+    return _split(spark, sf_dir, traffic.TOPIC_ACTION).select(
+        a["mid"].alias("mid"), a["uid"].alias("uid"), a["is_new"].alias("is_new"),
+        a["action_id"].alias("action_id"), a["ts"].cast("bigint").alias("ts"))
+
+
+@query
+def traffic_error(spark, sf_dir):
+    e = _split(spark, sf_dir, traffic.TOPIC_ERR)
+    return e.select(*_common("mid", "uid", "is_new"), F.col("page")["page_id"].alias("page_id"),
+                    F.col("err")["code"].alias("err_code"), "ts")
+
+
+@query
+def traffic_page(spark, sf_dir):
+    p = _split(spark, sf_dir, traffic.TOPIC_PAGE)
+    return p.select(*_common("mid", "uid", "is_new"), F.col("page")["page_id"].alias("page_id"),
+                    "ts")
+
+
+@query
+def traffic_topic_counts(spark, sf_dir):
+    """All five outputs written through one fan-out frame; rows per topic."""
+    topics = traffic.split_as_topics(repaired_log(spark, sf_dir))
+    return topics.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
