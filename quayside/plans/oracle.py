@@ -292,3 +292,42 @@ UNION ALL SELECT 'dwd_traffic_display', count(*) FROM disp
 UNION ALL SELECT 'dwd_traffic_action', count(*) FROM acts
 UNION ALL SELECT 'dwd_traffic_err', count(*) FROM lgr WHERE event_type = 'error'
 UNION ALL SELECT 'dwd_traffic_page', count(*) FROM lgr WHERE event_type <> 'signup'""")
+
+# Dimension rows after routing by the current rules (user_info: id, name,
+# province_id; sku_info: id, sku_name, brand; provinces and suppliers have
+# no rule).
+CTES["dimrows"] = """
+SELECT 'dim_user_info' AS sink_table, 'insert' AS op_type, CAST(c_custkey AS VARCHAR) AS id,
+       CAST(0 AS BIGINT) AS ts, c_name AS name, CAST(c_nationkey AS VARCHAR) AS province_id,
+       NULL AS sku_name, NULL AS brand
+FROM customer
+UNION ALL
+SELECT 'dim_user_info', 'update', CAST(c_custkey AS VARCHAR), CAST(1 AS BIGINT), c_name || '-v2',
+       CAST(c_nationkey AS VARCHAR), NULL, NULL
+FROM customer WHERE c_custkey % 10 = 0
+UNION ALL
+SELECT 'dim_sku_info', 'insert', CAST(p_partkey AS VARCHAR), CAST(0 AS BIGINT), NULL, NULL,
+       p_name, p_brand
+FROM part"""
+
+oracle("dim_route", "SELECT sink_table, op_type, id, ts FROM dimrows")
+oracle("dim_column_prune", """
+SELECT sink_table, id, op_type, ts, "column", value FROM (
+  SELECT sink_table, id, op_type, ts, 'id' AS "column", id AS value FROM dimrows
+  UNION ALL SELECT sink_table, id, op_type, ts, 'name', name FROM dimrows
+            WHERE sink_table = 'dim_user_info'
+  UNION ALL SELECT sink_table, id, op_type, ts, 'province_id', province_id FROM dimrows
+            WHERE sink_table = 'dim_user_info'
+  UNION ALL SELECT sink_table, id, op_type, ts, 'sku_name', sku_name FROM dimrows
+            WHERE sink_table = 'dim_sku_info'
+  UNION ALL SELECT sink_table, id, op_type, ts, 'brand', brand FROM dimrows
+            WHERE sink_table = 'dim_sku_info')""")
+oracle("dim_upsert_user", """
+SELECT id, arg_max(name, ts) AS name, arg_max(province_id, ts) AS province_id
+FROM dimrows WHERE sink_table = 'dim_user_info' GROUP BY id""")
+oracle("dim_upsert_sku", """
+SELECT id, sku_name, brand FROM dimrows WHERE sink_table = 'dim_sku_info'""")
+oracle("dwd_route", """
+SELECT 'dwd_cart_info' AS sink_table, 'insert' AS op_type, id, user_id, sku_id,
+       3 AS n_columns, ts
+FROM cart WHERE type IN ('insert', 'bootstrap-insert')""")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.times import day_of_text
-from quayside.operators import traffic, trade
+from quayside.operators import dims, traffic, trade
 from quayside.operators.cdc import changes, clean_ods, fields, transitioned
 from quayside.operators.lookup import lookup
 from quayside.operators.upsert import latest_by_key
@@ -22,6 +22,7 @@ from quayside.schemas import DWD_TRADE_CART_ADD, DWD_TRADE_ORDER_DETAIL
 from quayside.sources import replay
 from quayside.sources.dictionary import base_dic
 from quayside.sources.logs import clean_log
+from quayside.sources.rules import parse_rule_changes, rule_change_texts
 from quayside.sources.ods import parse_ods_db
 from quayside.sources.sinks import json_records, read_json_records, upsert_records
 
@@ -266,3 +267,54 @@ def traffic_topic_counts(spark, sf_dir):
     """All five outputs written through one fan-out frame; rows per topic."""
     topics = traffic.split_as_topics(repaired_log(spark, sf_dir))
     return topics.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- dimensions ---------------------------------------------------------------
+
+def current_rules(spark: SparkSession) -> DataFrame:
+    return dims.active_rules(parse_rule_changes(rule_change_texts(spark)))
+
+
+def routed_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = clean_ods(ods(spark, sf_dir))
+    return dims.route(clean, dims.rules_of(current_rules(spark), "dim"))
+
+
+@query
+def dim_route(spark, sf_dir):
+    """Change rows routed to a dimension table by the current rules."""
+    return routed_dims(spark, sf_dir).select("sink_table", "op_type", F.col("pk").alias("id"), "ts")
+
+
+@query
+def dim_column_prune(spark, sf_dir):
+    """Routed rows keeping only their rule's columns, one row per column."""
+    return dims.long_form(routed_dims(spark, sf_dir)).withColumnRenamed("pk", "id")
+
+
+def _dim_table(spark, sf_dir, table, columns):
+    rows = dims.latest_rows(routed_dims(spark, sf_dir)).filter(F.col("sink_table") == table)
+    return rows.select(*[F.col("data")[c].alias(c) for c in columns])
+
+
+@query
+def dim_upsert_user(spark, sf_dir):
+    """`dim_user_info` after every change is upserted by key."""
+    return _dim_table(spark, sf_dir, "dim_user_info", ["id", "name", "province_id"])
+
+
+@query
+def dim_upsert_sku(spark, sf_dir):
+    """`dim_sku_info` after every change (snapshot rows) is upserted by key."""
+    return _dim_table(spark, sf_dir, "dim_sku_info", ["id", "sku_name", "brand"])
+
+
+@query
+def dwd_route(spark, sf_dir):
+    """Dynamic DWD routing (E2): rows matched by table and operation."""
+    clean = clean_ods(ods(spark, sf_dir))
+    routed = dims.route(clean, dims.rules_of(current_rules(spark), "dwd"), by_type=True)
+    d = F.col("data")
+    return routed.select("sink_table", "op_type", d["id"].alias("id"),
+                         d["user_id"].alias("user_id"), d["sku_id"].alias("sku_id"),
+                         F.size("data").alias("n_columns"), "ts")
