@@ -331,3 +331,20 @@ oracle("dwd_route", """
 SELECT 'dwd_cart_info' AS sink_table, 'insert' AS op_type, id, user_id, sku_id,
        3 AS n_columns, ts
 FROM cart WHERE type IN ('insert', 'bootstrap-insert')""")
+
+oracle("word_count", """
+SELECT word, count(*) AS n, word || '_' || CAST(count(*) AS VARCHAR) AS text
+FROM (SELECT unnest(string_split(regexp_replace(p_name, ' +$', ''), ' ')) AS word FROM part)
+GROUP BY word""")
+
+oracle("date_to_epoch", """
+SELECT o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS day,
+       CAST(epoch_us(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) // 1000 AS BIGINT)
+           - 8 * 3600 * 1000 AS day_ms,
+       CAST(epoch_us(o_orderdate) // 1000 AS BIGINT) - 8 * 3600 * 1000 AS full_ms
+FROM orders""")
+
+oracle("epoch_to_date", """
+SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ms, strftime(ts, '%Y-%m-%d') AS day,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ymd_hms
+FROM events""")

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.times import day_of_text
-from quayside.operators import dims, traffic, trade
+from quayside.functions import times
+from quayside.operators import dims, traffic, trade, wordcount
 from quayside.operators.cdc import changes, clean_ods, fields, transitioned
 from quayside.operators.lookup import lookup
 from quayside.operators.upsert import latest_by_key
@@ -318,3 +319,31 @@ def dwd_route(spark, sf_dir):
     return routed.select("sink_table", "op_type", d["id"].alias("id"),
                          d["user_id"].alias("user_id"), d["sku_id"].alias("sku_id"),
                          F.size("data").alias("n_columns"), "ts")
+
+
+# -- word count, date helpers ---------------------------------------------------
+
+@query
+def word_count(spark, sf_dir):
+    counts = wordcount.word_counts(replay.word_lines(spark, sf_dir))
+    return counts.select("word", "n", wordcount.count_text().alias("text"))
+
+
+@query
+def date_to_epoch(spark, sf_dir):
+    """Order dates as day and date-time text read at +08:00 -> epoch millis."""
+    o = replay.Tables(spark, sf_dir).orders
+    day = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd")
+    full = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    return o.select(F.col("o_orderkey").alias("order_id"), day.alias("day"),
+                    times.epoch_millis_of_text(day, full=False).alias("day_ms"),
+                    times.epoch_millis_of_text(full, full=True).alias("full_ms"))
+
+
+@query
+def epoch_to_date(spark, sf_dir):
+    """Event times as epoch millis -> day and date-time text (UTC session)."""
+    e = replay.Tables(spark, sf_dir).events
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    return e.select("event_id", ms.alias("ms"), times.day_of_millis(ms).alias("day"),
+                    times.ymd_hms_of_millis(ms).alias("ymd_hms"))
