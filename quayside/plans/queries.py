@@ -182,10 +182,12 @@ def upsert_latest_by_key(spark, sf_dir):
     (`'x'` where there is none); readers must see only the second."""
     od = trade.trade_order_detail(ods(spark, sf_dir), base_dic(spark),
                                   row_op_ts=F.timestamp_seconds(F.col("ts")))
-    later = (od.withColumn("coupon_id", F.coalesce("coupon_id", F.lit("x")))
-               .withColumn("row_op_ts", F.col("row_op_ts") + F.expr("INTERVAL 1 SECOND")))
-    topic = read_json_records(upsert_records(od.unionByName(later), "id"),
-                              DWD_TRADE_ORDER_DETAIL)
+    later = {"coupon_id": F.coalesce("coupon_id", F.lit("x")),
+             "row_op_ts": F.col("row_op_ts") + F.expr("INTERVAL 1 SECOND")}
+    versions = F.array(F.struct(*[F.col(c) for c in od.columns]),
+                       F.struct(*[later.get(c, F.col(c)).alias(c) for c in od.columns]))
+    both = od.select(F.inline(versions))
+    topic = read_json_records(upsert_records(both, "id"), DWD_TRADE_ORDER_DETAIL)
     return latest_by_key(topic, "id", ["row_op_ts", "ts"]).drop("row_op_ts")
 
 
