@@ -1,16 +1,18 @@
 """Keyed state for the streaming new-visitor repair.
 
-Each device (`mid`) keeps one value: its first-visit day. A group's rows of
-one micro-batch are ordered by arrival (`ts`, then `offset`), the state is
-set by the first row ever seen, and each row's `is_new` is corrected against
-it. The group's rows of one micro-batch are held together; micro-batch size
-is bounded by the source (`maxOffsetsPerTrigger` / `maxFilesPerTrigger`).
+Each device (`mid`) keeps one value: its first-visit day, fixed by the first
+record ever seen for it (its own day when it says `is_new = '1'`, else the
+day before). Once the state exists every row is corrected on its own, so a
+device's rows stream through chunk by chunk (Arrow batches) without being
+held together. Only in the micro-batch where a device first appears are its
+rows held, to find its earliest record by arrival (`ts`, then `offset`);
+that batch is bounded by the source's trigger limit
+(`maxOffsetsPerTrigger` / `maxFilesPerTrigger`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,29 +23,36 @@ OUTPUT_SCHEMA = "value string, offset long, is_new string"
 STATE_SCHEMA = "first_day string"
 
 
-def _day(ms: int, tz) -> str:
-    return datetime.fromtimestamp(ms / 1000, tz).strftime("%Y-%m-%d")
+def _days(ts: pd.Series, tz_name: str) -> pd.Series:
+    t = pd.to_datetime(ts, unit="ms", utc=True)   # NaN -> NaT -> no day
+    if tz_name != "UTC":
+        t = t.dt.tz_convert(tz_name)
+    return t.dt.strftime("%Y-%m-%d")
+
+
+def _repaired(pdf: pd.DataFrame, first_day: str, tz_name: str) -> pd.DataFrame:
+    late_new = (pdf["is_new"] == "1") & (_days(pdf["ts"], tz_name) != first_day)
+    is_new = pdf["is_new"].where(~late_new, "0")
+    return pd.DataFrame({"value": pdf["value"].values, "offset": pdf["offset"].values,
+                         "is_new": is_new.values})
 
 
 def repair_group(tz_name: str = "UTC"):
     """The per-device function for `applyInPandasWithState`."""
-    from zoneinfo import ZoneInfo
-    tz = timezone.utc if tz_name == "UTC" else ZoneInfo(tz_name)
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            first_day = state.get[0]
+            for pdf in pdfs:
+                yield _repaired(pdf, first_day, tz_name)
+            return
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values(["ts", "offset"], kind="stable")
-        first = state.get[0] if state.exists else None
-        days = [_day(int(t), tz) for t in pdf["ts"]]
-        out = []
-        for is_new, day in zip(pdf["is_new"], days):
-            if first is None:
-                first = day if is_new == "1" else (
-                    datetime.strptime(day, "%Y-%m-%d") - timedelta(days=1)).strftime("%Y-%m-%d")
-            out.append("0" if is_new == "1" and day != first else is_new)
-        state.update((first,))
-        yield pd.DataFrame({"value": pdf["value"].values, "offset": pdf["offset"].values,
-                            "is_new": out})
+        earliest = pdf.sort_values(["ts", "offset"], kind="stable").iloc[0]
+        day = _days(pd.Series([earliest["ts"]]), tz_name).iloc[0]
+        if earliest["is_new"] != "1":
+            day = (pd.Timestamp(day) - pd.Timedelta(days=1)).strftime("%Y-%m-%d")
+        state.update((day,))
+        yield _repaired(pdf, day, tz_name)
 
     return fn
 
