@@ -8,6 +8,7 @@ of the results so they can be compared with the SQL oracles.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +33,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register `fn`; it runs with the session time zone pinned to UTC, the
+    zone the oracles and the replayed timestamps use."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
