@@ -32,14 +32,7 @@ REFUND_PAID = "0702"
 
 
 class Tables:
-    """Lazy access to the parquet tables of one scale directory.
-
-    A topic is spread over many partitions; a table file that scans as fewer
-    splits than the cluster has cores (one row group, say) is spread
-    round-robin first, so the per-record JSON work runs on every core.
-    Filters and column pruning still reach the scan below the repartition.
-    Inputs with enough splits are read as they are (no extra shuffle).
-    """
+    """Lazy access to the parquet tables of one scale directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -48,11 +41,21 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def spread(self, name: str) -> DataFrame:
+        """The table that drives a topic's records, spread over all cores.
+
+        A topic has many partitions; a table file that scans as fewer splits
+        than there are cores (one row group, say) is spread round-robin
+        first, so the per-record JSON work runs everywhere. Filters and
+        column pruning still reach the scan below the repartition. Inputs
+        with enough splits are read as they are (no extra shuffle). Lookup
+        sides (joined by broadcast) are read plainly.
+        """
+        df = getattr(self, name)
         cores = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        return df
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _str(c) -> Column:
@@ -106,13 +109,13 @@ def lineitem_id(prefix: str = "l_") -> Column:
 def _lines(t: Tables) -> DataFrame:
     """lineitem with its order's customer and date (one join on orderkey)."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return t.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return t.spread("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 # -- ods_db ------------------------------------------------------------------
 
 def cart_info(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
-    e = t.events
+    e = t.spread("events")
     k = F.get_json_object("props", "$.k")
     et = F.col("event_type")
     kind = (F.when(et == "signup", "insert").when(et.isin("click", "view"), "update")
@@ -128,7 +131,7 @@ def cart_info(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
 
 def _orders_with_customer(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey")
-    return t.orders.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return t.spread("orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
 
 
 def order_info(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
@@ -185,7 +188,7 @@ def _payment_type(key: str) -> Column:
 
 
 def payment_info(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
-    o = t.orders.filter(F.col("o_orderstatus") == "F")
+    o = t.spread("orders").filter(F.col("o_orderstatus") == "F")
     even = F.col("o_orderkey") % 2 == 0
     old = (F.when(even, _smap([("payment_status", F.lit(PAYMENT_WAITING))]))
             .otherwise(_smap([("callback_time", F.lit("x"))])))
@@ -226,7 +229,7 @@ def refund_payment(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
 def dim_sources(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     """Dimension source rows: users (with a rename update for every tenth),
     skus (snapshot rows, type `bootstrap-insert`), provinces, suppliers."""
-    c = t.customer
+    c = t.spread("customer")
     user = [("id", F.col("c_custkey")), ("name", F.col("c_name")),
             ("province_id", F.col("c_nationkey")), ("segment", F.col("c_mktsegment"))]
     users = _topic(c, "user_info", change("user_info", "insert", user, F.lit(0), None, db))
@@ -234,7 +237,7 @@ def dim_sources(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
                ("province_id", F.col("c_nationkey")), ("segment", F.col("c_mktsegment"))]
     user_updates = _topic(c.filter(F.col("c_custkey") % 10 == 0), "user_info", change(
         "user_info", "update", renamed, F.lit(1), _smap([("name", F.col("c_name"))]), db))
-    p = t.part
+    p = t.spread("part")
     sku = [("id", F.col("p_partkey")), ("sku_name", F.col("p_name")),
            ("brand", F.col("p_brand")), ("type", F.col("p_type"))]
     skus = _topic(p, "sku_info", change("sku_info", "bootstrap-insert", sku, F.lit(0), None, db))
@@ -296,7 +299,7 @@ def ods_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     `offset` is the arrival position (the event id; bad records after all).
     """
-    e = Tables(spark, sf_dir).events
+    e = Tables(spark, sf_dir).spread("events")
     eid, et = F.col("event_id"), F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("bigint")
     ms = _millis(F.col("ts"))
