@@ -90,3 +90,53 @@ def test_log_rejects(spark):
         "value string, offset long")
     assert [r["common"]["mid"] for r in clean_log(raw).collect()] == ["m1"]
     assert rejected_log(raw).count() == 3
+
+
+def test_refund_paid_strict_filters(spark):
+    """The status filters the reference left commented out."""
+    def both(tbl, status, key):
+        return [rec(tbl, "insert", {**key, "refund_status": status}),
+                rec(tbl, "update", {**key, "refund_status": status}, {"refund_status": "x"})]
+    key = {"id": "r1", "order_id": "9", "sku_id": "5", "payment_type": "1101",
+           "callback_time": "2024-01-02 03:04:05", "total_amount": "1.00", "refund_num": "2"}
+    raw = _raw(spark, both("refund_payment", "0702", key)
+               + both("order_refund_info", "0705", key)
+               + [rec("order_info", "update", {"id": "9", "user_id": "u", "province_id": "p",
+                                               "order_status": "1006"},
+                      {"order_status": "1001"})])
+    ods = parse_ods_db(raw)
+    relaxed = trade.trade_refund_pay_suc(ods, base_dic(spark))
+    strict = trade.trade_refund_pay_suc(ods, base_dic(spark), strict=True)
+    assert relaxed.count() == 4          # every type, 2 payments x 2 lines
+    assert strict.count() == 1
+    r = strict.first()
+    assert (r["date_id"], r["payment_type_name"], r["refund_num"]) == ("2024-01-02", "n1101", "2")
+
+
+def test_split_merge_rules(spark):
+    """Common wins on equal keys; displays get the record ts, actions
+    keep theirs; error keeps `err`, page drops it; start is whole."""
+    from quayside.operators import traffic
+    recs = [
+        {"common": {"mid": "m1", "is_new": "1"}, "page": {"page_id": "home"},
+         "displays": [{"item": "7", "mid": "child"}], "actions": [{"action_id": "a", "ts": "5"}],
+         "err": {"code": "1"}, "ts": 100},
+        {"common": {"mid": "m2"}, "start": {"entry": "icon"}, "displays": [{"item": "1"}],
+         "ts": 200},
+    ]
+    raw = spark.createDataFrame([(json.dumps(r), i) for i, r in enumerate(recs)],
+                                "value string, offset long")
+    out = traffic.split_log(clean_log(raw))
+    d = out[traffic.TOPIC_DISPLAY].first()["display"]
+    assert d == {"item": "7", "mid": "m1", "is_new": "1", "ts": "100"}
+    a = out[traffic.TOPIC_ACTION].first()["action"]
+    assert a == {"action_id": "a", "ts": "5", "mid": "m1", "is_new": "1"}
+    e = out[traffic.TOPIC_ERR].first()
+    assert e["err"] == {"code": "1"} and "displays" not in out[traffic.TOPIC_ERR].columns
+    p = out[traffic.TOPIC_PAGE]
+    assert p.count() == 1 and "err" not in p.columns
+    s = out[traffic.TOPIC_START].first()
+    assert s["start"] == {"entry": "icon"} and s["displays"] == [{"item": "1"}]
+    topics = dict(traffic.split_as_topics(clean_log(raw)).groupBy("topic").count().collect())
+    assert topics == {traffic.TOPIC_DISPLAY: 1, traffic.TOPIC_ACTION: 1, traffic.TOPIC_ERR: 1,
+                      traffic.TOPIC_PAGE: 1, traffic.TOPIC_START: 1}
