@@ -7,9 +7,14 @@ import os
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins at run time (coalescing
-# small shuffle partitions, splitting skewed ones, and only turning a join
-# into a broadcast once the measured side is below the threshold).
+# small shuffle partitions, splitting skewed ones, and turning a join into a
+# broadcast only once the *measured* side is below the threshold). Broadcasts
+# from plan-time estimates are off: an estimate taken from file sizes misses
+# JSON expansion and explodes. Explicit, size-checked hints (dictionary,
+# rules) still apply.
 BASE_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
