@@ -234,11 +234,28 @@ def test_every_kafka_job_builds_and_runs_on_files(spark, scratch):
             return spark.readStream.schema("value string, offset long").json(folders[topic])
         return spark.readStream.text(folders[topic])
 
+    rules = dims.active_rules(parse_rule_changes(rule_change_texts(spark)))
     for job in apps.KAFKA_JOBS:
-        df, topic, mode = apps.build(job, src, base_dic(spark))
+        df, topic, mode = apps.build(job, src, base_dic(spark), rules=rules,
+                                     cancel_code="1002")
         assert "value" in df.columns or job in ("pay_detail_suc", "order_refund",
-                                                "refund_pay_suc")
+                                                "refund_pay_suc", "cancel_detail")
         launcher.run_available(df, f"app_{job}", sink="noop", output_mode=mode,
                                checkpoint=f"{scratch}/ck/{job}")
     with pytest.raises(ValueError):
         apps.build("nope", src)
+    with pytest.raises(ValueError):
+        apps.build("cancel_detail", src)
+
+
+def test_dwd_route_stream_equals_batch(spark, scratch):
+    raw = replay.ods_db(spark, SF_SMALL).filter(F.col("_table") == "cart_info")
+    folder = write_files(f"{scratch}/ods", [[r[0] for r in raw.select("value").collect()]])
+    rules = dims.active_rules(parse_rule_changes(rule_change_texts(spark)))
+    out = jobs.dwd_route(spark.readStream.text(folder), rules)
+    launcher.run_available(out, "dwd_route_t", checkpoint=f"{scratch}/ck")
+    got = spark.table("dwd_route_t").select(
+        "topic", F.from_json("value", "id string, user_id string, sku_id string").alias("d"))
+    got = got.select(F.col("topic").alias("sink_table"), "d.*")
+    want = Q.dwd_route(spark, SF_SMALL).select("sink_table", "id", "user_id", "sku_id")
+    assert rows_of(got) == rows_of(want)
