@@ -259,3 +259,18 @@ def test_dwd_route_stream_equals_batch(spark, scratch):
     got = got.select(F.col("topic").alias("sink_table"), "d.*")
     want = Q.dwd_route(spark, SF_SMALL).select("sink_table", "id", "user_id", "sku_id")
     assert rows_of(got) == rows_of(want)
+
+
+def test_merge_into_tables_created_by_rule_ddl(spark, scratch):
+    """DDL from the rule stream first (bucketed sku table), then merges."""
+    db = "dim_ddl_merge_t"
+    changes = parse_rule_changes(rule_change_texts(spark))
+    dims.apply_ddl(spark, changes, database=db)
+    rules = dims.active_rules(changes)
+    topic = replay.ods_db(spark, SF_SMALL).filter(F.col("_table").isin("user_info", "sku_info"))
+    merge.upsert_dims(topic.select("value"), 0, rules, target_database=db)
+    merge.upsert_dims(topic.select("value"), 0, rules, target_database=db)  # replay
+    assert rows_of(merge.read_dim(spark, "dim_sku_info", database=db)) == \
+        rows_of(Q.dim_upsert_sku(spark, SF_SMALL))
+    assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == \
+        rows_of(Q.dim_upsert_user(spark, SF_SMALL))
