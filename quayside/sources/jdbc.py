@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,7 +34,3 @@ def query_list(spark: SparkSession, url: str, sql: str, properties: dict | None
     if camel_case:
         df = df.toDF(*[snake_to_camel(c) for c in df.columns])
     return df
-
-
-def camel_to_snake(name: str) -> str:
-    return re.sub(r"(?<!^)([A-Z])", r"_\1", name).lower()

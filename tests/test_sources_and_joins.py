@@ -76,3 +76,12 @@ def test_refund_streams_equal_batch(spark, scratch):
                            "refund_pay_t", checkpoint=f"{scratch}/ck2")
     assert rows_of(spark.table("refund_pay_t")) == \
         rows_of(Q.trade_refund_pay_suc(spark, SF_SMALL))
+
+
+def test_fan_out_routes_rows_by_topic(spark):
+    from quayside.sources.sinks import fan_out
+    a = spark.createDataFrame([("1", 2)], "id string, n long")
+    b = spark.createDataFrame([({"k": "v"},), ({"k": "w"},)], "m map<string,string>")
+    out = fan_out({"t_a": a, "t_b": b}).collect()
+    assert sorted((r["topic"], r["value"]) for r in out) == [
+        ("t_a", '{"id":"1","n":2}'), ("t_b", '{"k":"v"}'), ("t_b", '{"k":"w"}')]
