@@ -58,13 +58,19 @@ def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:   # no SparkContext access (Spark Connect)
+            root = None
     if not root:
         if default is None:
             raise RuntimeError("spark.checkpoint.dir is not set for this session")
         root = default
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 

@@ -54,8 +54,12 @@ class Tables:
         sides (joined by broadcast) are read plainly.
         """
         df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        try:
+            cores = self.spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:   # sessions without RDD access (Spark Connect)
+            return df
+        return df.repartition(cores) if splits < cores else df
 
 
 def _str(c) -> Column:
