@@ -123,15 +123,33 @@ def ddl_statements(rule_changes: DataFrame, database: str = "dim") -> DataFrame:
     return dims.select("seq", "op", "sink_table", F.posexplode(stmts).alias("step", "sql"))
 
 
+APPLIED_LOG = "_rule_ddl_applied"
+
+
 def apply_ddl(spark: SparkSession, rule_changes: DataFrame, database: str = "dim",
               max_rules: int = MAX_RULES) -> list[str]:
     """Run the DDL of a (bounded) set of rule changes, in order, on the
-    driver; returns the statements run."""
+    driver; returns the statements run.
+
+    Safe to call again with the same or a longer change log: the database
+    keeps a small log of applied change `seq`s (`_rule_ddl_applied`), and
+    changes at or below the last applied one are skipped, so an update
+    (drop + re-create) is not repeated when a micro-batch runs again.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    stmts = ddl_statements(rule_changes, database).orderBy("seq", "step").limit(max_rules + 1)
-    rows = stmts.collect()
+    log = f"{database}.{APPLIED_LOG}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {log} (seq BIGINT) USING parquet")
+    done = spark.table(log).agg(F.max("seq")).first()[0]
+    todo = ddl_statements(rule_changes, database)
+    if done is not None:
+        todo = todo.filter(F.col("seq") > done)
+    rows = todo.orderBy("seq", "step").limit(max_rules + 1).collect()
     if len(rows) > max_rules:
         raise ValueError("more rule changes than the configured bound")
-    for r in rows:
-        spark.sql(r["sql"])
-    return [r["sql"] for r in rows]
+    ran = []
+    for seq in sorted({r["seq"] for r in rows}):
+        for r in (r for r in rows if r["seq"] == seq):
+            spark.sql(r["sql"])
+            ran.append(r["sql"])
+        spark.sql(f"INSERT INTO {log} VALUES ({int(seq)})")
+    return ran

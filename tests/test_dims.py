@@ -76,7 +76,7 @@ def test_ddl_statements_follow_ops(spark):
 def test_apply_ddl_creates_and_drops(spark):
     dims.apply_ddl(spark, _rules(spark), database="dim_ddl_t")
     names = {t.name for t in spark.catalog.listTables("dim_ddl_t")}
-    assert names == {"dim_user_info", "dim_sku_info"}
+    assert names == {"dim_user_info", "dim_sku_info", "_rule_ddl_applied"}
     cols = [c.name for c in spark.catalog.listColumns("dim_ddl_t.dim_user_info")]
     assert cols == ["id", "name", "province_id", "_batch"]
     props = {r["key"]: r["value"] for r in
@@ -86,3 +86,23 @@ def test_apply_ddl_creates_and_drops(spark):
 
 def test_fixture_rule_count():
     assert len(RULE_CHANGES) == 6
+
+
+def test_apply_ddl_is_safe_to_repeat(spark):
+    db = "dim_ddl_repeat_t"
+    first = dims.apply_ddl(spark, _rules(spark), database=db)
+    spark.sql(f"INSERT INTO {db}.dim_user_info VALUES ('1', 'a', '2', 0)")
+    again = dims.apply_ddl(spark, _rules(spark), database=db)
+    assert again == []                     # nothing re-run, rows kept
+    assert spark.table(f"{db}.dim_user_info").count() == 1
+    assert any("DROP TABLE IF EXISTS" in s for s in first)
+    # a new update of the user rule replaces the table (rows are lost)
+    from quayside.sources.rules import change_text
+    more = spark.createDataFrame([(change_text(7, "u", {
+        "source_table": "user_info", "source_type": "ALL", "sink_table": "dim_user_info",
+        "sink_type": "dim", "sink_columns": "id,name", "sink_pk": "id",
+        "sink_extend": None}),)], "value string")
+    ran = dims.apply_ddl(spark, _rules(spark).unionByName(parse_rule_changes(more)), database=db)
+    assert len(ran) == 2 and spark.table(f"{db}.dim_user_info").count() == 0
+    assert [c.name for c in spark.catalog.listColumns(f"{db}.dim_user_info")] == \
+        ["id", "name", "_batch"]

@@ -160,14 +160,23 @@ def test_dimension_stream_with_foreach_batch(spark, scratch):
     folder = write_files(f"{scratch}/ods", [ins, upd])
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(folder)
 
+    def load_changes(s):
+        return parse_rule_changes(rule_change_texts(s))
+
     def load_rules(s):
-        return dims.active_rules(parse_rule_changes(rule_change_texts(s)))
+        return dims.active_rules(load_changes(s))
 
     db = "dim_stream_t"
     launcher.run_available(stream, "dim_stream", checkpoint=f"{scratch}/ck",
-                           foreach_batch=jobs.dim_upsert_batch(load_rules, target_database=db))
+                           foreach_batch=jobs.dim_upsert_batch(load_rules, target_database=db,
+                                                               changes_loader=load_changes))
     got = merge.read_dim(spark, "dim_user_info", database=db)
     assert rows_of(got) == rows_of(Q.dim_upsert_user(spark, SF_SMALL))
+    # tables come from the rule DDL (run once, before the first merge)
+    props = {r["key"]: r["value"] for r in
+             spark.sql(f"SHOW TBLPROPERTIES {db}.dim_sku_info").collect()}
+    assert props["extend"] == "SALT_BUCKETS=3"
+    assert spark.table(f"{db}._rule_ddl_applied").count() == 5
 
 
 def test_stream_restart_resumes_from_checkpoint(spark, scratch):
