@@ -283,3 +283,27 @@ def test_merge_into_tables_created_by_rule_ddl(spark, scratch):
         rows_of(Q.dim_upsert_sku(spark, SF_SMALL))
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == \
         rows_of(Q.dim_upsert_user(spark, SF_SMALL))
+
+
+def test_compaction_keeps_last_rows_and_few_partitions(spark, scratch):
+    rules = dims.active_rules(parse_rule_changes(rule_change_texts(spark)))
+    topic = replay.ods_db(spark, SF_SMALL).filter(F.col("_table") == "user_info")
+    kind = F.get_json_object("value", "$.type")
+    inserts = topic.filter(kind != "update").select("value")
+    updates = topic.filter(kind == "update").select("value")
+    db = "dim_compact_t"
+    batches = [inserts, updates, inserts.limit(0), updates, inserts.limit(0)]
+    for b, frame in enumerate(batches):
+        merge.upsert_dims(frame, b, rules, target_database=db, compact_every=2)
+    want = rows_of(Q.dim_upsert_user(spark, SF_SMALL))
+    assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_user_info").collect()]
+    assert parts == ["_batch=7", "_batch=8"]       # compacted at batch 3, then batch 4
+    # replaying an old batch after compaction changes nothing
+    merge.upsert_dims(inserts, 0, rules, target_database=db, compact_every=2)
+    assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
+    # replaying the compacting batch compacts again, still correct
+    merge.upsert_dims(updates, 3, rules, target_database=db, compact_every=2)
+    assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_user_info").collect()]
+    assert "_batch=0" not in parts
