@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.times import day_of_text
 from quayside.functions import times
 from quayside.operators import dims, traffic, trade, wordcount
 from quayside.operators.cdc import changes, clean_ods, fields, transitioned
@@ -24,8 +23,8 @@ from quayside.schemas import DWD_TRADE_CART_ADD, DWD_TRADE_ORDER_DETAIL
 from quayside.sources import replay
 from quayside.sources.dictionary import base_dic
 from quayside.sources.logs import clean_log
-from quayside.sources.rules import parse_rule_changes, rule_change_texts
 from quayside.sources.ods import parse_ods_db
+from quayside.sources.rules import parse_rule_changes, rule_change_texts
 from quayside.sources.sinks import json_records, read_json_records, upsert_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,7 +150,7 @@ def order_detail_amount(spark, sf_dir):
 @query
 def order_detail_date_id(spark, sf_dir):
     return trade.order_details(ods(spark, sf_dir)).select(
-        "id", "create_time", day_of_text(F.col("create_time")).alias("date_id"))
+        "id", "create_time", times.day_of_text(F.col("create_time")).alias("date_id"))
 
 
 @query
