@@ -307,3 +307,17 @@ def test_compaction_keeps_last_rows_and_few_partitions(spark, scratch):
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
     parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_user_info").collect()]
     assert "_batch=0" not in parts
+
+
+def test_landing_stream_partitions_by_table(spark, scratch):
+    from quayside.sources.ods import read_landed_ods_db
+    raw = replay.ods_db(spark, SF_SMALL).filter(F.col("_table").isin("cart_info", "order_info"))
+    folder = write_files(f"{scratch}/ods", [[r[0] for r in raw.select("value").collect()]])
+    q = jobs.start_landing(spark.readStream.text(folder), f"{scratch}/landed",
+                           checkpoint=f"{scratch}/ck", available_now=True)
+    q.awaitTermination()
+    assert sorted(os.listdir(f"{scratch}/landed")) == \
+        ["_spark_metadata", "_table=cart_info", "_table=order_info"]
+    landed = read_landed_ods_db(spark, f"{scratch}/landed")
+    got = trade.trade_cart_add(landed, base_dic(spark))
+    assert rows_of(got) == rows_of(Q.trade_cart_add(spark, SF_SMALL))
