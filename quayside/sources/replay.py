@@ -313,7 +313,7 @@ ODS_TABLES = {
 }
 
 
-# Built topic plans (plans only, no data) per application, directory, zone.
+# Built topic plans (plans only, no data) per session, directory and zone.
 _TOPICS: dict[tuple, DataFrame] = {}
 
 
@@ -323,9 +323,10 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     time per query otherwise."""
     try:
         app = spark.sparkContext.applicationId
+        session = spark._jsparkSession.hashCode()
     except Exception:   # no SparkContext access (Spark Connect): no memo
         return build()
-    k = (app, spark.conf.get("spark.sql.session.timeZone")) + key
+    k = (app, session, spark.conf.get("spark.sql.session.timeZone")) + key
     if k not in _TOPICS:
         _TOPICS[k] = build()
     return _TOPICS[k]
