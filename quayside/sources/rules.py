@@ -37,8 +37,15 @@ def change_text(seq: int, op: str, rule: dict) -> str:
 
 
 def rule_change_texts(spark: SparkSession, changes=RULE_CHANGES) -> DataFrame:
-    rows = [(change_text(c[0], c[1], dict(zip(RULE_FIELDS, c[2:]))),) for c in changes]
-    return spark.createDataFrame(rows, "value string")
+    """The change texts as a local relation (size checks run on the driver)."""
+    texts = [change_text(c[0], c[1], dict(zip(RULE_FIELDS, c[2:]))) for c in changes]
+    rows = ", ".join(f"({_sql_string(t)})" for t in texts)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(value)")
+
+
+def _sql_string(text: str) -> str:
+    """A Spark SQL string literal (backslash and quote escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def parse_rule_changes(raw: DataFrame, value: str = "value") -> DataFrame:
