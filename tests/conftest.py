@@ -22,6 +22,8 @@ def spark():
     s = build_session("local[8]", 8, app_name="quayside-tests",
                       extra={"spark.sql.warehouse.dir": os.path.join(run, "warehouse"),
                              "spark.sql.streaming.forceDeleteTempCheckpointLocation": "false"})
+    from quayside.session import checkpoint_root
+    checkpoint_root(s, default=os.path.join(run, "checkpoints"))   # only where unset
     yield s
 
 
