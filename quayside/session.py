@@ -49,28 +49,37 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Folders chosen by `checkpoint_root(default=...)` for sessions that name
+# none (the core setting cannot be changed once the context runs).
+_FALLBACK_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by `spark.checkpoint.dir`.
 
     On a cluster this must be a shared file system (HDFS, object store) so a
     lost executor's work can be recomputed from it. A default is only applied
-    where the session leaves it unset (tests).
+    where the session leaves it unset (tests): it becomes the context's
+    checkpoint directory for `DataFrame.checkpoint()`.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        except Exception:   # no SparkContext access (Spark Connect)
-            root = None
+    app = None
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+        root = root or sc.getConf().get("spark.checkpoint.dir", None)
+    except Exception:   # no SparkContext access (Spark Connect)
+        pass
+    root = root or _FALLBACK_ROOTS.get(app)
     if not root:
         if default is None:
             raise RuntimeError("spark.checkpoint.dir is not set for this session")
         root = default
-        spark.conf.set("spark.checkpoint.dir", root)
         try:
             spark.sparkContext.setCheckpointDir(root)
         except Exception:
             pass
+        _FALLBACK_ROOTS[app] = root
     return root.rstrip("/")
 
 
