@@ -34,12 +34,16 @@ def first_visit_days(log: DataFrame) -> DataFrame:
     The first record of a device fixes it: its own day when it says
     `is_new = '1'`, else the day before. One `min_by` aggregation, partially
     aggregated before the shuffle, so a device with a huge share of records
-    costs one row per task, not all its records in one task.
+    costs one row per task, not all its records in one task. `log` is either
+    the parsed log or its keys (`sources.logs.log_keys`: `mid`, `is_new`).
     """
     order = F.struct(*[F.col(c) for c in arrival_order(log)])
-    c = F.col("common")
-    firsts = log.groupBy(c["mid"].alias("_mid")).agg(
-        F.min_by(F.struct(c["is_new"].alias("is_new"), day_of_millis(F.col("ts")).alias("day")),
+    if "common" in log.columns:
+        mid, is_new = F.col("common")["mid"], F.col("common")["is_new"]
+    else:
+        mid, is_new = F.col("mid"), F.col("is_new")
+    firsts = log.groupBy(mid.alias("_mid")).agg(
+        F.min_by(F.struct(is_new.alias("is_new"), day_of_millis(F.col("ts")).alias("day")),
                  order).alias("_f"))
     first_day = F.when(F.col("_f.is_new") == "1", F.col("_f.day")).otherwise(
         minus_one_day(F.col("_f.day")))
@@ -52,15 +56,16 @@ def repaired_is_new(is_new: Column, day: Column, first_day: Column) -> Column:
     return F.when((is_new == "1") & (day != first_day), F.lit("0")).otherwise(is_new)
 
 
-def repair_is_new(log: DataFrame) -> DataFrame:
+def repair_is_new(log: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Batch new-visitor repair (T1): `common.is_new` corrected per device.
 
     Exact for any arrival order because the state is written once (by the
     device's first record). The join back to the records is a shuffle join
     on `mid`; AQE splits a skewed device partition, the per-device side has
-    one row per device.
+    one row per device. Pass `keys` (`sources.logs.log_keys` of the same
+    raw log) to compute the per-device days from a narrower parse.
     """
-    days = first_visit_days(log)
+    days = first_visit_days(log if keys is None else keys)
     c = F.col("common")
     j = log.join(days, c["mid"] == F.col("_mid"), "inner")
     fixed = repaired_is_new(c["is_new"], day_of_millis(F.col("ts")), F.col("_first_day"))

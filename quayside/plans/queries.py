@@ -22,7 +22,7 @@ from quayside.operators.upsert import latest_by_key
 from quayside.schemas import DWD_TRADE_CART_ADD, DWD_TRADE_ORDER_DETAIL
 from quayside.sources import replay
 from quayside.sources.dictionary import base_dic
-from quayside.sources.logs import clean_log
+from quayside.sources.logs import clean_log, log_keys
 from quayside.sources.ods import parse_ods_db
 from quayside.sources.rules import parse_rule_changes, rule_change_texts
 from quayside.sources.sinks import json_records, read_json_records, upsert_records
@@ -212,7 +212,8 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repaired_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic.repair_is_new(clean_log(raw_log(spark, sf_dir)))
+    raw = raw_log(spark, sf_dir)
+    return traffic.repair_is_new(clean_log(raw), log_keys(raw))
 
 
 def _common(*keys: str):

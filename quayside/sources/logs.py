@@ -31,3 +31,15 @@ def clean_log(raw: DataFrame, value: str = "value") -> DataFrame:
 def rejected_log(raw: DataFrame, value: str = "value") -> DataFrame:
     """The side frame of rejected log text, for counting or dead-lettering."""
     return raw.filter(~_valid(F.from_json(F.col(value), ODS_LOG))).select(value)
+
+
+KEY_SCHEMA = "common map<string,string>, ts long"
+
+
+def log_keys(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Device id, new-visitor flag, time and arrival offset of each valid log
+    record, parsing only `common` and `ts` (cheaper than the whole record)."""
+    keep = [c for c in CARRIED if c in raw.columns]
+    k = raw.select(parse_once(F.from_json(F.col(value), KEY_SCHEMA)), *keep)
+    return k.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
+                    "ts", *keep).filter(F.col("mid").isNotNull())

@@ -65,13 +65,11 @@ def repair_is_new_stream(keys: DataFrame, tz_name: str = "UTC") -> DataFrame:
         GroupStateTimeout.NoTimeout)
 
 
-KEY_SCHEMA = "common map<string,string>, ts long"
-
-
 def key_columns(raw: DataFrame) -> DataFrame:
-    """Device id, time and flag of each valid log record (others dropped).
-    Only `common` and `ts` are parsed here; the full record is parsed once
-    more after the repair."""
+    """Device id, time and flag of each valid log record, with its text and
+    offset (others dropped). Only `common` and `ts` are parsed here; the full
+    record is parsed once more after the repair."""
+    from quayside.sources.logs import KEY_SCHEMA
     from quayside.sources.ods import parse_once
     keep = raw.select("value", "offset", parse_once(F.from_json(F.col("value"), KEY_SCHEMA)))
     return keep.select("value", "offset", F.col("common")["mid"].alias("mid"), "ts",

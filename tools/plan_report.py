@@ -70,9 +70,9 @@ def main() -> None:
     print("change-log text); with plan-time broadcasts off, AQE turns those into broadcast")
     print("joins at run time when the measured side is small. Operator shuffles are: one")
     print("per change-log join input and per keyed step (last row per key, first visit per")
-    print("device). The batch new-visitor repair parses the log twice (once for the")
-    print("per-device aggregate, once for the records it corrects); that keeps it")
-    print("skew-safe. The streaming form parses keys and records once each.\n")
+    print("device). The batch new-visitor repair reads the log twice to stay skew-safe:")
+    print("a key-only parse (`common`, `ts`) for the per-device aggregate and a full")
+    print("parse for the records it corrects. The streaming form does the same.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("| --- " * (len(cols) + 1) + "|")
     for name, s in rows:
