@@ -322,3 +322,25 @@ def test_landing_stream_partitions_by_table(spark, scratch):
     landed = read_landed_ods_db(spark, f"{scratch}/landed")
     got = trade.trade_cart_add(landed, base_dic(spark))
     assert rows_of(got) == rows_of(Q.trade_cart_add(spark, SF_SMALL))
+
+
+def test_upsert_topic_kept_as_table(spark, scratch):
+    """A2 stream form: two versions of each order detail arrive in two
+    micro-batches; the table keeps the later one per id (and compacts)."""
+    from quayside.schemas import DWD_TRADE_ORDER_DETAIL
+    od = trade.trade_order_detail(Q.ods(spark, SF_SMALL), base_dic(spark),
+                                  row_op_ts=F.timestamp_seconds(F.col("ts")))
+    later = (od.withColumn("coupon_id", F.coalesce("coupon_id", F.lit("x")))
+               .withColumn("row_op_ts", F.col("row_op_ts") + F.expr("INTERVAL 1 SECOND")))
+    texts = [[r[0] for r in jobs.order_detail_topic(v).select("value").collect()]
+             for v in (od, later)]
+    folder = write_files(f"{scratch}/od", texts)
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(folder)
+    launcher.run_available(stream, "od_upsert", checkpoint=f"{scratch}/ck",
+                           foreach_batch=jobs.upsert_table_batch(
+                               "trade_order_detail", DWD_TRADE_ORDER_DETAIL,
+                               database="dwd_upsert_t", compact_every=2))
+    got = merge.read_dim(spark, "trade_order_detail", "id", "dwd_upsert_t").drop("row_op_ts")
+    assert rows_of(got) == rows_of(Q.upsert_latest_by_key(spark, SF_SMALL))
+    parts = [r[0] for r in spark.sql("SHOW PARTITIONS dwd_upsert_t.trade_order_detail").collect()]
+    assert parts == ["_batch=3"]
