@@ -280,8 +280,11 @@ def test_merge_into_tables_created_by_rule_ddl(spark, scratch):
     topic = replay.ods_db(spark, SF_SMALL).filter(F.col("_table").isin("user_info", "sku_info"))
     merge.upsert_dims(topic.select("value"), 0, rules, target_database=db)
     merge.upsert_dims(topic.select("value"), 0, rules, target_database=db)  # replay
+    merge.upsert_dims(topic.select("value"), 1, rules, target_database=db, compact_every=1)
     assert rows_of(merge.read_dim(spark, "dim_sku_info", database=db)) == \
         rows_of(Q.dim_upsert_sku(spark, SF_SMALL))
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_sku_info").collect()] == \
+        ["_batch=3"]
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == \
         rows_of(Q.dim_upsert_user(spark, SF_SMALL))
 
