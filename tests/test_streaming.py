@@ -347,3 +347,20 @@ def test_upsert_topic_kept_as_table(spark, scratch):
     assert rows_of(got) == rows_of(Q.upsert_latest_by_key(spark, SF_SMALL))
     parts = [r[0] for r in spark.sql("SHOW PARTITIONS dwd_upsert_t.trade_order_detail").collect()]
     assert parts == ["_batch=3"]
+
+
+def test_rule_ddl_stream_and_text_source(spark, scratch):
+    """Rule changes as their own stream: each micro-batch's DDL in order;
+    a replayed batch changes nothing."""
+    from quayside.sources.kafka import text_stream
+    texts = [r[0] for r in rule_change_texts(spark).collect()]
+    folder = write_files(f"{scratch}/rules", [texts[:3], texts[3:]])
+    db = "dim_rule_stream_t"
+    launcher.run_available(text_stream(spark, folder, max_files_per_trigger=1), "rule_ddl",
+                           checkpoint=f"{scratch}/ck", foreach_batch=jobs.rule_ddl_batch(db))
+    names = {t.name for t in spark.catalog.listTables(db)}
+    assert names == {"dim_user_info", "dim_sku_info", "_rule_ddl_applied"}
+    cols = [c.name for c in spark.catalog.listColumns(f"{db}.dim_user_info")]
+    assert cols == ["id", "name", "province_id", "_batch"]
+    jobs.rule_ddl_batch(db)(spark.createDataFrame([(t,) for t in texts], "value string"), 0)
+    assert spark.table(f"{db}._rule_ddl_applied").count() == 5
