@@ -75,7 +75,7 @@ def test_ddl_statements_follow_ops(spark):
 
 def test_apply_ddl_creates_and_drops(spark):
     dims.apply_ddl(spark, _rules(spark), database="dim_ddl_t")
-    names = {t.name for t in spark.catalog.listTables("dim_ddl_t")}
+    names = {t.name for t in spark.catalog.listTables("dim_ddl_t") if not t.isTemporary}
     assert names == {"dim_user_info", "dim_sku_info", "_rule_ddl_applied"}
     cols = [c.name for c in spark.catalog.listColumns("dim_ddl_t.dim_user_info")]
     assert cols == ["id", "name", "province_id", "_batch"]

@@ -358,7 +358,7 @@ def test_rule_ddl_stream_and_text_source(spark, scratch):
     db = "dim_rule_stream_t"
     launcher.run_available(text_stream(spark, folder, max_files_per_trigger=1), "rule_ddl",
                            checkpoint=f"{scratch}/ck", foreach_batch=jobs.rule_ddl_batch(db))
-    names = {t.name for t in spark.catalog.listTables(db)}
+    names = {t.name for t in spark.catalog.listTables(db) if not t.isTemporary}
     assert names == {"dim_user_info", "dim_sku_info", "_rule_ddl_applied"}
     cols = [c.name for c in spark.catalog.listColumns(f"{db}.dim_user_info")]
     assert cols == ["id", "name", "province_id", "_batch"]
