@@ -1,9 +1,7 @@
-"""Rules: fold, routing, pruning, DDL; trade cancel."""
+"""Rules: fold, routing, pruning, DDL."""
 
 import json
 
-from pyspark.sql import functions as F
-
 from quayside.operators import dims
 from quayside.operators.cdc import clean_ods
 from quayside.sources.ods import parse_ods_db
