@@ -47,7 +47,7 @@ def repair_group(tz_name: str = "UTC"):
                 yield _repaired(pdf, first_day, tz_name)
             return
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        earliest = pdf.sort_values(["ts", "offset"], kind="stable").iloc[0]
+        earliest = pdf.sort_values(["ts", "partition", "offset"], kind="stable").iloc[0]
         day = _days(pd.Series([earliest["ts"]]), tz_name).iloc[0]
         if earliest["is_new"] != "1":
             day = (pd.Timestamp(day) - pd.Timedelta(days=1)).strftime("%Y-%m-%d")
@@ -58,7 +58,8 @@ def repair_group(tz_name: str = "UTC"):
 
 
 def repair_is_new_stream(keys: DataFrame, tz_name: str = "UTC") -> DataFrame:
-    """`keys`: streaming rows with `value`, `mid`, `ts`, `offset`, `is_new`.
+    """`keys`: streaming rows with `value`, `mid`, `ts`, `partition`,
+    `offset`, `is_new` (`key_columns`).
     Returns `value`, `offset` and the corrected `is_new` per row."""
     return keys.groupBy("mid").applyInPandasWithState(
         repair_group(tz_name), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
@@ -71,6 +72,8 @@ def key_columns(raw: DataFrame) -> DataFrame:
     record is parsed once more after the repair."""
     from quayside.sources.logs import KEY_SCHEMA
     from quayside.sources.ods import parse_once
-    keep = raw.select("value", "offset", parse_once(F.from_json(F.col("value"), KEY_SCHEMA)))
-    return keep.select("value", "offset", F.col("common")["mid"].alias("mid"), "ts",
+    part = F.col("partition") if "partition" in raw.columns else F.lit(0)
+    keep = raw.select("value", "offset", part.cast("int").alias("partition"),
+                      parse_once(F.from_json(F.col("value"), KEY_SCHEMA)))
+    return keep.select("value", "offset", "partition", F.col("common")["mid"].alias("mid"), "ts",
                        F.col("common")["is_new"].alias("is_new")).filter(F.col("mid").isNotNull())
