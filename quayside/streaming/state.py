@@ -6,8 +6,8 @@ day before). Once the state exists every row is corrected on its own, so a
 device's rows stream through chunk by chunk (Arrow batches) without being
 held together. Only in the micro-batch where a device first appears are its
 rows held, to find its earliest record by arrival (`ts`, then the source
-`partition` and `offset`, as in the batch form); that batch is bounded by the source's trigger limit
-(`maxOffsetsPerTrigger` / `maxFilesPerTrigger`).
+`partition` and `offset`, as in the batch form); that batch is bounded by
+the source's trigger limit (`maxOffsetsPerTrigger` / `maxFilesPerTrigger`).
 """
 
 from __future__ import annotations
