@@ -6,20 +6,64 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import piece_codec
+from quayside.llm import blob_ledger, piece_codec, slot_shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard (0 to 7) and position in it."""
+    return slot_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return piece_codec.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, through a new ledger."""
+    return blob_ledger.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_slot_shards": op1_slot_shards,
     "op8_sentencepiece": op8_sentencepiece,
+    "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+
+def _spans_sql(rule: blob_ledger.Rule, order: int) -> str:
+    """Spans of one rule: pieces between matches and matches, lengths added up."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+      SELECT doc_id, '{rule.kind}' AS kind, {order} AS ord, a AS start, a + len(m) AS stop
+      FROM (SELECT doc_id, m, v,
+                   sum(len(p) + coalesce(len(m), 0)) OVER (PARTITION BY r ORDER BY i)
+                   - coalesce(len(m), 0) AS a
+            FROM (SELECT doc_id, r, unnest(p) AS p, unnest(list_resize(m, len(p))) AS m,
+                         unnest(list_resize(v, len(p))) AS v, unnest(range(len(p))) AS i
+                  FROM (SELECT doc_id, r, string_split_regex(t, '{pattern}') AS p,
+                               regexp_extract_all(t, '{pattern}') AS m,
+                               regexp_extract_all(t, '{pattern}', {rule.group}) AS v FROM d)))
+      WHERE len(v) >= {rule.least}"""
+
+
+SECRETS_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+s AS (""" + " UNION ALL ".join(_spans_sql(r, i) for i, r in enumerate(blob_ledger.RULES)) + """),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+             count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans
+      FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op10_secret_scan": SECRETS_SQL,
+}
