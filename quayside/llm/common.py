@@ -20,7 +20,7 @@ from quayside.session import checkpoint_root
 # Rows per Arrow batch sent to Python: bounds a worker's memory at ~256 texts.
 ARROW_ROWS = 256
 # Texts are worked on in slices of about this many bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def python_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:

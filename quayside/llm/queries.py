@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import blob_ledger, piece_codec, slot_shards
+from quayside.llm import blob_ledger, language_id, piece_codec, slot_shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt on the folds not held out."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a new ledger."""
     return blob_ledger.digests(table(spark, sf_dir, "documents"))
@@ -31,6 +36,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
 }
 
