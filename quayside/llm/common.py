@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.session import checkpoint_root
 
@@ -54,8 +53,47 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
-def text_or_empty(name: str = "text"):
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.RecordBatch | None],
+               schema: str) -> DataFrame:
+    """Apply ``fn`` to the rows of each key, key after key within a task.
+
+    For many small groups of bounded size: one Arrow stream per task instead
+    of one Python call frame per group. ``keys`` are integer columns without
+    nulls.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def finish():
+            out = fn(pa.Table.from_batches(held))
+            held.clear()
+            return out
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], axis=1)
+            cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
+            if last is not None and (key[0] != last).any():
+                cuts.insert(0, 0)
+            start = 0
+            for cut in cuts:
+                if cut > start:
+                    held.append(batch.slice(start, cut - start))
+                out = finish()
+                if out is not None and out.num_rows:
+                    yield out
+                start = cut
+            held.append(batch.slice(start))
+            last = key[-1]
+        if held:
+            out = finish()
+            if out is not None and out.num_rows:
+                yield out
+
+    python_batches(df.sparkSession)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def byte_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

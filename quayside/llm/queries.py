@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import blob_ledger, language_id, piece_codec, slot_shards
+from quayside.llm import blob_ledger, jaccard_join, language_id, piece_codec, slot_shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return jaccard_join.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return piece_codec.digests(table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
