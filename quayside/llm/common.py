@@ -41,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
-              schema: str) -> DataFrame:
+              schema) -> DataFrame:
     """``mapInArrow`` of a function on one batch; empty results are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +97,7 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Recor
 
 
 def byte_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string array without nulls; offsets start at 0."""
+    """(bytes, offsets) of a string array, nulls as ""; offsets start at 0."""
     if col.null_count:
         col = col.fill_null("")
     if not pa.types.is_large_string(col.type):
@@ -159,8 +159,11 @@ class WordTable:
     rows); ``hash(lane)``: a 64-bit hash of each word, equal for equal words.
     """
 
-    def __init__(self, col: pa.Array):
+    def __init__(self, col: pa.Array, table: np.ndarray | None = None):
+        """``table``: a byte value for each byte value, applied first."""
         self.data, self.off = byte_view(col)
+        if table is not None:
+            self.data = table[self.data]
         n = len(self.data)
         word = ~_WHITE[self.data]
         edge = np.zeros(n + 1, bool)

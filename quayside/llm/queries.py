@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import blob_ledger, jaccard_join, language_id, piece_codec, slot_shards
+from quayside.llm import (blob_ledger, bm25_decontam, jaccard_join, language_id,
+                          piece_codec, slot_shards)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,11 @@ def op1_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verified leaks of test items in documents."""
+    return bm25_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"))
@@ -40,6 +46,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
+    "op2_decontamination": op2_decontamination,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,

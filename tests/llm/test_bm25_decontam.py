@@ -1,0 +1,113 @@
+import math
+import random
+import re
+
+import pyarrow as pa
+
+from quayside.llm import bm25_decontam as D
+from quayside.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+
+
+def _words(text):
+    flat = "".join(c if ord(c) > 127 or c.isalnum() else " " for c in (text or "").lower())
+    return [w for w in re.split("[ ]+", flat) if w]
+
+
+def _grams(w):
+    k = min(3, len(w))
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if w else set()
+
+
+def brute(docs, items, threshold=D.THRESHOLD):
+    """{(row, item): best (min overlap, score)} by scoring every passage and item."""
+    items = sorted({(k, t or "") for k, t in items}, key=lambda x: (x[0] is not None, x))
+    words = [_words(t) for _, t in items]
+    n, mean = len(items), max(sum(map(len, words)), 1) / len(items)
+    df = {}
+    for w in words:
+        for t in set(w):
+            df[t] = df.get(t, 0) + 1
+    impact = []
+    for w in words:
+        x = {t: math.log(1 + (n - df[t] + .5) / (df[t] + .5)) * w.count(t) * (D.K1 + 1)
+             / (w.count(t) + D.K1 * (1 - D.B + D.B * len(w) / mean)) for t in set(w)}
+        impact.append({t: v / sum(x.values()) for t, v in x.items()})
+    step = max(max(map(len, words)), D.LEAST_WINDOW)
+    out = {}
+    for r, text in enumerate(docs):
+        w = _words(text)
+        for s in range(0, max(len(w) - step, 1), step):
+            passage = w[s:s + 2 * step]
+            for k, (item_id, _) in enumerate(items):
+                score = sum(v for t, v in impact[k].items() if t in set(passage))
+                if not words[k] or score < threshold - 1e-9:
+                    continue
+                cut = len(words[k]) - max(1, len(words[k]) // 4)
+                sides = []
+                for part in (words[k][:cut], words[k][cut:]):
+                    g, width = _grams(part), min(3, len(part))
+                    have = {tuple(passage[i:i + width]) for i in range(len(passage) - width + 1)}
+                    sides.append(len(g & have) / len(g) if g else 1.0)
+                key = (r, item_id)
+                out[key] = max(out.get(key, (-1, -1)), (round(min(sides), 6), round(score, 4)))
+    return out
+
+
+def test_retrieval_equals_scoring_every_item(make_docs):
+    rng = random.Random(8)
+    vocab = [a + b for a in "abcdefgh" for b in "rstuvwxyz"] + ["The", "of,", "é!"]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randint(1, 30)))) for i in range(50)]
+    items += [(60, ""), (61, None), (62, "..."), (0, items[0][1])]
+    docs = []
+    for _ in range(80):
+        w = rng.choices(vocab, k=rng.randint(0, 200))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randint(0, len(w))
+            leak = rng.choice(items[:50])[1].upper().split()
+            for _ in range(rng.randint(0, 3)):
+                leak[rng.randrange(len(leak))] = "zz"
+            w[at:at] = leak
+        docs.append(" ".join(w))
+    docs += [None, "", "?!"]
+    spark_docs = make_docs(list(enumerate(docs))).selectExpr("*", "'x' AS item_id", "1 AS score")
+    bench = spark_docs.sparkSession.createDataFrame(items, "item_id long, text string")
+    got = D.retrieved(spark_docs, bench).collect()
+    want = brute(docs, items)
+    assert {(r.doc_id, r.item_id): (round(min(r.question_overlap, r.answer_overlap), 6),
+                                    round(r.score, 4)) for r in got} == want
+    assert len(got) == len(want) > 100
+    leaking = {r for (r, _), (o, _) in want.items() if o >= D.OVERLAP}
+    kept = D.clean(spark_docs, bench)
+    assert kept.columns == spark_docs.columns
+    assert {r.doc_id for r in kept.collect()} == set(range(len(docs))) - leaking
+    assert D.leaks(spark_docs.limit(0), bench).collect() == []
+    assert D.leaks(spark_docs, bench.limit(0)).collect() == []
+    assert D.clean(spark_docs, bench.limit(0)).count() == len(docs)
+
+
+def test_index_parts_give_the_same_pairs(make_docs, monkeypatch):
+    docs = make_docs([(i, f"start {i} alpha beta gamma delta w{i} end") for i in range(30)])
+    bench = docs.sparkSession.createDataFrame(
+        [(i, f"alpha beta gamma delta w{i}") for i in range(20)], "item_id long, text string")
+    one = {(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()}
+    monkeypatch.setattr(D, "PART_BYTES", 100)
+    assert {(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()} == one
+    assert {(i, i) for i in range(20)} <= one
+
+
+def test_block_maxima_bound_every_posting():
+    index = D.Index.build([1, 2, 3], ["a b c", "b c d d", "e"], 3, 8 / 3,
+                          dict.fromkeys(D.words_of(pa.array(["a b c d e"])).hash().tolist(), 1))
+    for t in range(len(index.vocab)):
+        impacts = index.impact[index.off[t]:index.off[t + 1]]
+        assert index.top[t] == impacts.max() == index.block_top[
+            index.block_off[t]:index.block_off[t + 1]].max()
+
+
+def test_query_finds_every_whole_item(spark):
+    path = SF_SMALL.replace("sf0.001", "sf0.01")
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()}
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op2_decontamination"](spark, path).collect()}
+    assert got == {(d, k) for d, t in docs.items() for k, x in items.items() if x in t}
