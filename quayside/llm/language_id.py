@@ -47,6 +47,7 @@ RATIO = 0.2
 HASHES = 3
 POSITIONS = 1 << 21
 FOLDS = 5
+LEAST_SCORE = 0.1           # below it, a text is in none of the learnt languages
 MAX_LANGUAGES = 64          # bits of a mask
 TASK_GRAMS = 1_000_000      # n-grams a training task holds before it sums or sends them
 UNDETERMINED = "und"
@@ -208,23 +209,48 @@ def predict_texts(model: Filters, texts: list[str]) -> tuple[list[str], np.ndarr
 
 
 def predict(docs: DataFrame, model: Filters) -> DataFrame:
-    """``docs`` with lang_pred and score, for doc_id and text only."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)      # fixed size: POSITIONS masks
+    """doc_id, lang_pred and score of every document."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)      # fixed size: POSITIONS masks
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, names, scores = batch.column(1), [], []
-        for a, b in slices(texts):
-            got = predict_texts(shared.value, [t or "" for t in texts.slice(a, b - a).to_pylist()])
-            names += got[0]
-            scores.append(got[1])
-        return pa.record_batch([*batch.columns, pa.array(names, pa.string()),
-                                pa.array(np.concatenate(scores))],
-                               names=["doc_id", "text", "lang_pred", "score"])
+        names, scores = predict_batch(shared.value, batch.column(1))
+        return pa.record_batch([batch.column(0), pa.array(names, pa.string()), pa.array(scores)],
+                               names=["doc_id", "lang_pred", "score"])
 
     return map_arrow(docs.select("doc_id", "text"), run,
-                     f"doc_id {kind}, text string, lang_pred string, score double")
+                     f"doc_id {kind}, lang_pred string, score double")
+
+
+def predict_batch(model: Filters, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    names, scores = [], []
+    for a, b in slices(texts):
+        got = predict_texts(model, [t or "" for t in texts.slice(a, b - a).to_pylist()])
+        names += got[0]
+        scores.append(got[1])
+    return names, np.concatenate(scores)
+
+
+def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """Documents with a determinable language (columns unchanged): not ``und``,
+    and at least ``least`` of their n-grams are the predicted language's.
+
+    If nothing could be learnt, documents with a letter stay.
+    """
+    model = train(docs.where(~held_out(F.col("doc_id"))))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column("text")
+        if not model_known:
+            has = [any(map(str.isalpha, t or "")) for t in texts.to_pylist()]
+            return batch.filter(pa.array(has))
+        names, scores = predict_batch(shared.value, texts)
+        stay = (np.array(names, object) != UNDETERMINED) & (scores >= least)
+        return batch.filter(pa.array(stay))
+
+    model_known = bool(model.languages)
+    return map_arrow(docs, run, docs.schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
