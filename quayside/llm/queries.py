@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import (blob_ledger, bm25_decontam, jaccard_join, language_id,
-                          piece_codec, slot_shards)
+                          piece_codec, repeat_spans, slot_shards)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 35-word windows that occur elsewhere too."""
+    return repeat_spans.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"))
@@ -47,6 +52,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
     "op2_decontamination": op2_decontamination,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
