@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import (blob_ledger, bm25_decontam, jaccard_join, language_id,
+from quayside.llm import (blob_ledger, bm25_decontam, jaccard_join, language_id, line_crf,
                           piece_codec, repeat_spans, slot_shards)
 
 
@@ -24,6 +24,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the line labelling's verdict on every document."""
+    return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 35-word windows that occur elsewhere too."""
     return repeat_spans.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
@@ -52,6 +57,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
     "op2_decontamination": op2_decontamination,
+    "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_sentencepiece": op8_sentencepiece,

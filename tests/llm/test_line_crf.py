@@ -1,0 +1,101 @@
+import itertools
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from quayside.llm import line_crf as C
+from quayside.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+
+
+def brute_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    seen = Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
+    again = set()
+    for i in range(len(words) - 2):
+        if seen[tuple(words[i:i + 3])] > 1:
+            again |= {i, i + 1, i + 2}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+            len(lines) - len(set(lines)), len(again))
+
+
+def _texts():
+    rng = random.Random(2)
+    parts = ["a", "bc", "the", "\n", "\n", " ", "  ", "\t", "é|", "###", "x\x0by", "\r\n", "日本", "\x85",
+             "A B C", "one two three", "1234", "!!", ""]
+    out = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 60)))
+           for _ in range(400)]
+    return out + ["", None, "\n\n \n", "a b c a b c", "a a a", "w " * 30000, "x" * 50000]
+
+
+def test_counts_equal_brute_force(make_docs):
+    texts = _texts()
+    docs = make_docs(list(enumerate(texts))).selectExpr("*", "1 AS n_words", "'x' AS kept")
+    field = C.Field(np.zeros((len(C.FEATURES), 2)), np.zeros((2, 2)))
+    rows = {r.doc_id: r for r in C.judge(docs, field).collect()}
+    for i, t in enumerate(texts):
+        want, r = brute_counts(t), rows[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want, t
+        failed = want[0] < 50 or 100 * want[4] > 50 * want[0]
+        assert r.base_failed == failed and r.kept == (not failed and r.content_share >= 0.5)
+        assert r.content_words == want[0]           # without weights every line is content
+    assert C.judge(docs.limit(0), field).collect() == []
+
+
+def _paths(field, x):
+    """Score of every labelling of one sequence."""
+    s = x @ field.label
+    for path in itertools.product((0, 1), repeat=len(x)):
+        yield path, sum(s[i, y] for i, y in enumerate(path)) + sum(
+            field.pair[a, b] for a, b in zip(path[:-1], path[1:], strict=True))
+
+
+def test_viterbi_and_marginals_equal_all_paths():
+    rng = np.random.default_rng(3)
+    sizes = [1, 5, 2, 7, 1, 4]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    x = rng.integers(0, 2, (len(row), 4)).astype(float)
+    field = C.Field(rng.normal(size=(4, 2)), rng.normal(size=(2, 2)))
+    got, (p, pairs, total) = C.viterbi(field, x, row), C.marginals(field, x, row)
+    want_pairs, want_total = np.zeros((2, 2)), 0.0
+    for r in range(len(sizes)):
+        paths = list(_paths(field, x[row == r]))
+        weight = np.exp([s for _, s in paths])
+        assert tuple(got[row == r]) == max(paths, key=lambda v: v[1])[0]
+        labels = np.array([path for path, _ in paths])
+        assert np.allclose(p[row == r, 1], weight @ labels / weight.sum())
+        for path, w in zip(labels, weight, strict=True):
+            np.add.at(want_pairs, (path[:-1], path[1:]), w / weight.sum())
+        want_total += np.log(weight.sum())
+    assert np.allclose(pairs, want_pairs) and np.isclose(total, want_total)
+
+
+def test_held_out_accuracy(spark):
+    path = SF_SMALL.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{path}/documents.parquet").where("doc_id < 5000")
+    labels = spark.read.parquet(f"{path}/labels.parquet").where("doc_id < 5000")
+    field = C.train(docs, labels.where("doc_id % 2 = 0"), sample=800)
+    truth = {r.doc_id: r.quality for r in labels.where("doc_id % 2 = 1").collect()}
+    got = [r for r in C.judge(docs, field).collect() if r.doc_id in truth]
+    right = sum((r.content_share >= 0.5) == truth[r.doc_id] for r in got)
+    good = [r for r in got if truth[r.doc_id] and not r.base_failed]
+    assert right / len(got) > 0.96
+    assert sum(r.kept for r in good) / len(good) > 0.99
+
+
+def test_no_usable_labels_and_odd_labels(make_docs):
+    docs = make_docs([(i, f"line one {i} ###\nline two") for i in range(6)])
+    spark = docs.sparkSession
+    for rows in ([], [(1, 1), (2, 1)], [(None, 0), (1, None), (99, 0), (1, 1), (1, 1)]):
+        labels = spark.createDataFrame(rows, "doc_id long, quality int")
+        assert {r.content_share for r in C.quality(docs, labels).collect()} == {1.0}
+
+
+def test_query_covers_the_whole_table(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    got = QUERIES["op4_quality_rules"](spark, SF_SMALL).collect()
+    assert {(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+            for r in got} == {(d, *brute_counts(t)) for d, t in docs.items()}
