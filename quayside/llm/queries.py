@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import (blob_ledger, bm25_decontam, jaccard_join, language_id, line_crf,
-                          piece_codec, repeat_spans, slot_shards)
+from quayside.llm import (blob_ledger, bm25_decontam, edit_counts, jaccard_join, language_id,
+                          line_crf, piece_codec, repeat_spans, slot_shards)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_spans.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after edits."""
+    return edit_counts.revised(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_token_counts": op6_token_counts,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
