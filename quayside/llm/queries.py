@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import (blob_ledger, bm25_decontam, edit_counts, jaccard_join, language_id,
-                          line_crf, piece_codec, repeat_spans, slot_shards)
+from quayside.llm import (blob_ledger, bm25_decontam, edit_counts, id_coder, jaccard_join,
+                          language_id, line_crf, piece_codec, repeat_spans, slot_shards)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to coded files and read back."""
+    return id_coder.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the line labelling's verdict on every document."""
     return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -62,6 +67,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
     "op2_decontamination": op2_decontamination,
+    "op3_token_ids": op3_token_ids,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_token_counts": op6_token_counts,
