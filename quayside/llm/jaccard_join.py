@@ -134,8 +134,15 @@ def candidate_components(classes: DataFrame) -> DataFrame:
     hubs = (banded.groupBy("key").agg(F.count("*").alias("n"),
                                       F.min(F.struct("n1", "n2")).alias("hub"))
             .where("n > 1").select("key", F.col("hub.n1").alias("b1"), F.col("hub.n2").alias("b2")))
-    edges = (banded.join(hubs, "key").where((F.col("n1") != F.col("b1")) | (F.col("n2") != F.col("b2")))
-             .select(F.col("n1").alias("a1"), F.col("n2").alias("a2"), "b1", "b2"))
+    # A class is tied to the smallest of its buckets' hubs, and so are those
+    # hubs: as connected as an edge to each hub, but few rows after distinct.
+    tied = banded.join(hubs, "key").groupBy("n1", "n2").agg(
+        F.min(F.struct("b1", "b2")).alias("least"), F.collect_set(F.struct("b1", "b2")).alias("hubs"))
+    own = F.array(F.struct(F.col("n1").alias("b1"), F.col("n2").alias("b2")))
+    edges = (tied.select("least", F.explode(F.concat("hubs", own)).alias("end"))
+             .where("end != least")
+             .select(F.col("end.b1").alias("a1"), F.col("end.b2").alias("a2"),
+                     F.col("least.b1").alias("b1"), F.col("least.b2").alias("b2")).distinct())
     return components(edges)
 
 
