@@ -71,7 +71,7 @@ def route(clean: DataFrame, rules: DataFrame, by_type: bool = False,
     cond = cond & (F.col("source_type") == (F.col("type") if by_type else F.lit(ALL_TYPES)))
     j = clean.join(r, cond, "inner")
     cols = column_list(F.col("sink_columns"))
-    keep = [c for c in ("_table", "offset") if c in clean.columns]
+    keep = [c for c in ("_table", "partition", "offset") if c in clean.columns]
     return j.select(
         "sink_table", "sink_columns", pk_of(F.col("sink_pk")).alias("sink_pk"), "sink_extend",
         F.col("type").alias("op_type"), F.col("data")[pk_of(F.col("sink_pk"))].alias("pk"),

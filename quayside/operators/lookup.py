@@ -11,19 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dictionary of this many rows is a few MB at most: safe to ship to every
-# executor. Larger ones are joined with a shuffle.
+# What may be shipped to every executor: rows, and bytes of their text.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """`broadcast(small)` when it has at most `max_rows` rows, else `small`.
+def bounded_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """`broadcast(small)` when it has at most `max_rows` rows and `max_bytes`
+    bytes (text plus 16 per column), else `small`.
 
-    The check runs a bounded count (`limit(max_rows + 1)`), so it stays cheap
-    even when the side turns out to be large. Must be a batch frame.
+    The check sums over at most `max_rows + 1` rows, so it stays cheap even
+    when the side turns out to be large. Must be a batch frame.
     """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    sizes = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 16
+             for f in small.schema.fields]
+    size = sum(sizes[1:], sizes[0]).cast("long")
+    n, total = small.select(size.alias("size")).limit(max_rows + 1).agg(
+        F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return F.broadcast(small) if n <= max_rows and total <= max_bytes else small
 
 
 def lookup(df: DataFrame, dic: DataFrame, code_col: str, name_col: str,

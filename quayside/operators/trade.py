@@ -1,12 +1,11 @@
 """Trade fact streams: cart additions, order details, payments, refunds.
 
 Each job is a composition of change-log filters (`cdc`), equi-joins and
-dictionary lookups. Functions take the parsed `ods_db` frame; they run as
-written on a batch frame. On a streaming frame pass `bound` (seconds): the
+dictionary lookups. Functions take the parsed `ods_db` frame, batch or
+streaming. On a streaming frame `bound` (seconds) is optional: the
 stream-stream joins then also require the two sides' `event_time` columns to
-be within `bound` of each other, which together with the watermark set by the
-stream driver lets Spark drop old join state (the reference relies on idle
-state expiry instead).
+be within `bound` of each other, which together with a watermark lets Spark
+drop old join state, and loses matches that are further apart.
 """
 
 from __future__ import annotations
@@ -109,51 +108,48 @@ def detail_coupons(ods: DataFrame, database: str = DEFAULT_DATABASE) -> DataFram
         *fields("order_detail_id", "coupon_id"), *_carry_time(ods))
 
 
-def join_order_info(od: DataFrame, oi: DataFrame, bound: int | None = None) -> DataFrame:
+def join_order_info(od: DataFrame, oi: DataFrame) -> DataFrame:
     """Order details joined inner to their order."""
     od, oi = od.alias("od"), oi.alias("oi")
-    cond = _on(F.col("od.order_id") == F.col("oi.id"), _within("od", "oi", bound))
-    return od.join(oi, cond, "inner").select(
+    return od.join(oi, F.col("od.order_id") == F.col("oi.id"), "inner").select(
         "od.*", F.col("oi.user_id").alias("user_id"), F.col("oi.province_id").alias("province_id"))
 
 
-def join_activity_coupon(od: DataFrame, act: DataFrame, cou: DataFrame,
-                         bound: int | None = None) -> DataFrame:
-    """Order details left-joined to their activity and coupon rows."""
+def join_activity_coupon(od: DataFrame, act: DataFrame, cou: DataFrame) -> DataFrame:
+    """Order details left-joined to their activity and coupon rows (J5; batch
+    form, the stream form is `streaming.state.merge_parts`)."""
     od, act, cou = od.alias("od"), act.alias("act"), cou.alias("cou")
-    j = od.join(act, _on(F.col("od.id") == F.col("act.order_detail_id"),
-                         _within("od", "act", bound)), "left")
-    j = j.join(cou, _on(F.col("od.id") == F.col("cou.order_detail_id"),
-                        _within("od", "cou", bound)), "left")
+    j = od.join(act, F.col("od.id") == F.col("act.order_detail_id"), "left")
+    j = j.join(cou, F.col("od.id") == F.col("cou.order_detail_id"), "left")
     return j.select("od.*", "act.activity_id", "act.activity_rule_id", "cou.coupon_id")
 
 
-ORDER_DETAIL_COLUMNS = [
-    "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
-    "activity_rule_id", "coupon_id", "date_id", "create_time", "source_id",
-    "source_type_code", "source_type_name", "sku_num", "split_original_amount",
-    "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts", "row_op_ts",
-]
+def order_detail_base(ods: DataFrame, dic: DataFrame,
+                      database: str = DEFAULT_DATABASE) -> DataFrame:
+    """Order details with their order and source-type name, before activity
+    and coupon are known (the first part of J6)."""
+    j = join_order_info(order_details(ods, database), order_infos(ods, database))
+    return lookup(j, dic, "source_type", "source_type_name")
 
 
-def trade_order_detail(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_DATABASE,
-                       bound: int | None = None, row_op_ts: Column | None = None) -> DataFrame:
-    """`dwd_trade_order_detail` (J6): detail ⋈ order, ⟕ activity, ⟕ coupon,
-    ⋈ dictionary. Keyed by `id`; `row_op_ts` marks the version of a row."""
-    od = order_details(ods, database)
-    j = join_order_info(od, order_infos(ods, database), bound)
-    j = join_activity_coupon(j, detail_activities(ods, database),
-                             detail_coupons(ods, database), bound)
-    j = lookup(j, dic, "source_type", "source_type_name")
-    out = j.select(
+def order_detail_columns(j: DataFrame, row_op_ts: Column | None = None) -> DataFrame:
+    """The output columns of J6 from joined rows."""
+    return j.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
         "activity_rule_id", "coupon_id", day_of_text(F.col("create_time")).alias("date_id"),
         "create_time", "source_id", F.col("source_type").alias("source_type_code"),
         "source_type_name", "sku_num", "split_original_amount", "split_activity_amount",
         "split_coupon_amount", "split_total_amount", "ts",
-        (row_op_ts if row_op_ts is not None else F.current_timestamp()).alias("row_op_ts"),
-        *_carry_time(j))
-    return out
+        (row_op_ts if row_op_ts is not None else F.current_timestamp()).alias("row_op_ts"))
+
+
+def trade_order_detail(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_DATABASE,
+                       row_op_ts: Column | None = None) -> DataFrame:
+    """`dwd_trade_order_detail` (J6): detail ⋈ order, ⟕ activity, ⟕ coupon,
+    ⋈ dictionary. Keyed by `id`; `row_op_ts` marks the version of a row."""
+    j = join_order_info(order_details(ods, database), order_infos(ods, database))
+    j = join_activity_coupon(j, detail_activities(ods, database), detail_coupons(ods, database))
+    return order_detail_columns(lookup(j, dic, "source_type", "source_type_name"), row_op_ts)
 
 
 # -- payment success ------------------------------------------------------------

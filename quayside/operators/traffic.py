@@ -32,7 +32,8 @@ def first_visit_days(log: DataFrame) -> DataFrame:
     """Per device (`mid`): the first-visit day the repair keeps in state.
 
     The first record of a device fixes it: its own day when it says
-    `is_new = '1'`, else the day before. One `min_by` aggregation, partially
+    `is_new = '1'`, else the day before (a record without `ts` fixes no day
+    and is not repaired). One `min_by` aggregation, partially
     aggregated before the shuffle, so a device with a huge share of records
     costs one row per task, not all its records in one task. `log` is either
     the parsed log or its keys (`sources.logs.log_keys`: `mid`, `is_new`).
@@ -42,7 +43,7 @@ def first_visit_days(log: DataFrame) -> DataFrame:
         mid, is_new = F.col("common")["mid"], F.col("common")["is_new"]
     else:
         mid, is_new = F.col("mid"), F.col("is_new")
-    firsts = log.groupBy(mid.alias("_mid")).agg(
+    firsts = log.filter(F.col("ts").isNotNull()).groupBy(mid.alias("_mid")).agg(
         F.min_by(F.struct(is_new.alias("is_new"), day_of_millis(F.col("ts")).alias("day")),
                  order).alias("_f"))
     first_day = F.when(F.col("_f.is_new") == "1", F.col("_f.day")).otherwise(
@@ -67,7 +68,7 @@ def repair_is_new(log: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """
     days = first_visit_days(log if keys is None else keys)
     c = F.col("common")
-    j = log.join(days, c["mid"] == F.col("_mid"), "inner")
+    j = log.join(days, c["mid"] == F.col("_mid"), "left")
     fixed = repaired_is_new(c["is_new"], day_of_millis(F.col("ts")), F.col("_first_day"))
     changed = F.coalesce(fixed != c["is_new"], F.lit(False))
     return (j.withColumn("common", F.when(changed, put_entry(c, "is_new", fixed)).otherwise(c))
@@ -103,7 +104,7 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
 
 
 def split_as_topics(log: DataFrame) -> DataFrame:
-    """All five outputs as one `topic`, `value` frame (K5) in a single pass.
+    """All five outputs as one `key`, `topic`, `value` frame (K5) in a single pass.
 
     Each record yields an array of (topic, JSON text) pairs that one
     `explode` turns into rows: no union of five branches, so the log (and
@@ -128,4 +129,14 @@ def split_as_topics(log: DataFrame) -> DataFrame:
     page = F.array(pair(TOPIC_PAGE, rec("displays", "actions", "err")))
     pairs = F.when(F.col("start").isNotNull(), F.array(pair(TOPIC_START, rec()))).otherwise(
         F.concat(displays, actions, error, page))
-    return log.select(F.explode(pairs).alias("p")).select("p.topic", "p.value")
+    place = [c for c in ("partition", "offset") if c in log.columns]
+    out = log.select(F.posexplode(pairs).alias("pos", "p"), *place)
+    return out.select(source_key(out, "pos"), "p.topic", "p.value")
+
+
+def source_key(df: DataFrame, *inside: str) -> Column:
+    """`key` of an output row that has no id of its own: the source partition
+    and offset and its place in the record. A retried micro-batch writes the
+    same keys again, so readers can drop what they have seen."""
+    parts = [c for c in ("partition", "offset") if c in df.columns]
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in (*parts, *inside)]).alias("key")

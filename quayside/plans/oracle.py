@@ -242,6 +242,10 @@ FROM rp JOIN ri r ON rp.order_id = r.order_id AND rp.sku_id = r.sku_id
 JOIN oi o ON rp.order_id = o.id AND o.new_status = '1006'
 JOIN dic d ON rp.payment_type = d.dic_code""")
 
+oracle("trade_cancel_detail", """
+SELECT tod.* REPLACE (oi.ts AS ts) FROM tod
+JOIN oi ON tod.order_id = oi.id AND oi.new_status = '1002'""")
+
 oracle("upsert_latest_by_key", """
 SELECT * REPLACE (COALESCE(coupon_id, 'x') AS coupon_id) FROM tod""")
 

@@ -99,6 +99,14 @@ def trade_refund_pay_suc(spark, sf_dir):
     return trade.trade_refund_pay_suc(ods(spark, sf_dir), base_dic(spark)).drop("row_op_ts")
 
 
+@query
+def trade_cancel_detail(spark, sf_dir):
+    """Order details of orders that turned to a given status. The cancel code
+    is a parameter of the job; the replayed orders use 1002 here."""
+    return trade.trade_cancel_detail(order_detail_topic(spark, sf_dir), ods(spark, sf_dir),
+                                     "1002").drop("row_op_ts")
+
+
 # -- change-log building blocks -----------------------------------------------
 
 @query

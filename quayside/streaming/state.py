@@ -12,6 +12,7 @@ the source's trigger limit (`maxOffsetsPerTrigger` / `maxFilesPerTrigger`).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-OUTPUT_SCHEMA = "value string, offset long, is_new string"
+OUTPUT_SCHEMA = "value string, partition int, offset long, is_new string"
 STATE_SCHEMA = "first_day string"
 
 
@@ -31,10 +32,10 @@ def _days(ts: pd.Series, tz_name: str) -> pd.Series:
 
 
 def _repaired(pdf: pd.DataFrame, first_day: str, tz_name: str) -> pd.DataFrame:
-    late_new = (pdf["is_new"] == "1") & (_days(pdf["ts"], tz_name) != first_day)
+    late_new = ((pdf["is_new"] == "1") & pdf["ts"].notna()
+                & (_days(pdf["ts"], tz_name) != first_day))
     is_new = pdf["is_new"].where(~late_new, "0")
-    return pd.DataFrame({"value": pdf["value"].values, "offset": pdf["offset"].values,
-                         "is_new": is_new.values})
+    return pdf[["value", "partition", "offset"]].assign(is_new=is_new)
 
 
 def repair_group(tz_name: str = "UTC"):
@@ -47,7 +48,11 @@ def repair_group(tz_name: str = "UTC"):
                 yield _repaired(pdf, first_day, tz_name)
             return
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        earliest = pdf.sort_values(["ts", "partition", "offset"], kind="stable").iloc[0]
+        timed = pdf[pdf["ts"].notna()]
+        if timed.empty:                 # a record without `ts` fixes no day
+            yield pdf[["value", "partition", "offset", "is_new"]]
+            return
+        earliest = timed.sort_values(["ts", "partition", "offset"], kind="stable").iloc[0]
         day = _days(pd.Series([earliest["ts"]]), tz_name).iloc[0]
         if earliest["is_new"] != "1":
             day = (pd.Timestamp(day) - pd.Timedelta(days=1)).strftime("%Y-%m-%d")
@@ -60,7 +65,7 @@ def repair_group(tz_name: str = "UTC"):
 def repair_is_new_stream(keys: DataFrame, tz_name: str = "UTC") -> DataFrame:
     """`keys`: streaming rows with `value`, `mid`, `ts`, `partition`,
     `offset`, `is_new` (`key_columns`).
-    Returns `value`, `offset` and the corrected `is_new` per row."""
+    Returns `value`, `partition`, `offset` and the corrected `is_new` per row."""
     return keys.groupBy("mid").applyInPandasWithState(
         repair_group(tz_name), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.NoTimeout)
@@ -77,3 +82,51 @@ def key_columns(raw: DataFrame) -> DataFrame:
                       parse_once(F.from_json(F.col("value"), KEY_SCHEMA)))
     return keep.select("value", "offset", "partition", F.col("common")["mid"].alias("mid"), "ts",
                        F.col("common")["is_new"].alias("is_new")).filter(F.col("mid").isNotNull())
+
+
+# -- order detail from parts (J5, J6) ---------------------------------------------
+
+PART_SCHEMA = "id string, base string, activity string, coupon string"
+PARTS_STATE = "parts string"
+
+
+def _merge_group(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One order detail: its distinct base, activity and coupon rows so far.
+    All combinations come out whenever one of them is new and a base is known."""
+    parts = json.loads(state.get[0]) if state.exists else {"base": [], "activity": [], "coupon": []}
+    new = False
+    for pdf in pdfs:
+        for kind, body in zip(pdf["kind"], pdf["body"]):
+            if body not in parts[kind]:
+                parts[kind].append(body)
+                new = True
+    if not new:
+        return
+    state.update((json.dumps(parts),))
+    rows = [(key[0], b, a, c) for b in parts["base"] for a in parts["activity"] or [None]
+            for c in parts["coupon"] or [None]]
+    if rows:
+        yield pd.DataFrame(rows, columns=["id", "base", "activity", "coupon"])
+
+
+def merge_parts(base: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
+    """Order-detail rows (J6 columns) from streams of detail rows, activity
+    rows and coupon rows, merged by detail id in whatever order they come.
+
+    The state of a detail is kept for good: its activity may come at any
+    time. A detail has few parts, so a key's rows stay small."""
+    from quayside.operators.trade import order_detail_columns
+
+    def part(df: DataFrame, key: str, kind: str) -> DataFrame:
+        return df.select(F.col(key).alias("id"), F.lit(kind).alias("kind"),
+                         F.to_json(F.struct(*df.columns)).alias("body"))
+
+    parts = (part(base, "id", "base").unionByName(part(activities, "order_detail_id", "activity"))
+             .unionByName(part(coupons, "order_detail_id", "coupon"))
+             .filter(F.col("id").isNotNull()))
+    merged = parts.groupBy("id").applyInPandasWithState(
+        _merge_group, PART_SCHEMA, PARTS_STATE, "append", GroupStateTimeout.NoTimeout)
+    j = merged.select(F.from_json("base", base.schema).alias("b"),
+                      F.from_json("activity", activities.schema).alias("a"),
+                      F.from_json("coupon", coupons.schema).alias("c"))
+    return order_detail_columns(j.select("b.*", "a.activity_id", "a.activity_rule_id", "c.coupon_id"))

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import trade
@@ -10,7 +11,7 @@ from quayside.plans import queries as Q
 from quayside.plans.compare import duck, same
 from quayside.sources import replay
 from quayside.sources.dictionary import base_dic, read_base_dic_parquet
-from quayside.sources.jdbc import snake_to_camel
+from quayside.sources.jdbc import filled, snake_to_camel
 from quayside.sources.ods import read_landed_ods_db
 from quayside.sources.sinks import land_ods_db
 from tests.conftest import SF_SMALL
@@ -43,30 +44,37 @@ def test_lookup_without_broadcast_past_bound(spark):
                                   .logical()).lower()
 
 
+def test_few_but_wide_rows_are_not_broadcast(spark):
+    wide = spark.range(20).selectExpr("cast(id as string) AS dic_code", "repeat('x', 3000000) AS dic_name")
+    assert "ResolvedHint" not in bounded_broadcast(wide)._jdf.queryExecution().analyzed().toString()
+    narrow = wide.withColumn("dic_name", F.substring("dic_name", 1, 9))
+    assert "ResolvedHint" in bounded_broadcast(narrow)._jdf.queryExecution().analyzed().toString()
+
+
+def test_jdbc_arguments_are_filled_or_refused():
+    sql = "select * from t where a = ? and b = '?' and c = ? and d = ? and e = ? and f = ?"
+    assert filled(sql, [1, "x?y", None, True, 2.5]) == (
+        "select * from t where a = 1 and b = '?' and c = 'x?y' and d = NULL and e = TRUE and f = 2.5")
+    for bad in ("a'b", "a\\", 'a"', "a\nb", float("nan"), object()):
+        with pytest.raises(ValueError):
+            filled("select ?", [bad])
+    for args in ([], [1, 2]):
+        with pytest.raises(ValueError):
+            filled("select ?", args)
+
+
 def test_snake_to_camel():
     assert snake_to_camel("sink_columns") == "sinkColumns"
     assert snake_to_camel("source_table") == "sourceTable"
 
 
-def test_cancel_detail_matches_sql(spark):
-    """E1 with an explicit status code (the reference defines none)."""
-    od = Q.order_detail_topic(spark, SF_SMALL)
-    got = trade.trade_cancel_detail(od, Q.ods(spark, SF_SMALL), "1002").drop("row_op_ts")
-    from quayside.plans.oracle import with_ctes
-    sql = with_ctes("""
-        SELECT tod.* REPLACE (oi.ts AS ts) FROM tod
-        JOIN oi ON tod.order_id = oi.id AND oi.new_status = '1002'""")
-    ok, why = same(got.toPandas(), duck(SF_SMALL).execute(sql).df())
-    assert ok, why
-
-
 def test_refund_streams_equal_batch(spark, scratch):
-    from tests.test_streaming import closing_records, rows_of, write_files
+    from tests.test_streaming import rows_of, shuffled_chunks, write_files
     from quayside.streaming import jobs, launcher
     tables = ["order_refund_info", "order_info", "refund_payment"]
     raw = replay.ods_db(spark, SF_SMALL).filter(F.col("_table").isin(tables))
     texts = [r[0] for r in raw.select("value").collect()]
-    folder = write_files(f"{scratch}/ods", [texts, closing_records(tables)])
+    folder = write_files(f"{scratch}/ods", shuffled_chunks(texts, 3))
     s1 = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(folder)
     launcher.run_available(jobs.order_refund(s1, base_dic(spark)).drop("row_op_ts"),
                            "refund_t", checkpoint=f"{scratch}/ck1")
