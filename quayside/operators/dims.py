@@ -41,14 +41,29 @@ def rules_of(rules: DataFrame, sink_type: str) -> DataFrame:
     return rules.filter(F.col("sink_type") == sink_type)
 
 
+def key_columns(sink_pk: Column) -> Column:
+    """The key columns of a rule as an array: `sink_pk` split at commas and
+    trimmed, or `id` when missing or blank."""
+    parts = column_list(F.coalesce(sink_pk, F.lit("")))
+    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit(DEFAULT_PK)))
+
+
 def pk_of(sink_pk: Column) -> Column:
-    """The key column of a rule: `sink_pk`, or `id` when missing or blank."""
-    return F.coalesce(F.nullif(F.trim(sink_pk), F.lit("")), F.lit(DEFAULT_PK))
+    """The key columns of a rule as comma-joined text."""
+    return F.array_join(key_columns(sink_pk), ",")
+
 
+def column_list(text: Column) -> Column:
+    """Comma-separated names -> array of names (trimmed, empty ones dropped)."""
+    return F.filter(F.transform(F.split(text, ","), lambda c: F.trim(c)), lambda c: c != "")
 
-def column_list(sink_columns: Column) -> Column:
-    """`sink_columns` text -> array of column names (empty pieces dropped)."""
-    return F.filter(F.split(sink_columns, ","), lambda c: c != "")
+
+def key_value(data: Column, sink_pk: Column) -> Column:
+    """A row's key: the value of its key column; of several, their JSON array.
+    NULL if any part is missing."""
+    values = F.transform(key_columns(sink_pk), lambda c: data[c])
+    whole = F.when(F.size(values) == 1, values[0]).otherwise(F.to_json(values))
+    return F.when(~F.exists(values, F.isnull), whole)
 
 
 def route(clean: DataFrame, rules: DataFrame, by_type: bool = False,
@@ -70,17 +85,30 @@ def route(clean: DataFrame, rules: DataFrame, by_type: bool = False,
     cond = F.col("table") == F.col("source_table")
     cond = cond & (F.col("source_type") == (F.col("type") if by_type else F.lit(ALL_TYPES)))
     j = clean.join(r, cond, "inner")
-    cols = column_list(F.col("sink_columns"))
     keep = [c for c in ("_table", "partition", "offset") if c in clean.columns]
+    # Names of their own first: inside a lambda, Spark takes a column for a
+    # sibling alias of the same name.
+    j = j.withColumns({
+        "_key_columns": pk_of(F.col("sink_pk")), "_key": key_value(F.col("data"), F.col("sink_pk")),
+        "_kept": keep_keys(F.col("data"), column_list(F.col("sink_columns")))})
     return j.select(
-        "sink_table", "sink_columns", pk_of(F.col("sink_pk")).alias("sink_pk"), "sink_extend",
-        F.col("type").alias("op_type"), F.col("data")[pk_of(F.col("sink_pk"))].alias("pk"),
-        keep_keys(F.col("data"), cols).alias("data"), "ts", *keep)
+        "sink_table", "sink_columns", F.col("_key_columns").alias("sink_pk"), "sink_extend",
+        F.col("type").alias("op_type"), F.col("_key").alias("pk"), F.col("_kept").alias("data"),
+        "ts", *keep)
 
 
 def latest_rows(routed: DataFrame) -> DataFrame:
-    """Last change per (sink table, key): the row a keyed upsert leaves."""
-    return latest_by_key(routed, ["sink_table", "pk"], ["ts"])
+    """Last change per (sink table, key), the row a keyed upsert leaves: by
+    `ts`, then by arrival (`partition`, `offset`) where the log has it. Rows
+    without a whole key are left out (`rejected_rows`)."""
+    arrival = [c for c in ("partition", "offset") if c in routed.columns]
+    return latest_by_key(routed.filter(F.col("pk").isNotNull()), ["sink_table", "pk"],
+                         ["ts", *arrival])
+
+
+def rejected_rows(routed: DataFrame) -> DataFrame:
+    """Routed rows that lack a part of their key, and so cannot be upserted."""
+    return routed.filter(F.col("pk").isNull())
 
 
 def long_form(routed: DataFrame) -> DataFrame:
@@ -108,7 +136,8 @@ def ddl_statements(rule_changes: DataFrame, database: str = "dim") -> DataFrame:
     dims = rules_of(rule_changes, "dim")
     name = F.concat(F.lit(database + "."), F.col("sink_table"))
     pk = pk_of(F.col("sink_pk"))
-    cols = F.regexp_replace(F.col("sink_columns"), "[^,]+", "$0 STRING")
+    cols = F.array_join(F.transform(column_list(F.col("sink_columns")),
+                                    lambda c: F.concat(c, F.lit(" STRING"))), ",")
     create = F.concat(
         F.lit("CREATE TABLE IF NOT EXISTS "), name, F.lit(" ("), cols,
         F.lit(", _batch BIGINT) USING parquet PARTITIONED BY (_batch)"),
@@ -124,32 +153,38 @@ def ddl_statements(rule_changes: DataFrame, database: str = "dim") -> DataFrame:
 
 
 APPLIED_LOG = "_rule_ddl_applied"
+# DDL rows read by the driver at a time.
+DDL_CHUNK = 1000
 
 
 def apply_ddl(spark: SparkSession, rule_changes: DataFrame, database: str = "dim",
-              max_rules: int = MAX_RULES) -> list[str]:
-    """Run the DDL of a (bounded) set of rule changes, in order, on the
-    driver; returns the statements run.
+              chunk: int = DDL_CHUNK) -> list[str]:
+    """Run the DDL of a set of rule changes, in order, on the driver; returns
+    the statements run.
 
     Safe to call again with the same or a longer change log: the database
-    keeps a small log of applied change `seq`s (`_rule_ddl_applied`), and
-    changes at or below the last applied one are skipped, so an update
-    (drop + re-create) is not repeated when a micro-batch runs again.
+    keeps a small log of applied changes (`_rule_ddl_applied`: `seq` and
+    table), which are skipped, so an update (drop + re-create) is not repeated
+    when a micro-batch runs again. A long backlog is read in chunks.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     log = f"{database}.{APPLIED_LOG}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {log} (seq BIGINT) USING parquet")
-    done = spark.table(log).agg(F.max("seq")).first()[0]
-    todo = ddl_statements(rule_changes, database)
-    if done is not None:
-        todo = todo.filter(F.col("seq") > done)
-    rows = todo.orderBy("seq", "step").limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError("more rule changes than the configured bound")
-    ran = []
-    for seq in sorted({r["seq"] for r in rows}):
-        for r in (r for r in rows if r["seq"] == seq):
-            spark.sql(r["sql"])
-            ran.append(r["sql"])
-        spark.sql(f"INSERT INTO {log} VALUES ({int(seq)})")
-    return ran
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {log} (seq BIGINT, sink_table STRING) USING parquet")
+    statements = ddl_statements(rule_changes, database)
+    ran: list[str] = []
+    while True:
+        todo = statements.join(spark.table(log), ["seq", "sink_table"], "left_anti")
+        rows = todo.orderBy("seq", "sink_table", "step").limit(chunk).collect()
+        changes = sorted({(r["seq"], r["sink_table"]) for r in rows})
+        if len(rows) == chunk and len(changes) > 1:
+            changes.pop()                       # its later steps may be in the next chunk
+        for change in changes:
+            for r in rows:
+                if (r["seq"], r["sink_table"]) == change:
+                    spark.sql(r["sql"])
+                    ran.append(r["sql"])
+        if changes:
+            values = ", ".join(f"({int(q)}, '{t}')" for q, t in changes)
+            spark.sql(f"INSERT INTO {log} VALUES {values}")
+        if len(rows) < chunk:
+            return ran

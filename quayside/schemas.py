@@ -35,11 +35,14 @@ RULE_FIELDS = ["source_table", "source_type", "sink_table", "sink_type",
                "sink_columns", "sink_pk", "sink_extend"]
 RULE = T.StructType([T.StructField(f, S) for f in RULE_FIELDS])
 
-# Debezium change of a rule; `seq` orders the changes (binlog position).
+# Debezium change of a rule. The binlog position (`source.file`, `source.pos`)
+# orders the changes; `seq`, where a landing job adds one, comes before it.
 RULE_CHANGE = T.StructType([
     T.StructField("op", S),
     T.StructField("before", RULE),
     T.StructField("after", RULE),
+    T.StructField("source", T.StructType([T.StructField("file", S), T.StructField("pos", L)])),
+    T.StructField("ts_ms", L),
     T.StructField("seq", L),
 ])
 

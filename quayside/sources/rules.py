@@ -1,15 +1,15 @@
 """Routing rules (`table_process`): landed Debezium change text and preload.
 
 The binlog reader itself is not rebuilt: rule changes are read as the JSON
-text a CDC connector lands in a topic or files (`{op, before, after}` plus a
-`seq` position), the same frame shape for batch and stream.
+text a CDC connector lands in a topic or files (`{op, before, after, source,
+ts_ms}`), the same frame shape for batch and stream.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.schemas import RULE, RULE_CHANGE, RULE_FIELDS
@@ -48,12 +48,21 @@ def _sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def change_order(seq: Column, source: Column, ts_ms: Column) -> Column:
+    """One number that orders rule changes: `seq` where there is one, else the
+    binlog position (file number, then position), else the time, else 0."""
+    number = F.regexp_extract(source["file"], r"(\d+)$", 1).try_cast("bigint")
+    return F.coalesce(seq, F.shiftleft(number, 40) + source["pos"], ts_ms,
+                      F.lit(0).cast("bigint"))
+
+
 def parse_rule_changes(raw: DataFrame, value: str = "value") -> DataFrame:
     """Debezium change text -> one rule row per change (P4): the `before`
     image when the change is a delete, else `after`; plus `op` and `seq`."""
     parsed = raw.select(parse_once(F.from_json(F.col(value), RULE_CHANGE)))
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    return parsed.select(*[image[f].alias(f) for f in RULE_FIELDS], "op", "seq")
+    return parsed.select(*[image[f].alias(f) for f in RULE_FIELDS], "op", change_order(
+        F.col("seq"), F.col("source"), F.col("ts_ms")).alias("seq"))
 
 
 def preload_rules(rules: DataFrame) -> DataFrame:

@@ -104,3 +104,39 @@ def test_apply_ddl_is_safe_to_repeat(spark):
     assert len(ran) == 2 and spark.table(f"{db}.dim_user_info").count() == 0
     assert [c.name for c in spark.catalog.listColumns(f"{db}.dim_user_info")] == \
         ["id", "name", "_batch"]
+
+
+def test_connector_changes_are_ordered_by_binlog_position(spark):
+    import json
+    rule = {"source_table": "t", "source_type": "ALL", "sink_table": "dim_t", "sink_type": "dim",
+            "sink_columns": "id, name", "sink_pk": None, "sink_extend": None}
+
+    def text(op, file, pos, columns):
+        return json.dumps({"op": op, "before": None, "after": rule | {"sink_columns": columns},
+                           "source": {"file": file, "pos": pos}, "ts_ms": 5})
+    texts = [text("u", "mysql-bin.000010", 4, "id,c"), text("r", "mysql-bin.000009", 999, "id,a"),
+             text("u", "mysql-bin.000009", 1000, "id,b")]
+    changes = parse_rule_changes(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert [r.sink_columns for r in changes.orderBy("seq").collect()] == ["id,a", "id,b", "id,c"]
+    assert dims.active_rules(changes).first().sink_columns == "id,c"
+    bare = parse_rule_changes(spark.createDataFrame([(json.dumps(
+        {"op": "c", "before": None, "after": rule}),)], "value string"))
+    assert dims.active_rules(bare).first().sink_table == "dim_t"
+
+
+def test_ddl_backlog_is_run_in_chunks(spark):
+    db = "dim_ddl_chunks_t"
+    ran = dims.apply_ddl(spark, _rules(spark), database=db, chunk=2)
+    assert len(ran) == 6 and dims.apply_ddl(spark, _rules(spark), database=db, chunk=2) == []
+
+
+def test_blanks_in_the_column_list(spark):
+    rows = spark.createDataFrame([("shop", "t", "insert", 1, {"id": "1", "name": "n", "x": "y"})],
+                                 "database string, table string, type string, ts long, "
+                                 "data map<string,string>")
+    rules = spark.createDataFrame([("t", "ALL", "dim_t", "dim", " id , name,", " ", None)],
+                                  "source_table string, source_type string, sink_table string, "
+                                  "sink_type string, sink_columns string, sink_pk string, "
+                                  "sink_extend string")
+    row = dims.route(rows, rules).first()
+    assert row.data == {"id": "1", "name": "n"} and row.pk == "1"

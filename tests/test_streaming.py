@@ -342,8 +342,9 @@ def test_merge_into_tables_created_by_rule_ddl(spark, scratch):
     merge.upsert_dims(topic.select("value"), 1, rules, target_database=db, compact_every=1)
     assert rows_of(merge.read_dim(spark, "dim_sku_info", database=db)) == \
         rows_of(Q.dim_upsert_sku(spark, SF_SMALL))
+    # older partitions stay for running readers until the next compaction
     assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_sku_info").collect()] == \
-        ["_batch=3"]
+        ["_batch=0", "_batch=2", "_batch=3"]
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == \
         rows_of(Q.dim_upsert_user(spark, SF_SMALL))
 
@@ -361,15 +362,72 @@ def test_compaction_keeps_last_rows_and_few_partitions(spark, scratch):
     want = rows_of(Q.dim_upsert_user(spark, SF_SMALL))
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
     parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_user_info").collect()]
-    assert parts == ["_batch=7", "_batch=8"]       # compacted at batch 3, then batch 4
+    # compacted at batches 1 and 3; batches 2 and 4 had no rows and wrote nothing
+    assert parts == ["_batch=3", "_batch=6", "_batch=7"]
     # replaying an old batch after compaction changes nothing
     merge.upsert_dims(inserts, 0, rules, target_database=db, compact_every=2)
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
     # replaying the compacting batch compacts again, still correct
     merge.upsert_dims(updates, 3, rules, target_database=db, compact_every=2)
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
-    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_user_info").collect()]
-    assert "_batch=0" not in parts
+
+
+def _change(table, kind, ts, data, offset, partition=0):
+    return (json.dumps({"database": "shop", "table": table, "type": kind, "ts": ts, "data": data}),
+            partition, offset)
+
+
+def _rule(spark, columns, pk, table="sku_attr"):
+    return spark.createDataFrame(
+        [(table, "ALL", "dim_" + table, "dim", columns, pk, None, 1)],
+        "source_table string, source_type string, sink_table string, sink_type string, "
+        "sink_columns string, sink_pk string, sink_extend string, seq long")
+
+
+def test_dimension_rows_win_by_arrival_and_by_whole_key(spark, scratch):
+    rules = _rule(spark, "sku_id, attr_id ,name", "sku_id, attr_id")
+    rows = [_change("sku_attr", "update", 5, {"sku_id": "1", "attr_id": "a", "name": "old"}, 0),
+            _change("sku_attr", "insert", 5, {"sku_id": "1", "attr_id": "a", "name": "new"}, 1),
+            _change("sku_attr", "insert", 5, {"sku_id": "1", "attr_id": "b", "name": "x"}, 2),
+            _change("sku_attr", "insert", 5, {"sku_id": "2", "attr_id": "a", "name": "y"}, 3),
+            _change("sku_attr", "insert", 5, {"sku_id": "3", "name": "no key"}, 4)]
+    batch = spark.createDataFrame(rows, "value string, partition int, offset long")
+    db = "dim_composite_t"
+    assert merge.upsert_dims(batch, 0, rules, target_database=db) == 1
+    assert merge.upsert_dims(batch, 0, rules, target_database=db) == 1     # replayed
+    got = merge.read_dim(spark, "dim_sku_attr", "sku_id,attr_id", db)
+    assert rows_of(got, ["sku_id", "attr_id", "name"]) == [
+        ("1", "a", "new"), ("1", "b", "x"), ("2", "a", "y")]
+    rejected = spark.table(f"{db}._rejected").collect()
+    assert [(r.sink_table, json.loads(r.data)["sku_id"]) for r in rejected] == [("dim_sku_attr", "3")]
+    # a batch without rows of a table leaves that table alone
+    other = spark.createDataFrame([_change("nobody", "insert", 9, {"id": "1"}, 9)], batch.schema)
+    assert merge.upsert_dims(other, 1, rules, target_database=db) == 0
+
+
+def test_a_new_checkpoint_starts_a_new_generation(spark, scratch):
+    rules = _rule(spark, "id,name", None, "gen")
+    db = "dim_generation_t"
+
+    def run(name, values, checkpoint):
+        folder = write_files(f"{scratch}/{name}", [
+            [_change("gen", "insert", 1, {"id": "1", "name": v}, 0)[0]] for v in values])
+        s = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(folder)
+        launcher.run_available(s, name, checkpoint=f"{scratch}/{checkpoint}",
+                               foreach_batch=jobs.dim_upsert_batch(lambda _: rules,
+                                                                   target_database=db))
+    run("gen_a", ["v0", "v1", "v2"], "ck_a")
+    assert rows_of(merge.read_dim(spark, "dim_gen", database=db)) == [("1", "v2")]
+    run("gen_b", ["after reset"], "ck_b")
+    assert rows_of(merge.read_dim(spark, "dim_gen", database=db)) == [("1", "after reset")]
+    assert spark.table(f"{db}._generations").count() == 2
+
+
+def test_upsert_rows_with_equal_times_keep_the_last_arrival(spark):
+    rows = spark.createDataFrame([("1", "zzz", 7, 0), ("1", "aaa", 7, 1)],
+                                 "id string, v string, ts long, offset long")
+    merge.upsert_rows(rows, 0, "ties", "id", ["ts"], database="dwd_ties_t")
+    assert rows_of(merge.read_dim(spark, "ties", database="dwd_ties_t"), ["id", "v"]) == [("1", "aaa")]
 
 
 def test_landing_stream_partitions_by_table(spark, scratch):
@@ -405,7 +463,8 @@ def test_upsert_topic_kept_as_table(spark, scratch):
     got = merge.read_dim(spark, "trade_order_detail", "id", "dwd_upsert_t").drop("row_op_ts")
     assert rows_of(got) == rows_of(Q.upsert_latest_by_key(spark, SF_SMALL))
     parts = [r[0] for r in spark.sql("SHOW PARTITIONS dwd_upsert_t.trade_order_detail").collect()]
-    assert parts == ["_batch=3"]
+    # the query's first generation: two merges and the compaction after them
+    assert [divmod(int(p.split("=")[1]), 1 << 40) for p in parts] == [(1, 0), (1, 2), (1, 3)]
 
 
 def test_rule_ddl_stream_and_text_source(spark, scratch):
