@@ -103,32 +103,85 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
             TOPIC_ERR: error, TOPIC_PAGE: page}
 
 
+def _declared(log: DataFrame) -> DataFrame:
+    """`start`, `err` flags and the pieces of the outputs from the declared
+    columns (string maps)."""
+    ts = F.create_map(F.lit("ts"), F.col("ts").cast("string"))
+    maps = "array<map<string,string>>"
+
+    def rec(*drop: str) -> Column:
+        return F.to_json(F.struct(*[F.col(c) for c in LOG_COLUMNS if c not in drop]))
+
+    return log.withColumns({
+        "_whole": rec(), "_page": rec("displays", "actions", "err"),
+        "_err": F.when(F.col("err").isNotNull(), rec("displays", "actions")),
+        "_displays": F.transform(F.coalesce("displays", F.array().cast(maps)), lambda d: F.to_json(
+            merge_maps(merge_maps(d, F.col("common")), ts))),
+        "_actions": F.transform(F.coalesce("actions", F.array().cast(maps)), lambda a: F.to_json(
+            merge_maps(a, F.col("common"))))})
+
+
+def _open(log: DataFrame) -> DataFrame:
+    """The same pieces from the whole `record` (`sources.logs.clean_log` with
+    `record=True`): unknown fields and value types stay. The repaired flag
+    replaces the record's own."""
+    log = log.withColumn("_common", F.expr(
+        "try_variant_get(record['common'], '$', 'map<string,variant>')"))
+    log = log.withColumn("_flag", F.expr("try_variant_get(record['common'], '$.is_new', 'string')"))
+    log = log.withColumn("_common", F.expr("""
+        CASE WHEN common['is_new'] IS DISTINCT FROM _flag THEN map_concat(
+               map_filter(_common, (k, v) -> k != 'is_new'),
+               map('is_new', CAST(common['is_new'] AS VARIANT)))
+             ELSE _common END"""))
+    log = log.withColumn("_record", F.expr("""
+        CASE WHEN common['is_new'] IS DISTINCT FROM _flag THEN map_concat(
+               map_filter(record, (k, v) -> k != 'common'),
+               map('common', to_variant_object(_common)))
+             ELSE record END"""))
+
+    def rec(*drop: str) -> Column:
+        names = ", ".join(f"'{d}'" for d in drop)
+        return F.expr(f"to_json(map_filter(_record, (k, v) -> k NOT IN ({names})))")
+
+    def children(field: str, winner: str) -> Column:
+        """Each child map merged with `winner`, whose entries win."""
+        return F.expr(f"""
+            transform(coalesce(try_variant_get(record['{field}'], '$', 'array<map<string,variant>>'),
+                               CAST(array() AS array<map<string,variant>>)),
+                      c -> to_json(map_concat(
+                          map_filter(coalesce(c, CAST(map() AS map<string,variant>)),
+                                     (k, v) -> NOT array_contains(map_keys({winner}), k)), {winner})))""")
+
+    log = log.withColumn("_timed", F.expr("""
+        map_concat(map_filter(_common, (k, v) -> k != 'ts'), map('ts', CAST(ts AS VARIANT)))"""))
+    return log.withColumns({
+        "_whole": F.to_json("_record"), "_page": rec("displays", "actions", "err"),
+        "_err": F.when(F.col("err").isNotNull(), rec("displays", "actions")),
+        "_displays": children("displays", "_timed"), "_actions": children("actions", "_common")})
+
+
 def split_as_topics(log: DataFrame) -> DataFrame:
     """All five outputs as one `key`, `topic`, `value` frame (K5) in a single pass.
 
     Each record yields an array of (topic, JSON text) pairs that one
     `explode` turns into rows: no union of five branches, so the log (and
     any keyed state before it) is read once and a Kafka sink routes every
-    row by its `topic`.
+    row by its `topic`. With a `record` column the outputs are made from the
+    whole record, and keep fields that the schema does not name.
     """
-    def rec(*drop: str) -> Column:
-        return F.to_json(F.struct(*[F.col(c) for c in LOG_COLUMNS if c not in drop]))
+    log = _open(log) if "record" in log.columns else _declared(log)
 
     def pair(topic: str, value: Column) -> Column:
         return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
 
     empty = F.array().cast("array<struct<topic:string,value:string>>")
-    displays = F.transform(F.coalesce(F.col("displays"), F.array().cast("array<map<string,string>>")),
-                           lambda d: pair(TOPIC_DISPLAY, F.to_json(merge_maps(
-                               merge_maps(d, F.col("common")),
-                               F.create_map(F.lit("ts"), F.col("ts").cast("string"))))))
-    actions = F.transform(F.coalesce(F.col("actions"), F.array().cast("array<map<string,string>>")),
-                          lambda a: pair(TOPIC_ACTION, F.to_json(merge_maps(a, F.col("common")))))
-    error = F.when(F.col("err").isNotNull(),
-                   F.array(pair(TOPIC_ERR, rec("displays", "actions")))).otherwise(empty)
-    page = F.array(pair(TOPIC_PAGE, rec("displays", "actions", "err")))
-    pairs = F.when(F.col("start").isNotNull(), F.array(pair(TOPIC_START, rec()))).otherwise(
-        F.concat(displays, actions, error, page))
+    error = F.when(F.col("_err").isNotNull(), F.array(pair(TOPIC_ERR, F.col("_err")))
+                   ).otherwise(empty)
+    pairs = F.when(F.col("start").isNotNull(), F.array(pair(TOPIC_START, F.col("_whole")))
+                   ).otherwise(F.concat(
+                       F.transform("_displays", lambda d: pair(TOPIC_DISPLAY, d)),
+                       F.transform("_actions", lambda a: pair(TOPIC_ACTION, a)),
+                       error, F.array(pair(TOPIC_PAGE, F.col("_page")))))
     place = [c for c in ("partition", "offset") if c in log.columns]
     out = log.select(F.posexplode(pairs).alias("pos", "p"), *place)
     return out.select(source_key(out, "pos"), "p.topic", "p.value")

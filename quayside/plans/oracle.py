@@ -297,6 +297,14 @@ UNION ALL SELECT 'dwd_traffic_action', count(*) FROM acts
 UNION ALL SELECT 'dwd_traffic_err', count(*) FROM lgr WHERE event_type = 'error'
 UNION ALL SELECT 'dwd_traffic_page', count(*) FROM lgr WHERE event_type <> 'signup'""")
 
+oracle("traffic_open_fields", """
+SELECT topic, CAST(event_id AS VARCHAR) AS seq_no,
+       '{"even":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
+       || ',"k":' || CAST(k AS VARCHAR) || '}' AS ext, is_new, ms AS ts
+FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'dwd_traffic_start' ELSE 'dwd_traffic_page'
+                END AS topic FROM lgr
+      UNION ALL SELECT *, 'dwd_traffic_err' FROM lgr WHERE event_type = 'error')""")
+
 # Dimension rows after routing by the current rules (user_info: id, name,
 # province_id; sku_info: id, sku_name, brand; provinces and suppliers have
 # no rule).

@@ -219,9 +219,9 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.ods_log(spark, sf_dir)
 
 
-def repaired_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def repaired_log(spark: SparkSession, sf_dir: str, record: bool = False) -> DataFrame:
     raw = raw_log(spark, sf_dir)
-    return traffic.repair_is_new(clean_log(raw), log_keys(raw))
+    return traffic.repair_is_new(clean_log(raw, record=record), log_keys(raw))
 
 
 def _common(*keys: str):
@@ -288,6 +288,20 @@ def traffic_topic_counts(spark, sf_dir):
     return topics.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def traffic_open_fields(spark, sf_dir):
+    """Fields no schema names, in the start, err and page outputs: a number
+    stays a number, a nested object stays one, the repaired flag is in."""
+    topics = traffic.split_as_topics(repaired_log(spark, sf_dir, record=True))
+    v = F.col("value")
+    return topics.filter(F.col("topic").isin(
+        traffic.TOPIC_START, traffic.TOPIC_ERR, traffic.TOPIC_PAGE)).select(
+        "topic", F.regexp_extract(v, r'"seq_no":(\d+)', 1).alias("seq_no"),
+        F.get_json_object(v, "$.ext").alias("ext"),
+        F.get_json_object(v, "$.common.is_new").alias("is_new"),
+        F.get_json_object(v, "$.ts").cast("bigint").alias("ts"))
+
+
 # -- dimensions ---------------------------------------------------------------
 
 def current_rules(spark: SparkSession) -> DataFrame:

@@ -16,16 +16,19 @@ def _valid(parsed: Column) -> Column:
     return F.coalesce(parsed.getField("common")["mid"].isNotNull(), F.lit(False))
 
 
-def parse_ods_log(raw: DataFrame, value: str = "value") -> DataFrame:
-    """`value` JSON text -> log record columns plus a `_valid` flag."""
+def parse_ods_log(raw: DataFrame, value: str = "value", record: bool = False) -> DataFrame:
+    """`value` JSON text -> log record columns plus a `_valid` flag. With
+    `record`, also the whole object as `record`, a map of variants: it keeps
+    fields the schema does not name, and the types of all values."""
     keep = [c for c in CARRIED if c in raw.columns]
-    out = raw.select(parse_once(F.from_json(F.col(value), ODS_LOG)), *keep)
+    whole = [F.from_json(F.col(value), "map<string,variant>").alias("record")] if record else []
+    out = raw.select(parse_once(F.from_json(F.col(value), ODS_LOG)), *whole, *keep)
     return out.withColumn("_valid", F.coalesce(F.col("common")["mid"].isNotNull(), F.lit(False)))
 
 
-def clean_log(raw: DataFrame, value: str = "value") -> DataFrame:
+def clean_log(raw: DataFrame, value: str = "value", record: bool = False) -> DataFrame:
     """Valid log records only."""
-    return parse_ods_log(raw, value).filter("_valid").drop("_valid")
+    return parse_ods_log(raw, value, record).filter("_valid").drop("_valid")
 
 
 def rejected_log(raw: DataFrame, value: str = "value") -> DataFrame:

@@ -375,7 +375,8 @@ def _ods_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     err = F.when(et == "error", _smap([("code", k)]))
     record = F.to_json(F.struct(common.alias("common"), page.alias("page"), start.alias("start"),
                                 disp.alias("displays"), acts.alias("actions"), err.alias("err"),
-                                ms.alias("ts")))
+                                ms.alias("ts"), eid.alias("seq_no"),
+                                F.struct(k.alias("k"), (eid % 2 == 0).alias("even")).alias("ext")))
     good = e.select(record.alias("value"), eid.alias("offset"))
     bad_text = (F.when(eid % 97 == 0, "not json").when(eid % 101 == 0, "[1]")
                  .when(eid % 103 == 0, '{"ts":1}'))

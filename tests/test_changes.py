@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from quayside.operators import trade
+from quayside.operators import trade, traffic
 from quayside.operators.cdc import changes, clean_ods, transitioned
 from quayside.sources.dictionary import base_dic
 from quayside.sources.logs import clean_log, rejected_log
@@ -140,3 +140,35 @@ def test_split_merge_rules(spark):
     topics = dict(traffic.split_as_topics(clean_log(raw)).groupBy("topic").count().collect())
     assert topics == {traffic.TOPIC_DISPLAY: 1, traffic.TOPIC_ACTION: 1, traffic.TOPIC_ERR: 1,
                       traffic.TOPIC_PAGE: 1, traffic.TOPIC_START: 1}
+
+
+def test_open_records_keep_unknown_fields_and_types(spark):
+    rec = {"common": {"mid": "m", "is_new": "1", "n": 7}, "page": {"id": 3}, "ts": 5, "x": [1, "a"],
+           "displays": [{"item": 2, "n": 0}], "actions": [{"action_id": 1, "ts": 9}], "err": {"code": 1}}
+    start = {"common": {"mid": "m", "is_new": 1}, "start": {"e": True}, "ts": 6, "deep": {"a": {"b": 1.5}}}
+    raw = spark.createDataFrame([(json.dumps(rec), 0, 4), (json.dumps(start), 0, 5)],
+                                "value string, partition int, offset long")
+    log = clean_log(raw, record=True)
+    repaired = log.withColumn("common", F.expr(
+        "map_concat(map_filter(common, (k, v) -> k != 'is_new'), map('is_new', '0'))"))
+    out = {r.key: (r.topic, json.loads(r.value)) for r in traffic.split_as_topics(repaired).collect()}
+    common = rec["common"] | {"is_new": "0"}
+    page = {k: v for k, v in rec.items() if k not in ("displays", "actions", "err")} | {"common": common}
+    assert out["0-4-0"] == ("dwd_traffic_display", {"item": 2, "ts": 5} | common)
+    assert out["0-4-1"] == ("dwd_traffic_action", {"action_id": 1, "ts": 9} | common)
+    assert out["0-4-2"] == ("dwd_traffic_err", page | {"err": {"code": 1}})
+    assert out["0-4-3"] == ("dwd_traffic_page", page)
+    assert out["0-5-0"] == ("dwd_traffic_start", start | {"common": {"mid": "m", "is_new": "0"}})
+    same = {r.key: json.loads(r.value) for r in traffic.split_as_topics(log).collect()}
+    assert same["0-5-0"] == start        # nothing repaired: the number stays a number
+
+
+def test_records_without_a_time_fix_no_day(spark):
+    day = 86_400_000
+    raw = spark.createDataFrame([(json.dumps({"common": {"mid": "a", "is_new": "1"}} | t), i) for i, t in
+                                 enumerate([{}, {"ts": 3 * day}, {"ts": 5 * day}])]
+                                + [(json.dumps({"common": {"mid": "b", "is_new": "1"}}), 9)],
+                                "value string, offset long")
+    fixed = traffic.repair_is_new(clean_log(raw))
+    assert {(r.offset, r.common["is_new"]) for r in fixed.collect()} == {
+        (0, "1"), (1, "1"), (2, "0"), (9, "1")}
