@@ -518,3 +518,42 @@ def test_dimension_stream_restart_from_checkpoint(spark, scratch):
     run()   # nothing new: no batch, no change
     assert rows_of(merge.read_dim(spark, "dim_user_info", database=db)) == want
     assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.dim_user_info").collect()] == parts
+
+
+def test_rules_and_dictionary_rows_added_while_running(spark, scratch):
+    """Both are read anew in every micro-batch: the second one sees a rule and
+    a dictionary row that were landed after the first."""
+    def cart(i):
+        return _change("cart_info", "insert", 1, {"id": str(i), "user_id": "u", "sku_id": "s",
+                                                 "source_type": "2405", "sku_num": "1"}, 0)[0]
+    folder = write_files(f"{scratch}/ods", [[cart(1)], [cart(2)]])
+    dic_path, rules_path = f"{scratch}/dic", f"{scratch}/rules"
+    base_dic(spark).write.parquet(dic_path)
+    spark.createDataFrame([("{}",)], "value string").write.text(rules_path)
+    seen = {"cart": [], "dwd": []}
+
+    def land_more(kind, batch_id):
+        if batch_id == 0 and kind == "cart":
+            spark.sql("SELECT '2405' AS dic_code, 'late' AS dic_name").write.mode(
+                "append").parquet(dic_path)
+        if batch_id == 0 and kind == "dwd":
+            rule_change_texts(spark).write.mode("append").text(rules_path)
+
+    def collect(kind):
+        def write(frame, batch_id):
+            seen[kind].append([r.value for r in frame.collect()])
+            land_more(kind, batch_id)
+        return write
+
+    from quayside.sources.dictionary import read_base_dic_parquet
+    from quayside.streaming import apps
+
+    def run(kind, transform):
+        s = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(folder)
+        launcher.run_available(s, f"live_{kind}", checkpoint=f"{scratch}/ck_{kind}",
+                               foreach_batch=jobs.per_batch(transform, collect(kind)))
+    run("cart", lambda b: apps.cart_add_records(b, read_base_dic_parquet(spark, dic_path), "shop"))
+    run("dwd", lambda b: jobs.dwd_route(b, dims.active_rules(parse_rule_changes(
+        spark.read.text(rules_path)))))
+    assert [len(x) for x in seen["cart"]] == [0, 1] and "late" in seen["cart"][1][0]
+    assert [len(x) for x in seen["dwd"]] == [0, 1]
