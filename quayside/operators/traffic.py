@@ -7,6 +7,8 @@ maps, `ts` epoch millis, and the arrival `offset`.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,17 +40,29 @@ def first_visit_days(log: DataFrame) -> DataFrame:
     costs one row per task, not all its records in one task. `log` is either
     the parsed log or its keys (`sources.logs.log_keys`: `mid`, `is_new`).
     """
-    order = F.struct(*[F.col(c) for c in arrival_order(log)])
     if "common" in log.columns:
         mid, is_new = F.col("common")["mid"], F.col("common")["is_new"]
     else:
         mid, is_new = F.col("mid"), F.col("is_new")
+    day = day_of_millis(F.col("ts"))
+    first = F.when(is_new == "1", day).otherwise(minus_one_day(day)).cast("date")
     firsts = log.filter(F.col("ts").isNotNull()).groupBy(mid.alias("_mid")).agg(
-        F.min_by(F.struct(is_new.alias("is_new"), day_of_millis(F.col("ts")).alias("day")),
-                 order).alias("_f"))
-    first_day = F.when(F.col("_f.is_new") == "1", F.col("_f.day")).otherwise(
-        minus_one_day(F.col("_f.day")))
-    return firsts.select("_mid", first_day.alias("_first_day"))
+        F.min_by(first, arrival_number(log)).alias("_first"))
+    return firsts.select("_mid", F.col("_first").cast("string").alias("_first_day"))
+
+
+def arrival_number(log: DataFrame) -> Column:
+    """`arrival_order` as one DECIMAL(38,0): time, then partition (6 digits),
+    then offset (15 digits). Fixed-width values let the aggregate hash its
+    keys instead of sorting its input."""
+    digits = {"ts": 21, "partition": 15, "offset": 0}
+    largest = {"ts": 10**16, "partition": 10**6 - 1, "offset": 10**15 - 1}
+    number = F.lit(0).cast("decimal(38,0)")
+    for c in arrival_order(log):
+        value = F.least(F.greatest(F.col(c), F.lit(-largest[c])), F.lit(largest[c]))
+        scaled = value.cast("decimal(17,0)") * F.lit(Decimal(10 ** digits[c])).cast("decimal(22,0)")
+        number = (number + scaled.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return number
 
 
 def repaired_is_new(is_new: Column, day: Column, first_day: Column) -> Column:
