@@ -22,6 +22,3 @@ def count_text(word="word", n="n"):
     """`word_n` text of one count, as written to the output topic."""
     return F.concat_ws("_", F.col(word), F.col(n).cast("string"))
 
-
-def as_text(counts: DataFrame) -> DataFrame:
-    return counts.select(count_text().alias("value"))
