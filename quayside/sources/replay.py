@@ -129,6 +129,12 @@ def _topic(df: DataFrame, table: str | Column, value: Column) -> DataFrame:
     return df.select(value.alias("value"), t.alias("_table"))
 
 
+def _topic_of_all(df: DataFrame, table: str, *values: Column) -> DataFrame:
+    """Several records per row (NULL: none) from one pass over the rows."""
+    records = F.filter(F.array(*values), lambda v: v.isNotNull())
+    return df.select(F.explode(records).alias("value"), F.lit(table).alias("_table"))
+
+
 def lineitem_id(prefix: str = "l_") -> Column:
     """Unique order-detail id of a lineitem row (shorter keys repeat)."""
     p = prefix
@@ -169,16 +175,16 @@ def order_info(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     base = [("id", F.col("o_orderkey")), ("user_id", F.col("o_custkey")),
             ("province_id", F.col("c_nationkey"))]
     ts = _seconds(F.col("o_orderdate"))
-    inserts = _topic(o, "order_info", change(
-        "order_info", "insert", base + [("order_status", F.lit(ORDER_CREATED))], ts, None, db))
+    insert = change("order_info", "insert", base + [("order_status", F.lit(ORDER_CREATED))], ts,
+                    None, db)
     status = F.col("o_orderstatus")
     new_status = None
     for flag, code in ORDER_STATUS_BY_FLAG.items():
         new_status = (F.when if new_status is None else new_status.when)(status == flag, code)
-    updates = _topic(o.filter(status.isin(*ORDER_STATUS_BY_FLAG)), "order_info", change(
-        "order_info", "update", base + [("order_status", new_status)], ts,
-        _smap([("order_status", F.lit(ORDER_CREATED))]), db))
-    return inserts.unionByName(updates)
+    update = change("order_info", "update", base + [("order_status", new_status)], ts,
+                    _smap([("order_status", F.lit(ORDER_CREATED))]), db)
+    return _topic_of_all(o, "order_info", insert,
+                         F.when(status.isin(*ORDER_STATUS_BY_FLAG), update))
 
 
 def order_detail(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
@@ -262,11 +268,13 @@ def dim_sources(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     c = t.spread("customer")
     user = [("id", F.col("c_custkey")), ("name", F.col("c_name")),
             ("province_id", F.col("c_nationkey")), ("segment", F.col("c_mktsegment"))]
-    users = _topic(c, "user_info", change("user_info", "insert", user, F.lit(0), None, db))
     renamed = [("id", F.col("c_custkey")), ("name", F.concat(F.col("c_name"), F.lit("-v2"))),
                ("province_id", F.col("c_nationkey")), ("segment", F.col("c_mktsegment"))]
-    user_updates = _topic(c.filter(F.col("c_custkey") % 10 == 0), "user_info", change(
-        "user_info", "update", renamed, F.lit(1), _smap([("name", F.col("c_name"))]), db))
+    users = _topic_of_all(c, "user_info",
+                          change("user_info", "insert", user, F.lit(0), None, db),
+                          F.when(F.col("c_custkey") % 10 == 0, change(
+                              "user_info", "update", renamed, F.lit(1),
+                              _smap([("name", F.col("c_name"))]), db)))
     p = t.spread("part")
     sku = [("id", F.col("p_partkey")), ("sku_name", F.col("p_name")),
            ("brand", F.col("p_brand")), ("type", F.col("p_type"))]
@@ -277,7 +285,7 @@ def dim_sources(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     s = t.supplier
     sup = [("id", F.col("s_suppkey")), ("name", F.col("s_name"))]
     suppliers = _topic(s, "supplier_info", change("supplier_info", "insert", sup, F.lit(0), None, db))
-    return reduce(DataFrame.unionByName, [users, user_updates, skus, provinces, suppliers])
+    return reduce(DataFrame.unionByName, [users, skus, provinces, suppliers])
 
 
 def bad_changes(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
