@@ -94,6 +94,13 @@ CTES = {
                CAST(CAST(l_extendedprice AS DECIMAL(16,2)) AS VARCHAR) AS total_amount,
                ots AS ts
         FROM li WHERE l_returnflag = 'R' AND l_linestatus = 'F'""",
+    # Status updates of refunds, and all changes of a table.
+    "ri_up": """
+        SELECT * REPLACE (ts + 3600 AS ts) FROM ri WHERE CAST(order_id AS BIGINT) % 3 = 0""",
+    "rp_up": """
+        SELECT * REPLACE (ts + 86400 AS ts) FROM rp WHERE CAST(order_id AS BIGINT) % 2 = 0""",
+    "ri_all": "SELECT * FROM ri UNION ALL SELECT * FROM ri_up",
+    "rp_all": "SELECT * FROM rp UNION ALL SELECT * FROM rp_up",
 }
 
 
@@ -160,6 +167,8 @@ UNION ALL SELECT 'shop', 'order_detail_coupon', 'insert', ots, false, 2
 UNION ALL SELECT 'shop', 'payment_info', 'update', ts, true, 5 FROM pay
 UNION ALL SELECT 'shop', 'order_refund_info', 'insert', ts, false, 11 FROM ri
 UNION ALL SELECT 'shop', 'refund_payment', 'insert', ts, false, 7 FROM rp
+UNION ALL SELECT 'shop', 'order_refund_info', 'update', ts, true, 11 FROM ri_up
+UNION ALL SELECT 'shop', 'refund_payment', 'update', ts, true, 7 FROM rp_up
 UNION ALL SELECT 'shop', 'user_info', 'insert', 0, false, 4 FROM customer
 UNION ALL SELECT 'shop', 'user_info', 'update', 1, true, 4 FROM customer WHERE c_custkey % 10 = 0
 UNION ALL SELECT 'shop', 'sku_info', 'bootstrap-insert', 0, false, 4 FROM part
@@ -210,7 +219,7 @@ LEFT JOIN cou ON od.id = cou.order_detail_id""")
 
 oracle("refund_pay_join_refund", """
 SELECT rp.id, rp.order_id, rp.sku_id, ri.refund_num, rp.total_amount
-FROM rp JOIN ri ON rp.order_id = ri.order_id AND rp.sku_id = ri.sku_id""")
+FROM rp_all rp JOIN ri_all ri ON rp.order_id = ri.order_id AND rp.sku_id = ri.sku_id""")
 
 PAY_SELECT = """
 SELECT tod.id AS order_detail_id, tod.order_id, tod.user_id, tod.sku_id, tod.sku_name,
@@ -236,14 +245,17 @@ FROM ri JOIN oi o ON ri.order_id = o.id AND o.new_status = '1005'
 JOIN dic d1 ON ri.refund_type = d1.dic_code
 JOIN dic d2 ON ri.refund_reason_type = d2.dic_code""")
 
-oracle("trade_refund_pay_suc", """
+REFUND_PAID_SELECT = """
 SELECT rp.id, o.user_id, rp.order_id, rp.sku_id, o.province_id,
        rp.payment_type AS payment_type_code, d.dic_name AS payment_type_name,
        strftime(CAST(rp.callback_time AS TIMESTAMP), '%Y-%m-%d') AS date_id, rp.callback_time,
        r.refund_num, rp.total_amount AS refund_amount, rp.ts
-FROM rp JOIN ri r ON rp.order_id = r.order_id AND rp.sku_id = r.sku_id
+FROM rp_{kind} rp JOIN ri_{kind} r ON rp.order_id = r.order_id AND rp.sku_id = r.sku_id
 JOIN oi o ON rp.order_id = o.id AND o.new_status = '1006'
-JOIN dic d ON rp.payment_type = d.dic_code""")
+JOIN dic d ON rp.payment_type = d.dic_code"""
+
+oracle("trade_refund_pay_suc", REFUND_PAID_SELECT.format(kind="all"))
+oracle("trade_refund_pay_suc_strict", REFUND_PAID_SELECT.format(kind="up"))
 
 oracle("trade_cancel_detail", """
 SELECT tod.* REPLACE (oi.ts AS ts) FROM tod

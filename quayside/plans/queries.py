@@ -107,6 +107,14 @@ def trade_cancel_detail(spark, sf_dir):
                                      "1002").drop("row_op_ts")
 
 
+@query
+def trade_refund_pay_suc_strict(spark, sf_dir):
+    """Refund paid, only payments that turned paid and lines that turned
+    approved (the reference's commented-out filters)."""
+    return trade.trade_refund_pay_suc(ods(spark, sf_dir), base_dic(spark),
+                                      strict=True).drop("row_op_ts")
+
+
 # -- change-log building blocks -----------------------------------------------
 
 @query

@@ -27,6 +27,7 @@ ORDER_CREATED = "1001"
 ORDER_STATUS_BY_FLAG = {"P": "1005", "F": "1006", "O": "1002"}
 PAYMENT_WAITING = "1601"
 PAYMENT_SUCCESS = "1602"
+REFUND_ASKED = "0701"
 REFUND_APPROVED = "0705"
 REFUND_PAID = "0702"
 
@@ -247,8 +248,13 @@ def order_refund_info(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
             ("refund_reason_txt", F.concat(F.lit("r"), _str("l_suppkey"))),
             ("create_time", _day_time(F.col("l_shipdate"))),
             ("refund_status", F.lit(REFUND_APPROVED))]
-    return _topic(li, "order_refund_info", change(
-        "order_refund_info", "insert", data, _seconds(F.col("o_orderdate")), None, db))
+    ts = _seconds(F.col("o_orderdate"))
+    # Every third order's lines are approved by an update an hour later.
+    approved = change("order_refund_info", "update", data, ts + 3600,
+                      _smap([("refund_status", F.lit(REFUND_ASKED))]), db)
+    return _topic_of_all(li, "order_refund_info",
+                         change("order_refund_info", "insert", data, ts, None, db),
+                         F.when(F.col("l_orderkey") % 3 == 0, approved))
 
 
 def refund_payment(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
@@ -258,8 +264,13 @@ def refund_payment(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
             ("callback_time", _day_time(F.col("l_shipdate"))),
             ("total_amount", _money("l_extendedprice")),
             ("refund_status", F.lit(REFUND_PAID))]
-    return _topic(li, "refund_payment", change(
-        "refund_payment", "insert", data, _seconds(F.col("o_orderdate")), None, db))
+    ts = _seconds(F.col("o_orderdate"))
+    # Every other order's refunds turn paid by an update a day later.
+    paid = change("refund_payment", "update", data, ts + 86400,
+                  _smap([("refund_status", F.lit(REFUND_APPROVED))]), db)
+    return _topic_of_all(li, "refund_payment",
+                         change("refund_payment", "insert", data, ts, None, db),
+                         F.when(F.col("l_orderkey") % 2 == 0, paid))
 
 
 def dim_sources(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
