@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from quayside.plans.queries import QUERIES  # noqa: E402
 from quayside.session import build_session  # noqa: E402
 
 
@@ -57,7 +57,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8)
     rows = []
-    for name, q in sorted(E.queries().items()):
+    for name, q in sorted(QUERIES.items()):
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         rows.append((name, summarize(plan)))
     cols = list(rows[0][1])
