@@ -309,7 +309,10 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     lost = found.where("doc_id != class_id").select(F.col("doc_id").alias("__id")).distinct()
     repeated = found.groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id")
     same_id = F.col("doc_id") == F.col("__id")
-    kept = docs.join(lost, same_id, "left_anti")
+    # The ids that go grow with the input: a merge join at every size.
+    kept = docs.join(lost.hint("merge"), same_id, "left_anti")
+    if repeated.isEmpty():
+        return kept
     once = kept.join(repeated, same_id, "left_anti")
     row = F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("__row")
     again = (kept.join(repeated, same_id, "left_semi").groupBy("doc_id").agg(row)
