@@ -76,20 +76,20 @@ class CountedText:
         end += self.chars[last]
         shift = len(new) - (stop - start)
         self.text = text = self.text[:start] + new + self.text[stop:]
-        pretokens, at = [], begin
-        for match in self.coder.pattern.finditer(text, begin):
-            while at > end + shift:            # a pre-token crossed the leaf's end
-                last += 1
-                end += self.chars[last]
-            if at == end + shift:
-                break
-            pretokens.append(match.group())
-            at = match.end()
-        else:                                  # cut to the text's end
-            last, end = len(self.chars) - 1, n
+        # A pre-token depends on two characters after it at most.
+        pretokens = self.coder.pattern.findall(text[begin:end + shift + 2])
+        length = np.fromiter(map(len, pretokens), np.int64, len(pretokens))
+        stops = begin + np.cumsum(length)
+        met = int(np.searchsorted(stops, end + shift))
+        if end + shift == begin:
+            pretokens, length = [], length[:0]
+        elif met < len(stops) and stops[met] == end + shift:
+            pretokens, length = pretokens[:met + 1], length[:met + 1]
+        else:                                  # one crosses the leaf's end
+            pretokens, last = self._cut_on(begin, last, end, shift)
+            length = np.fromiter(map(len, pretokens), np.int64, len(pretokens))
         self.encoded += len(pretokens)
         sizes = self.coder.sizes(pretokens)
-        length = np.fromiter(map(len, pretokens), np.int64, len(pretokens))
         if len(pretokens) > 4 * LEAF:
             self._rebuild(first, last, length, sizes)
             return
@@ -103,6 +103,20 @@ class CountedText:
                 self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
             low, high = low // 2, high // 2
 
+    def _cut_on(self, begin: int, last: int, end: int, shift: int) -> tuple[list[str], int]:
+        """Pre-tokens from ``begin`` until one ends where an old leaf did, and
+        that leaf; ``end``: the old end of leaf ``last``."""
+        pretokens, at = [], begin
+        for match in self.coder.pattern.finditer(self.text, begin):
+            while at > end + shift:
+                last += 1
+                end += self.chars[last]
+            if at == end + shift and pretokens:
+                return pretokens, last
+            pretokens.append(match.group())
+            at = match.end()
+        return pretokens, len(self.chars) - 1  # cut to the text's end
+
     def _rebuild(self, first: int, last: int, length: np.ndarray, sizes: np.ndarray) -> None:
         width = len(self.chars) // 2
         cut = np.arange(0, len(length), LEAF)

@@ -20,7 +20,16 @@ from tokenizers import Tokenizer
 from quayside.llm.piece_codec import Numbers
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHE_PRETOKENS = 400_000
+CACHE_PRETOKENS = 600_000       # about 200 bytes each
+
+
+def written(buffer: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """``buffer`` with ``values`` from ``at`` on, twice as large if they don't fit."""
+    end = at + len(values)
+    if end > len(buffer):
+        buffer = np.concatenate([buffer[:at], np.zeros(max(end, 2 * at) - at, buffer.dtype)])
+    buffer[at:end] = values
+    return buffer
 
 
 class PretokenCodec:
@@ -40,7 +49,8 @@ class PretokenCodec:
 
     def _forget(self) -> None:
         self._cache = Numbers()                # pre-token -> its place in off
-        self.flat, self.off = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        # Buffers with room to grow; the cache's length says how far off is filled.
+        self.flat, self.off = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
 
     def codes(self, pretokens: list[str]) -> np.ndarray:
         """Place of each pre-token's ids: ``flat[off[c]:off[c + 1]]``.
@@ -54,10 +64,11 @@ class PretokenCodec:
         if cache.fresh:
             ids = [e.ids for e in self.library.encode_batch_fast(
                 cache.fresh, add_special_tokens=False)]
-            self.flat = np.concatenate([self.flat, np.fromiter(
-                (i for x in ids for i in x), np.int32)])
-            self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(
-                np.fromiter(map(len, ids), np.int64, len(ids)))])
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            known = len(cache) - len(cache.fresh)
+            end = int(self.off[known])
+            self.flat = written(self.flat, end, np.fromiter((i for x in ids for i in x), np.int32))
+            self.off = written(self.off, known + 1, end + np.cumsum(size))
             cache.fresh = []
         return code
 
