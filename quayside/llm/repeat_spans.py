@@ -220,7 +220,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     classes = stored(classes, "classes")
     heads = rows.join(classes.select("rid"), "rid", "left_semi")
     seeds = heads.select("rid", F.explode("seeds").alias("seed"))
-    again = seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    # Stored, so that the join deals out both sides itself and can split a hot seed.
+    again = stored(seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
+                   .select("seed"), "repeated-seeds")
     of_row = seeds.join(again, "seed").groupBy("rid").agg(F.collect_set("seed").alias("seeds"))
     need = heads.select("doc_id", "rid", "f1", "f2").join(of_row, "rid")
     bodies = stored(with_text(docs, need).dropDuplicates(["rid"]), "bodies")
