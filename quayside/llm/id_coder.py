@@ -138,12 +138,18 @@ def _contexts(hi: np.ndarray, third: np.ndarray) -> np.ndarray:
 
 
 class _Writer:
-    def __init__(self, lanes: int, most: int):
+    def __init__(self, lanes: int, words: int):
+        """``words``: words per lane to begin with; the buffer grows."""
         self.low = np.zeros(lanes, np.uint64)
         self.width = np.full(lanes, 2**32 - 1, np.uint64)
-        self.words = np.zeros((lanes, most), np.uint32)
+        self.words = np.zeros((lanes, words), np.uint32)
         self.size = np.zeros(lanes, np.int64)
 
+    def reserve(self, more: int) -> None:
+        """Room for ``more`` words in every lane."""
+        if int(self.size.max()) + more > self.words.shape[1]:
+            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
+
     def put(self, lane, begin, size):
         """Code the part [begin, begin + size) of 2**15 in the given lanes."""
         now = self.width.take(lane)
@@ -166,17 +172,17 @@ class _Writer:
         for k in range(int(self.size.max()) - 1, 0, -1):          # carries
             self.words[:, k - 1] += self.words[:, k] >> 16
             self.words[:, k] &= 0xFFFF
-        words = self.words.astype("<u2")
-        return [words[i, :n].tobytes() for i, n in enumerate(self.size)]
+        return [self.words[i, :n].astype("<u2").tobytes() for i, n in enumerate(self.size)]
 
 
 class _Reader:
     def __init__(self, blocks: list[bytes]):
         most = max(map(len, blocks)) // 2 + 2
-        self.words = np.zeros((len(blocks), most), np.uint64)
+        self.words = np.zeros((len(blocks), most), np.uint16)
         for i, b in enumerate(blocks):
             self.words[i, :len(b) // 2] = np.frombuffer(b, "<u2")
-        self.code = (self.words[:, 0] << np.uint64(16)) | self.words[:, 1]
+        first, second = self.words[:, 0].astype(np.uint64), self.words[:, 1].astype(np.uint64)
+        self.code = (first << np.uint64(16)) | second
         self.at = np.full(len(blocks), 2)
         self.width = np.full(len(blocks), 2**32 - 1, np.uint64)
         self.most = most
@@ -190,7 +196,7 @@ class _Reader:
         short = (width < 65536).nonzero()[0]
         at = lane[short]
         word = self.words[at, np.minimum(self.at[at], self.most - 1)]
-        code[short] = (code[short] << np.uint64(16)) | word
+        code[short] = (code[short] << np.uint64(16)) | word.astype(np.uint64)
         self.at[at] += 1
         width[short] <<= np.uint64(16)
         self.code[lane], self.width[lane] = code, width
@@ -231,11 +237,13 @@ def _run(size: np.ndarray, ids: np.ndarray | None, reader: _Reader | None):
     """Code ``ids`` (lanes x positions, longest lane first), or decode them."""
     lanes, most = len(size), int(size[0])
     model = _Model(lanes)
-    coder = reader or _Writer(lanes, 2 * most + 16)
-    out = np.zeros((lanes, most), np.int64) if ids is None else ids
+    coder = reader or _Writer(lanes, most // 2 + 64)
+    out = np.zeros((lanes, most), np.int32) if ids is None else ids
     running = lanes - np.searchsorted(size[::-1], np.arange(most), side="right")
     for t in range(most):
         n = int(running[t])
+        if reader is None and t % 8 == 0:
+            coder.reserve(8 * 6 + 2)      # an id has six steps at most, a step one word
         lane, at1, at2, p1, c1, p2, c2, guess, same = model.predict(n)
         mixed, p15 = model.chance(lane, c1, c2, same)
         value = out[:n, t]
@@ -285,7 +293,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     for a in range(0, len(order), LANES):
         group = order[a:a + LANES]
         size = np.array([len(blocks[i]) for i in group])
-        ids = np.zeros((len(group), int(size[0])), np.int64)
+        ids = np.zeros((len(group), int(size[0])), np.int32)
         for k, i in enumerate(group):
             ids[k, :size[k]] = blocks[i]
         if ids.max(initial=0) > 0xFFFF or ids.min(initial=0) < 0:
