@@ -40,7 +40,7 @@ def keep_one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return bm25_decontam.clean(docs, items)
+    return bm25_decontam.clean(docs, items, answers=False)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

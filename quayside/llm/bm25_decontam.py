@@ -18,9 +18,11 @@ batch at once. As in block-max WAND, three tests of growing cost:
    threshold are retrieved (no top-k).
 
 Retrieved pairs are verified on the words themselves: at least ``OVERLAP`` of
-the word 3-grams of the item's question and of its answer must stand in the
-passage. An item has no marked answer, so its last quarter of words stands
-for it. Words are lower case, cut at blanks and ASCII punctuation.
+the word 3-grams of the whole item must stand in the passage. For collections
+whose items end with their answer (``answers=True``) the last quarter of the
+words is the answer, and the share must hold for question and answer alike; on
+items without an answer that would lose leaks with an edited or cut end.
+Words are lower case, cut at blanks and ASCII punctuation.
 
 The items are read by the driver in index parts of about ``PART_BYTES`` of
 text. Each part is one pass over the documents; one part is the usual case.
@@ -79,7 +81,8 @@ class Index:
     block_off: np.ndarray
     block: np.ndarray
     block_top: np.ndarray
-    parts: list[tuple[np.ndarray, int, np.ndarray, int]]   # question and answer grams, lengths
+    # 3-grams and their width, of the whole item, its question and its answer
+    parts: list[tuple[tuple[np.ndarray, int], ...]]
 
     @classmethod
     def build(cls, ids: list, texts: list[str], total: int, mean: float, df: dict[int, int]):
@@ -98,9 +101,7 @@ class Index:
             item.append(np.full(len(t), k))
             impact.append(weight / weight.sum() if len(t) else weight)
             cut = len(w) - max(1, len(w) // 4)
-            question, answer = w[:cut], w[cut:]
-            parts.append((grams_of(question), min(GRAM, len(question)),
-                          grams_of(answer), min(GRAM, len(answer))))
+            parts.append(tuple((grams_of(x), min(GRAM, len(x))) for x in (w, w[:cut], w[cut:])))
         term, item = np.concatenate(term), np.concatenate(item)
         impact = np.concatenate(impact).astype(float)
         order = np.lexsort((item, term))
@@ -146,11 +147,11 @@ def sums(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def retrieve(index: Index, texts: pa.Array, threshold: float = THRESHOLD):
-    """(row, item number, score, question overlap, answer overlap) of every
-    passage and item at or above the threshold."""
+    """(row, item number, score, overlap of the item, of its question, of its
+    answer) of every passage and item at or above the threshold."""
     table = words_of(texts)
     h = table.hash()
-    none = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 3
+    none = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 4
     if not len(h) or not len(index.vocab):
         return none
     step = max(index.length, LEAST_WINDOW)
@@ -191,22 +192,26 @@ def retrieve(index: Index, texts: pa.Array, threshold: float = THRESHOLD):
     key, score = key[hit], np.minimum(score[hit], 1.0)
     passage, item = key // count, key % count
     row = np.searchsorted(first_window, passage, side="right") - 1
-    overlap = np.zeros((len(key), 2))
+    overlap = np.zeros((len(key), 3))
     cache: tuple[int, dict[int, np.ndarray]] = (-1, {})
     for x, (p, k, r) in enumerate(zip(passage, item, row, strict=True)):
         begin = int(table.first[r] + (p - first_window[r]) * step)
         w = h[begin:min(begin + 2 * step, int(table.first[r + 1]))]
         if cache[0] != p:
             cache = (p, {})
-        question, q, answer, a = index.parts[k]
-        for side, (grams, width) in enumerate(((question, q), (answer, a))):
+        for side, (grams, width) in enumerate(index.parts[k]):
             if width not in cache[1]:
                 cache[1][width] = rolling(w, width) if width else w[:0]
             if len(grams):
                 overlap[x, side] = np.isin(grams, cache[1][width]).mean()
             else:
                 overlap[x, side] = 1.0        # a one-word item has no question
-    return row, item, score, overlap[:, 0], overlap[:, 1]
+    return row, item, score, *overlap.T
+
+
+def decisive(overlap, question, answer, answers: bool, least=np.minimum):
+    """The overlap that must reach ``OVERLAP``."""
+    return least(question, answer) if answers else overlap
 
 
 def build_indexes(items: DataFrame) -> list[Index]:
@@ -239,17 +244,19 @@ def build_indexes(items: DataFrame) -> list[Index]:
     return out
 
 
-def retrieved(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap, n_passages:
-    the best passage of every document and item at or above the threshold."""
+def retrieved(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+              answers: bool = True) -> DataFrame:
+    """doc_id, item_id, score, overlap, question_overlap, answer_overlap,
+    n_passages: the best passage of every document and item at or above the
+    threshold."""
     spark = docs.sparkSession
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     item_type = pa.array([], pa.int64()).type if items.schema[
         "item_id"].dataType.simpleString() == "bigint" else pa.string()
     item_kind = "long" if pa.types.is_int64(item_type) else "string"
     items = items.withColumn("item_id", F.col("item_id").cast(item_kind))
-    schema = (f"doc_id {id_kind}, item_id {item_kind}, score double, question_overlap double, "
-              "answer_overlap double, n_passages long")
+    schema = (f"doc_id {id_kind}, item_id {item_kind}, score double, overlap double, "
+              "question_overlap double, answer_overlap double, n_passages long")
     picked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     out = spark.createDataFrame([], schema)
     for index in build_indexes(items):
@@ -259,8 +266,8 @@ def retrieved(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
             found = []
             for a, b in slices(batch.column(1)):
                 row, item, *values = retrieve(shared.value, batch.column(1).slice(a, b - a), threshold)
-                # The best passage: by both overlaps, then by score.
-                order = np.lexsort((-values[0], -np.minimum(values[1], values[2]), item, row))
+                # The best passage: by the overlap that decides, then by score.
+                order = np.lexsort((-values[0], -decisive(*values[1:], answers), item, row))
                 row, item = row[order] + a, item[order]
                 head = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(item) != 0)])
                                       ) if len(row) else np.zeros(0, np.int64)
@@ -271,20 +278,21 @@ def retrieved(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
                 [batch.column(0).take(pa.array(row)),
                  pa.array([shared.value.items[k] for k in item], item_type),
                  *[pa.array(v) for v in values]],
-                names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap",
-                       "n_passages"])
+                names=["doc_id", "item_id", "score", "overlap", "question_overlap",
+                       "answer_overlap", "n_passages"])
 
         out = out.union(map_arrow(picked, run, schema))
     return out
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The retrieved pairs whose question and answer overlap is verified."""
-    return retrieved(docs, items).where(
-        (F.col("question_overlap") >= OVERLAP) & (F.col("answer_overlap") >= OVERLAP))
+def leaks(docs: DataFrame, items: DataFrame, answers: bool = True) -> DataFrame:
+    """The retrieved pairs whose overlap is verified."""
+    sides = [F.col(c) for c in ("overlap", "question_overlap", "answer_overlap")]
+    return retrieved(docs, items, answers=answers).where(
+        decisive(*sides, answers, F.least) >= OVERLAP)
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, answers: bool = True) -> DataFrame:
     """Documents without a verified leak (columns unchanged).
 
     Decided row by row, so null and repeated ids need no special care.
@@ -295,8 +303,8 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             texts, stay = batch.column("text"), np.ones(batch.num_rows, bool)
             for a, b in slices(texts):
-                row, _, _, question, answer = retrieve(shared.value, texts.slice(a, b - a))
-                stay[row[(question >= OVERLAP) & (answer >= OVERLAP)] + a] = False
+                row, _, _, *sides = retrieve(shared.value, texts.slice(a, b - a))
+                stay[row[decisive(*sides, answers) >= OVERLAP] + a] = False
             return batch.filter(pa.array(stay))
 
         docs = map_arrow(docs, run, docs.schema)

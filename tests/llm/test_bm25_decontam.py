@@ -4,6 +4,7 @@ import re
 
 import pyarrow as pa
 
+import corpus_pipeline
 from quayside.llm import bm25_decontam as D
 from quayside.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
@@ -111,3 +112,28 @@ def test_query_finds_every_whole_item(spark):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op2_decontamination"](spark, path).collect()}
     assert got == {(d, k) for d, t in docs.items() for k, x in items.items() if x in t}
+
+
+def test_edited_and_cut_copies_of_items_without_answers_are_leaks(make_docs, spark, scratch):
+    rng = random.Random(5)
+    vocab = [a + b + c for a in "abcdefgh" for b in "aeiou" for c in "rstuvwxyz"]
+    items = [(i, " ".join(rng.choices(vocab, k=n))) for i, n in enumerate([15] * 10 + [33] * 10)]
+    filler = lambda: " ".join("of the end".split() * 9)
+    docs, want = [], set()
+    for k, text in items:
+        w = text.split()
+        copies = [w[:at] + ["edited"] + w[at + 1:] for at in range(len(w))]
+        copies += [w[:-(len(w) // 8)], w[len(w) // 8:], w[:-(len(w) // 4)], w]
+        for copy in copies:
+            want.add((len(docs), k))
+            docs.append((len(docs), f"{filler()} {' '.join(copy)} {filler()}"))
+    unrelated = len(docs)
+    docs += [(unrelated + i, " ".join(rng.choices(vocab, k=60))) for i in range(20)]
+    path = f"{scratch}/in"
+    make_docs(docs).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{path}/benchmark.parquet")
+    got = QUERIES["op2_decontamination"](spark, path).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    kept = corpus_pipeline.drop_leaks(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(unrelated, unrelated + 20))
