@@ -6,8 +6,9 @@ tokens below it (arrays in heap order, root at 1). The root's tokens are the
 document's count.
 
 An edit replaces characters [start, stop) by a text. The tree finds the leaf
-that holds the character two before the edit (a pre-token's end depends on at
-most two characters after it) and the leaf that holds its end. Only the text
+that holds the character ``reach`` before the edit (a pre-token's end depends
+on at most two characters after it, or on an added token's length) and the
+leaf that holds its end. Only the text
 from the first leaf on is cut anew, until a cut falls on an old leaf's end
 behind the edit: cuts depend on nothing before them, so all later ones stand.
 The re-encoded leaves are replaced and the sums above them updated.
@@ -71,13 +72,12 @@ class CountedText:
         n = len(self.text)
         start = min(max(start, 0), n)
         stop = min(max(stop, start), n)
-        first, begin = self._find(max(start - 2, 0))
+        first, begin = self._find(max(start - self.coder.reach, 0))
         last, end = self._find(stop)
         end += self.chars[last]
         shift = len(new) - (stop - start)
         self.text = text = self.text[:start] + new + self.text[stop:]
-        # A pre-token depends on two characters after it at most.
-        pretokens = self.coder.pattern.findall(text[begin:end + shift + 2])
+        pretokens = self.coder.pretokens(text[begin:end + shift + self.coder.reach])
         length = np.fromiter(map(len, pretokens), np.int64, len(pretokens))
         stops = begin + np.cumsum(length)
         met = int(np.searchsorted(stops, end + shift))
@@ -107,14 +107,14 @@ class CountedText:
         """Pre-tokens from ``begin`` until one ends where an old leaf did, and
         that leaf; ``end``: the old end of leaf ``last``."""
         pretokens, at = [], begin
-        for match in self.coder.pattern.finditer(self.text, begin):
+        for pretoken in self.coder.each(self.text, begin):
             while at > end + shift:
                 last += 1
                 end += self.chars[last]
             if at == end + shift and pretokens:
                 return pretokens, last
-            pretokens.append(match.group())
-            at = match.end()
+            pretokens.append(pretoken)
+            at += len(pretoken)
         return pretokens, len(self.chars) - 1  # cut to the text's end
 
     def _rebuild(self, first: int, last: int, length: np.ndarray, sizes: np.ndarray) -> None:
@@ -134,7 +134,7 @@ def build(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder, texts = codec(tokenizer), batch.column(1)
+        coder, texts = codec(tokenizer, added=True), batch.column(1)
         trees: list[list[np.ndarray]] = [[], []]
         for a, b in slices(texts):
             pretokens, count = coder.cut(texts.slice(a, b - a).to_pylist())
@@ -173,7 +173,7 @@ def apply_edits(trees: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     kind = trees.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder, out = codec(tokenizer), []
+        coder, out = codec(tokenizer, added=True), []
         chars, tokens = (batch.column(c) for c in ("chars", "tokens"))
         for text, c, t, edits in zip(batch.column("text").to_pylist(), chars, tokens,
                                      batch.column("edits").to_pylist(), strict=True):

@@ -390,7 +390,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> None:
         for batch in batches:
             texts, names = batch.column(1), batch.column(0).to_pylist()
             for a, b in slices(texts):
-                flat, count = codec(tokenizer).encode(texts.slice(a, b - a).to_pylist())
+                flat, count = codec(tokenizer, added=True).encode(texts.slice(a, b - a).to_pylist())
                 for k, one in enumerate(np.split(flat, np.cumsum(count)[:-1])):
                     if size and size + len(one) + 1 > CHUNK:
                         ids.append([])

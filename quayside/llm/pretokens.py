@@ -4,6 +4,11 @@ The library's pre-tokenizer cuts a text by a pattern, and merges never cross a
 cut. So texts are cut here by the same pattern, every distinct pre-token is
 encoded once by the library, and its ids are kept in a bounded cache per
 Python worker.
+
+With ``added``, texts are first cut at the file's added tokens, as the library
+as loaded does: each is a pre-token of its own with its own id, and the pattern
+sees the pieces between them alone. Without it, added tokens are plain text
+(the library's ``encode_special_tokens``).
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +39,7 @@ def written(buffer: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
 
 
 class PretokenCodec:
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # one core per Spark task
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -41,8 +47,16 @@ class PretokenCodec:
         if (cut["type"], cut["add_prefix_space"], cut["use_regex"], spec["normalizer"]) != (
                 "ByteLevel", False, True, None):
             raise ValueError("not a plain byte-level tokenizer")
+        tokens = spec["added_tokens"] if added else []
+        if any(t[k] for t in tokens for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("not plain added tokens")
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not added
+        # Leftmost, then longest, as the library finds them.
+        self.names = sorted((t["content"] for t in tokens), key=len, reverse=True)
+        self.added = regex.compile("|".join(map(regex.escape, self.names)))
+        # Characters after a pre-token that its end depends on, at most.
+        self.reach = max([2, *map(len, self.names)])
         self.size = self.library.get_vocab_size()
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self._forget()
@@ -72,13 +86,31 @@ class PretokenCodec:
             cache.fresh = []
         return code
 
+    def pretokens(self, text: str) -> list[str]:
+        """All pre-tokens of a text."""
+        if any(name in text for name in self.names):
+            return list(self.each(text, 0))
+        return self.pattern.findall(text)
+
+    def each(self, text: str, begin: int) -> Iterator[str]:
+        """Pre-tokens from a cut at ``begin`` on, one by one."""
+        while begin < len(text):
+            found = self.added.search(text, begin) if self.names else None
+            end = found.start() if found else len(text)
+            for match in self.pattern.finditer(text[begin:end]):
+                yield match.group()
+            if found:
+                yield found.group()
+                end = found.end()
+            begin = end
+
     def cut(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """(pre-tokens of all texts, number of pre-tokens per text)."""
         out: list[str] = []
         ends = [0]
         for t in texts:
             if t:
-                out += self.pattern.findall(t)
+                out += self.pretokens(t)
             ends.append(len(out))
         return out, np.diff(np.array(ends, np.int64))
 
@@ -98,6 +130,6 @@ class PretokenCodec:
 
 
 @functools.lru_cache(maxsize=2)
-def codec(name: str = TOKENIZER) -> PretokenCodec:
+def codec(name: str = TOKENIZER, added: bool = False) -> PretokenCodec:
     """One codec per Python worker. ``name``: a file of the public tokenizers."""
-    return PretokenCodec(public_tokenizers.path(name))
+    return PretokenCodec(public_tokenizers.path(name), added)

@@ -93,3 +93,46 @@ def test_query_equals_full_encoding(spark, library):
         want.add((d, count(t), count(new)))
     got = QUERIES["op6_token_counts"](spark, SF_SMALL).collect()
     assert {(r.doc_id, r.n_tokens_before, r.n_tokens) for r in got} == want and len(got) == len(docs)
+
+
+ADDED = ["<|endoftext|>", "<|endof", "text|>", "<", "|>", " ", "  ", "\n", "a", " b", "'s", "!", "12"]
+
+
+@pytest.fixture(scope="module")
+def loaded():
+    return Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+
+
+def test_added_tokens_are_cut_as_by_the_library_as_loaded(loaded):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(ADDED, k=rng.randint(0, 40))) for _ in range(2000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>" * 3, "a  <|endoftext|>  ", "<<|endoftext|>>"]
+    flat, count = codec(added=True).encode(texts)
+    rows = [x.tolist() for x in np.split(flat, np.cumsum(count)[:-1])]
+    assert rows == [e.ids for e in loaded.encode_batch(texts, add_special_tokens=False)]
+    assert rows[2000] == [64, 220, 50256, 275]
+
+
+def test_edits_that_make_and_break_added_tokens(make_docs, loaded):
+    rng = random.Random(4)
+    docs, edits, want = [], [], {}
+    count = lambda s: len(loaded.encode(s, add_special_tokens=False).ids)
+    for d in range(150):
+        text = "".join(rng.choices(ADDED, k=rng.choice([3, 30, 300, 1200])))
+        docs.append((d, text))
+        before = count(text)
+        for seq in range(12):
+            a = rng.randint(0, len(text))
+            if rng.random() < 0.5:             # inside or beside an added token
+                a = max(text.find("<|endoftext|>", a), 0) + rng.randint(0, 14)
+            a = min(a, len(text))
+            b = min(a + rng.choice([0, 0, 1, 5, 13, 100]), len(text))
+            new = "".join(rng.choices(ADDED, k=rng.choice([0, 1, 1, 3, 400])))
+            edits.append((d, seq, a, b, new))
+            text = text[:a] + new + text[b:]
+        want[d] = (text, before, count(text))
+    docs = make_docs(docs)
+    edits = docs.sparkSession.createDataFrame(
+        edits, "doc_id long, seq int, start int, stop int, text string")
+    got = apply_edits(with_edits(build(docs), edits)).collect()
+    assert {r.doc_id: (r.text, r.n_tokens_before, r.n_tokens) for r in got} == want

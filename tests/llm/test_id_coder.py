@@ -83,3 +83,11 @@ def test_query_equals_the_library(spark, library):
             .select("doc_id", "text").collect()]
     got = [tuple(r) for r in QUERIES["op3_token_ids"](spark, SF_SMALL).collect()]
     assert sorted(got) == sorted(_brute(rows, library))
+
+
+def test_added_tokens_in_texts_have_their_id(make_docs):
+    loaded = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "x  <|endoftext|>\n"),
+            (4, "<|endoftext"), (5, "after")]
+    got = I.round_trip(make_docs(rows)).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == _brute(rows, loaded)
