@@ -2,14 +2,15 @@
 
 One filter per language, stored together: position p of the table holds a bit
 mask with one bit per language, so one lookup (the AND of ``HASHES``
-positions) returns all languages that contain an n-gram.
+positions) returns all languages that contain an n-gram. A mask has one 64-bit
+word per 64 languages, however many there are.
 
 Training counts the letter n-grams of all training rows per language. An
 n-gram belongs to a language if it makes up at least ``MIN_SHARE`` of that
 language's n-grams and its share there is at least ``RATIO`` of its highest
 share in any language. At most ``1 / MIN_SHARE`` n-grams per order and
-language can reach that share, so the filter's size is bounded whatever the
-corpus; it is the only thing that goes through the driver.
+language can reach that share, so the filter's size depends on the number of
+languages only (16 MB per 64); it is the only thing that goes through the driver.
 
 A text's popcount for a language is the number of its n-grams that the filter
 reports for it. With n-grams N and false positive rate p (the filled part of
@@ -48,7 +49,7 @@ HASHES = 3
 POSITIONS = 1 << 21
 FOLDS = 5
 LEAST_SCORE = 0.1           # below it, a text is in none of the learnt languages
-MAX_LANGUAGES = 64          # bits of a mask
+WORD_LANGUAGES = 64         # languages of a mask's word
 TASK_GRAMS = 1_000_000      # n-grams a training task holds before it sums or sends them
 UNDETERMINED = "und"
 
@@ -104,7 +105,7 @@ def gram_hashes(texts: list[str], orders: tuple[int, ...] = ORDERS):
 class Filters:
     """Masks per position, with what the correction needs per language."""
     languages: list[str]
-    masks: np.ndarray
+    masks: np.ndarray           # word w of position p: masks[w * POSITIONS + p]
     coverage: np.ndarray
     false_rate: np.ndarray
     fallback: int
@@ -164,10 +165,9 @@ def train(labelled: DataFrame) -> Filters:
     counts = stored(gram_counts(labelled.where(
         F.col("text").isNotNull() & F.col("lang").isNotNull())), "gram-counts")
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(totals)
-    masks = np.zeros(POSITIONS, np.uint64)
+    words = max(-(-len(languages) // WORD_LANGUAGES), 1)
+    masks = np.zeros(words * POSITIONS, np.uint64)
     coverage = np.zeros(max(len(languages), 1))
     if languages:
         total = F.create_map(*[x for k, v in totals.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -175,30 +175,42 @@ def train(labelled: DataFrame) -> Filters:
         share = share.where(F.col("share") >= MIN_SHARE)      # <= 1 / MIN_SHARE per order, language
         best = share.groupBy("gram").agg(F.max("share").alias("best"))
         kept = share.join(best, "gram").where(F.col("share") >= RATIO * F.col("best")).toArrow()
-        lang = np.searchsorted(np.array(languages), np.array(kept.column("lang").to_pylist(), str)
-                               ).astype(np.uint64)
+        lang = np.searchsorted(np.array(languages), np.array(kept.column("lang").to_pylist(), str))
         gram = kept.column("gram").to_numpy().view(np.uint64)
         for place in positions(gram):
-            np.bitwise_or.at(masks, place, np.uint64(1) << lang)
-        coverage = np.bincount(lang.astype(np.int64), kept.column("share").to_numpy(),
-                               len(languages))
-    filled = np.array([np.count_nonzero(masks >> np.uint64(i) & np.uint64(1)) / POSITIONS
+            np.bitwise_or.at(masks, lang // WORD_LANGUAGES * POSITIONS + place,
+                             np.uint64(1) << (lang % WORD_LANGUAGES).astype(np.uint64))
+        coverage = np.bincount(lang, kept.column("share").to_numpy(), len(languages))
+    filled = np.array([np.count_nonzero(word_of(masks, i) & bit_of(i)) / POSITIONS
                        for i in range(len(languages))])
     fallback = max(range(len(languages)), key=lambda i: totals[languages[i]], default=0)
     return Filters(languages, masks, coverage, filled ** HASHES, fallback)
 
 
+def word_of(masks: np.ndarray, language: int) -> np.ndarray:
+    """The word of every position that has the language's bit."""
+    begin = language // WORD_LANGUAGES * POSITIONS
+    return masks[begin:begin + POSITIONS]
+
+
+def bit_of(language: int) -> np.uint64:
+    return np.uint64(1) << np.uint64(language % WORD_LANGUAGES)
+
+
 def predict_texts(model: Filters, texts: list[str]) -> tuple[list[str], np.ndarray]:
     h, row, has = gram_hashes(texts)
     n = np.bincount(row, minlength=len(texts)).astype(float)
-    mask = np.full(len(h), 2**64 - 1, np.uint64)
-    for place in positions(h):
-        mask &= model.masks[place]
     if not model.languages:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    places = positions(h)
     rate = np.empty((len(texts), len(model.languages)))
     for i, p in enumerate(model.false_rate):
-        hit = (mask >> np.uint64(i) & np.uint64(1)).astype(bool)
+        if i % WORD_LANGUAGES == 0:
+            word = word_of(model.masks, i)
+            mask = np.full(len(h), 2**64 - 1, np.uint64)
+            for place in places:
+                mask &= word[place]
+        hit = (mask & bit_of(i)).astype(bool)
         hits = np.bincount(row[hit], minlength=len(texts))
         rate[:, i] = np.maximum(hits - n * p, 0) / (1 - p) / np.maximum(n, 1)
     best = (rate / np.maximum(model.coverage, 1e-9)).argmax(axis=1)
@@ -210,7 +222,7 @@ def predict_texts(model: Filters, texts: list[str]) -> tuple[list[str], np.ndarr
 
 def predict(docs: DataFrame, model: Filters) -> DataFrame:
     """doc_id, lang_pred and score of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # fixed size: POSITIONS masks
+    shared = docs.sparkSession.sparkContext.broadcast(model)      # 16 MB per 64 languages
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

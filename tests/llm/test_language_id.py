@@ -80,3 +80,24 @@ def test_nulls_short_texts_clashing_names_and_empty(make_docs):
     assert L.identify(docs.limit(0)).collect() == []
     nothing = L.identify(make_docs([(1, "abc"), (2, "def")])).collect()
     assert {r.lang_pred for r in nothing} == {"und"}
+
+
+def test_more_languages_than_bits_of_a_word(make_docs):
+    langs = [f"l{i:03d}" for i in range(130)]
+    word = lambda i: "".join(chr(97 + int(d)) * 2 for d in f"{i:03d}")
+    text = lambda i: " ".join([word(i) + c for c in "klmnop"] * 3)
+    docs = make_docs([(k * 130 + i, text(i), langs[i]) for k in range(12) for i in range(130)])
+    model = L.train(docs)
+    assert model.languages == langs and len(model.masks) == 3 * L.POSITIONS
+    for i in (0, 63, 64, 127, 128, 129):       # its filter holds its n-grams
+        own = set(L.gram_hashes([text(i)])[0].tolist())
+        h = np.array(sorted(own), np.uint64)
+        mask = np.full(len(h), 2**64 - 1, np.uint64)
+        for place in L.positions(h):
+            mask &= L.word_of(model.masks, i)[place]
+        held = (mask & L.bit_of(i)).astype(bool)
+        assert held.mean() > 0.5
+    got = L.identify(docs).collect()
+    assert len(got) == docs.count()
+    assert all(r.lang_pred == langs[r.doc_id % 130] for r in got)
+    assert L.keep_identified(docs).count() == docs.count()
