@@ -21,7 +21,6 @@ document larger than a shard's share makes that shard larger by itself.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -92,11 +91,11 @@ def first_map(shards: int, slots: int = SLOTS) -> np.ndarray:
 def store_map(spark: SparkSession, path: str, version: int, owner: np.ndarray,
               weight: np.ndarray, rows: np.ndarray) -> None:
     """Write one version of the slot map; earlier versions stay readable."""
-    rows = pa.table({"map_version": np.full(len(owner), version, np.int32),
-                     "vslot": np.arange(len(owner), dtype=np.int32),
-                     "shard": owner.astype(np.int32), "bytes": weight, "rows": rows})
-    spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").parquet(
-        f"{path.rstrip('/')}/version-{version:06d}")
+    values = ", ".join(f"({version}, {k}, {int(o)}, {int(w)}L, {int(n)}L)" for k, (o, w, n) in
+                       enumerate(zip(owner, weight, rows, strict=True)))
+    names = ", ".join(c.split()[0] for c in MAP_SCHEMA.split(", "))
+    spark.sql(f"SELECT * FROM VALUES {values} AS slot_map({names})").coalesce(1).write.mode(
+        "overwrite").parquet(f"{path.rstrip('/')}/version-{version:06d}")
 
 
 def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:

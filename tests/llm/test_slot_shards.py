@@ -55,3 +55,18 @@ def test_map_is_versioned_and_growth_moves_only_into_the_new_shard(spark, scratc
     moved = bigger != owner
     assert moved.any() and set(bigger[moved]) == {8}
     assert (rebalanced(owner, weight, 8) == owner).all()      # nothing left to even out
+
+
+def test_slot_map_is_written_without_python_rows(make_docs, spark, scratch, monkeypatch):
+    docs = make_docs([(i, "text " * i) for i in range(50)])
+
+    def refused(*args, **kwargs):
+        raise AssertionError("createDataFrame")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    placed = shard_documents(docs, map_path=scratch).collect()
+    assert sorted(r.doc_id for r in placed) == list(range(50))
+    stored = {r.vslot: r for r in read_map(spark, scratch, 2).collect()}
+    assert sorted(stored) == list(range(SLOTS))
+    assert sum(r.bytes for r in stored.values()) == sum(r["size"] for r in placed)
+    assert all(stored[r.vslot].shard == r.shard for r in placed)
