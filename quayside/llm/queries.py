@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import (blob_ledger, bm25_decontam, edit_counts, id_coder, jaccard_join,
-                          language_id, line_crf, piece_codec, repeat_spans, slot_shards)
+                          language_id, line_crf, piece_codec, qd_whitening, repeat_spans,
+                          slot_shards)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's whitened components."""
+    return qd_whitening.components(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
     "op2_decontamination": op2_decontamination,
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 
