@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import (blob_ledger, bm25_decontam, edit_counts, id_coder, jaccard_join,
                           language_id, line_crf, piece_codec, qd_whitening, repeat_spans,
-                          slot_shards)
+                          slot_shards, spelling_variants)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qd_whitening.components(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word's form, root and number of near words."""
+    return spelling_variants.document_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
     "op2_decontamination": op2_decontamination,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 
