@@ -42,6 +42,8 @@ LEAST_LENGTH, LEAST_COUNT = 5, 3
 GROUPS = 11               # letter groups; levels of the trie
 MEMBERS = 20_000          # words of a trie held in a task
 LEAF = 24                 # words from which on a branch is compared as a whole
+CANDIDATES = 1 << 16      # pairs verified at a time
+WIDTH = 40                # longer words are compared one by one
 HELD = 400_000            # distinct words counted in a task before they are passed on
 MOST = 255                # counts are cut off here, which only widens the search
 _RUN = re.compile("[a-zÀ-ÿ]+")
@@ -170,6 +172,43 @@ def one_edit(a: str, b: str) -> bool:
     return len(a) < len(b)
 
 
+class Letters:
+    """Words as rows of code points, padded with zeros; long ones as text."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        self.size = np.fromiter(map(len, words), np.int64, len(words))
+        flat = "".join([w[:WIDTH].ljust(WIDTH, "\0") for w in words])
+        try:
+            self.rows = np.frombuffer(flat.encode("latin-1"), np.uint8).reshape(-1, WIDTH)
+        except UnicodeEncodeError:
+            self.rows = np.frombuffer(flat.encode("utf-32-le"), "<u4").reshape(-1, WIDTH)
+
+
+def one_edit_apart(x: Letters, i: np.ndarray, y: Letters, j: np.ndarray) -> np.ndarray:
+    """``one_edit`` of the words x[i] and y[j], whose lengths differ by one at most."""
+    out = np.zeros(len(i), bool)
+    gap = x.size[i] - y.size[j]
+    longest = np.maximum(x.size[i], y.size[j])
+    for k in np.flatnonzero(longest >= WIDTH).tolist():
+        out[k] = one_edit(x.words[i[k]], y.words[j[k]])
+    short = longest < WIDTH
+    width = int(longest[short].max(initial=0)) + 1
+    same = np.flatnonzero(short & (gap == 0))
+    out[same] = np.count_nonzero(x.rows[i[same], :width] != y.rows[j[same], :width], axis=1) == 1
+    for a, b, at in ((x.rows[i, :width], y.rows[j, :width], short & (gap == 1)),
+                     (y.rows[j, :width], x.rows[i, :width], short & (gap == -1))):
+        at = np.flatnonzero(at)
+        if not len(at):
+            continue
+        a, b = a[at], b[at]                         # the longer and the shorter word
+        head = (a != b).argmax(axis=1)              # letters that agree from the start
+        moved = a[:, :0:-1] != b[:, -2::-1]         # from the end, one letter on
+        tail = np.where(moved.any(axis=1), width - 1 - moved.argmax(axis=1), 0)
+        out[at] = tail <= head
+    return out
+
+
 class CountTrie:
     """A trie of the counts of some words that share their upper ``depth``
     counts: the words in the order of their counts, a node a range of them."""
@@ -179,15 +218,26 @@ class CountTrie:
         order = np.lexsort(counts.T[::-1])
         self.counts, self.depth = counts[order], depth
         self.words = [words[i] for i in order]
+        self.letters = Letters(self.words)
         self.place = order
 
-    def search(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, word) indexes of all words within the queries' budgets."""
+    def search(self, queries: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(query, word) indexes of all pairs one edit apart."""
+        counts, letters = vectors(queries), Letters(queries)
         gap = self.counts[:1, :self.depth] - counts[:, :self.depth]
         surplus, deficit = (gap > 0) @ np.ones(self.depth), (gap < 0) @ np.ones(self.depth)
         stack = [(self.depth, 0, len(self.words), np.arange(len(counts)),
                   surplus.astype(np.int16), deficit.astype(np.int16))]
-        asked, met = [], []
+        none = np.zeros(0, np.int64)
+        asked, met, held, waiting = [none], [none], [], 0
+
+        def verify():
+            q, w = (np.concatenate(x) for x in zip(*held, strict=True))
+            ok = one_edit_apart(letters, q, self.letters, w)
+            asked.append(q[ok])
+            met.append(w[ok])
+            held.clear()
+
         while stack:
             level, low, high, alive, surplus, deficit = stack.pop()
             if high - low <= LEAF or level == GROUPS:
@@ -197,8 +247,11 @@ class CountTrie:
                     more = np.maximum(gap, 0).sum(axis=2, dtype=np.int16) + surplus[:, None]
                     less = np.maximum(-gap, 0).sum(axis=2, dtype=np.int16) + deficit[:, None]
                     q, w = np.nonzero((more <= 1) & (less <= 1))
-                    asked.append(alive[q])
-                    met.append(w + a)
+                    held.append((alive[q], w + a))
+                    waiting += len(q)
+                    if waiting > CANDIDATES:
+                        verify()
+                        waiting = 0
                 continue
             column = self.counts[low:high, level]
             cuts = [low, *(np.flatnonzero(column[1:] != column[:-1]) + low + 1).tolist(), high]
@@ -211,8 +264,9 @@ class CountTrie:
                     step = gap[ok]
                     stack.append((level + 1, a, b, alive[ok], surplus[ok] + (step > 0),
                                   deficit[ok] + (step < 0)))
-        none = [np.zeros(0, np.int64)]
-        return np.concatenate(none + asked), np.concatenate(none + met)
+        if held:
+            verify()
+        return np.concatenate(asked), np.concatenate(met)
 
 
 def near_pairs(words: DataFrame, depth: int, members: int = MEMBERS) -> DataFrame:
@@ -222,10 +276,10 @@ def near_pairs(words: DataFrame, depth: int, members: int = MEMBERS) -> DataFram
 
         def ask(names: list[str], n: list[int]):
             left, near, near_n = [], [], []
-            for q, w in zip(*(x.tolist() for x in trie.search(vectors(names))), strict=True):
+            for q, w in zip(*(x.tolist() for x in trie.search(names)), strict=True):
                 a, b = names[q], trie.words[w]
                 # Under their common key both ask; elsewhere only one does.
-                if (last[0] != own[q] or a < b) and one_edit(a, b):
+                if last[0] != own[q] or a < b:
                     left += [a, b]
                     near += [b, a]
                     near_n += [numbers[trie.place[w]], n[q]]

@@ -2,6 +2,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,6 +125,21 @@ def test_one_edit(a, b):
     assert sv.one_edit(a, b) == (b in neighbours(a, "abé"))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.text("abéж", max_size=5), st.text("abé", max_size=5)), min_size=1),
+       st.sampled_from([4, 6, 40]))
+def test_words_compared_together(pairs, width):
+    pairs = [p for p in pairs if abs(len(p[0]) - len(p[1])) <= 1] or [("a", "b")]
+    before, sv.WIDTH = sv.WIDTH, width
+    try:
+        a, b = (sv.Letters(list(x)) for x in zip(*pairs, strict=True))
+        at = np.arange(len(pairs))
+        got = sv.one_edit_apart(a, at, b, at).tolist()
+    finally:
+        sv.WIDTH = before
+    assert got == [sv.one_edit(*p) for p in pairs]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.text("abcé", min_size=1, max_size=7), min_size=1, max_size=60))
 def test_trie_finds_all(words):
@@ -131,9 +147,9 @@ def test_trie_finds_all(words):
     monkey, sv.LEAF = sv.LEAF, 2
     try:
         trie = sv.CountTrie(words, 0)
-        q, w = trie.search(sv.vectors(words))
+        q, w = trie.search(words)
     finally:
         sv.LEAF = monkey
-    found = {(words[a], trie.words[b]) for a, b in zip(q, w) if sv.one_edit(words[a], trie.words[b])}
+    found = {(words[a], trie.words[b]) for a, b in zip(q, w, strict=True)}
     assert len(q) == len(set(zip(q.tolist(), w.tolist())))
     assert found == {(a, b) for a in words for b in words if b in neighbours(a, "abcé")}
