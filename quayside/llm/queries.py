@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import (blob_ledger, bm25_decontam, edit_counts, id_coder, jaccard_join,
-                          language_id, line_crf, piece_codec, qd_whitening, repeat_spans,
-                          slot_shards, spelling_variants)
+                          language_id, line_crf, lp_packing, piece_codec, qd_whitening,
+                          repeat_spans, slot_shards, spelling_variants)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.document_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_lp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 1,024 tokens."""
+    return lp_packing.packed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_shards": op1_slot_shards,
     "op2_decontamination": op2_decontamination,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_lp_packing": op13_lp_packing,
 }
 
 
