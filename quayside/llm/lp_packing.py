@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import map_arrow, python_batches, slices, stored
-from quayside.llm.pretokens import TOKENIZER, codec
+from quayside.llm.pretokens import TOKENIZER, latin_codec
 
 CAPACITY = 1024
 END_ID = 2
@@ -219,7 +219,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 texts = batch.column(1).slice(a, b - a).to_pylist()
-                flat, count = codec(tokenizer, added=True).encode(texts)
+                flat, count = latin_codec(tokenizer, added=True).encode(texts)
                 ids = np.insert(flat, np.cumsum(count), END_ID).astype("<u4")
                 size = count + 1
                 n = -(-size // capacity)

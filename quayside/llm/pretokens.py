@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,8 @@ def written(buffer: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
 
 
 class PretokenCodec:
+    kept = CACHE_PRETOKENS
+
     def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # one core per Spark task
         with open(path, encoding="utf-8") as f:
@@ -71,7 +74,7 @@ class PretokenCodec:
 
         Good until the next call, which may start the cache afresh.
         """
-        if len(self._cache) > CACHE_PRETOKENS:
+        if len(self._cache) > self.kept:
             self._forget()
         cache = self._cache
         code = np.fromiter(map(cache.__getitem__, pretokens), np.int64, len(pretokens))
@@ -129,6 +132,44 @@ class PretokenCodec:
         return self.off[code + 1] - self.off[code]
 
 
+def latin_pattern() -> re.Pattern:
+    """The pattern for texts of code points up to U+00FF, for the faster engine
+    of the standard library: its classes spelled out for these characters."""
+    every = [chr(i) for i in range(256)]
+    letters, numbers, spaces = (
+        "".join(re.escape(c) for c in every if regex.match(kind, c))
+        for kind in (r"\p{L}", r"\p{N}", r"\s"))
+    pattern = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]",
+                                                f"[^{spaces}{letters}{numbers}]")
+    for name, inside in ((r"\p{L}", letters), (r"\p{N}", numbers), (r"\s", spaces)):
+        pattern = pattern.replace(name, f"[{inside}]")
+    return re.compile(pattern.replace(r"\S", f"[^{spaces}]"))
+
+
+class LatinCodec(PretokenCodec):
+    """The same ids; cuts Latin-1 texts faster and keeps more pre-tokens."""
+
+    kept = 1_200_000
+
+    def __init__(self, path: str, added: bool = False):
+        super().__init__(path, added)
+        self.latin = latin_pattern()
+
+    def pretokens(self, text: str) -> list[str]:
+        if any(name in text for name in self.names):
+            return list(self.each(text, 0))
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.pattern.findall(text)
+        return self.latin.findall(text)
+
+
+@functools.lru_cache(maxsize=2)
+def latin_codec(name: str = TOKENIZER, added: bool = False) -> LatinCodec:
+    return LatinCodec(public_tokenizers.path(name), added)
+
+
 @functools.lru_cache(maxsize=2)
 def codec(name: str = TOKENIZER, added: bool = False) -> PretokenCodec:
     """One codec per Python worker. ``name``: a file of the public tokenizers."""

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quayside.llm import lp_packing as lp
+from quayside.llm.pretokens import latin_codec
 
 COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
@@ -159,3 +160,11 @@ def test_places_are_used_once(sizes):
         end += length
         assert end <= 30
     assert len(set(sequence.tolist())) == plan.sequences
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x110), max_size=40)
+       | st.text("a1 \t\n'sré\xa0\x1c\x85²ª!", max_size=30))
+def test_latin_cuts_equal_the_pattern(text):
+    coder = latin_codec(added=True)
+    assert coder.pretokens(text) == coder.pattern.findall(text)
