@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.sources.replay import DEFAULT_DATABASE
+from quayside.schemas import DEFAULT_DATABASE
 
 BOOTSTRAP = "bootstrap-"
 

@@ -67,15 +67,18 @@ def key_value(data: Column, sink_pk: Column) -> Column:
 
 
 def route(clean: DataFrame, rules: DataFrame, by_type: bool = False,
-          max_rules: int = MAX_RULES) -> DataFrame:
+          max_rules: int = MAX_RULES, arrival: str | None = None) -> DataFrame:
     """Attach the matching rule to each clean change row.
 
     DIM routing matches `table` to a rule of source type `ALL`; DWD routing
     (`by_type`) matches `table` and the row's operation exactly. Rows with no
     rule are not dimension rows and are dropped. The row keeps only the
     rule's columns (`data` pruned), its operation as `op_type`, and its key.
+    With `arrival`, `rules` are versions, and a row takes the one valid at
+    that column (`as_of.route_as_of`).
     """
-    r = bounded_broadcast(rules.select(*RULE_FIELDS), max_rules)
+    interval = [] if arrival is None else ["valid_from", "valid_to"]
+    r = bounded_broadcast(rules.select(*RULE_FIELDS, *interval), max_rules)
     if "_table" in clean.columns:
         # landed log: read only the partitions of tables that have a rule
         tables = [row[0] for row in rules.select("source_table").distinct()
@@ -84,8 +87,10 @@ def route(clean: DataFrame, rules: DataFrame, by_type: bool = False,
             clean = clean.filter(F.col("_table").isin(tables))
     cond = F.col("table") == F.col("source_table")
     cond = cond & (F.col("source_type") == (F.col("type") if by_type else F.lit(ALL_TYPES)))
+    if arrival is not None:
+        cond = cond & (F.col(arrival) >= F.col("valid_from")) & (F.col(arrival) < F.col("valid_to"))
     j = clean.join(r, cond, "inner")
-    keep = [c for c in ("_table", "partition", "offset") if c in clean.columns]
+    keep = [c for c in ("_table", "partition", "offset", arrival) if c in clean.columns]
     # Names of their own first: inside a lambda, Spark takes a column for a
     # sibling alias of the same name.
     j = j.withColumns({

@@ -124,12 +124,10 @@ def join_activity_coupon(od: DataFrame, act: DataFrame, cou: DataFrame) -> DataF
     return j.select("od.*", "act.activity_id", "act.activity_rule_id", "cou.coupon_id")
 
 
-def order_detail_base(ods: DataFrame, dic: DataFrame,
-                      database: str = DEFAULT_DATABASE) -> DataFrame:
-    """Order details with their order and source-type name, before activity
-    and coupon are known (the first part of J6)."""
-    j = join_order_info(order_details(ods, database), order_infos(ods, database))
-    return lookup(j, dic, "source_type", "source_type_name")
+def order_detail_base(ods: DataFrame, database: str = DEFAULT_DATABASE) -> DataFrame:
+    """Order details with their order, before activity, coupon and source-type
+    name are known (the first part of J6)."""
+    return join_order_info(order_details(ods, database), order_infos(ods, database))
 
 
 def order_detail_columns(j: DataFrame, row_op_ts: Column | None = None) -> DataFrame:
@@ -143,13 +141,19 @@ def order_detail_columns(j: DataFrame, row_op_ts: Column | None = None) -> DataF
         (row_op_ts if row_op_ts is not None else F.current_timestamp()).alias("row_op_ts"))
 
 
+def name_order_details(joined: DataFrame, dic: DataFrame,
+                       row_op_ts: Column | None = None) -> DataFrame:
+    """The output rows of J6 from joined details."""
+    return order_detail_columns(lookup(joined, dic, "source_type", "source_type_name"), row_op_ts)
+
+
 def trade_order_detail(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_DATABASE,
                        row_op_ts: Column | None = None) -> DataFrame:
     """`dwd_trade_order_detail` (J6): detail ⋈ order, ⟕ activity, ⟕ coupon,
     ⋈ dictionary. Keyed by `id`; `row_op_ts` marks the version of a row."""
     j = join_order_info(order_details(ods, database), order_infos(ods, database))
     j = join_activity_coupon(j, detail_activities(ods, database), detail_coupons(ods, database))
-    return order_detail_columns(lookup(j, dic, "source_type", "source_type_name"), row_op_ts)
+    return name_order_details(j, dic, row_op_ts)
 
 
 # -- payment success ------------------------------------------------------------
@@ -161,16 +165,15 @@ def payment_successes(ods: DataFrame, database: str = DEFAULT_DATABASE) -> DataF
         *_carry_time(ods))
 
 
-def trade_pay_detail_suc(order_detail: DataFrame, ods: DataFrame, dic: DataFrame,
-                         database: str = DEFAULT_DATABASE, bound: int | None = None) -> DataFrame:
-    """`dwd_trade_pay_detail_suc` (J7): the (de-duplicated) order-detail
-    stream joined to successful payments of the order, with the payment-type
-    name. `bound` (seconds) limits how far apart the two may be."""
+def join_payments(order_detail: DataFrame, ods: DataFrame, database: str = DEFAULT_DATABASE,
+                  bound: int | None = None) -> DataFrame:
+    """Order details joined to successful payments of the order, before the
+    payment type has a name."""
     od = order_detail.alias("od")
     pi = payment_successes(ods, database).alias("pi")
     cond = _on(F.col("od.order_id") == F.col("pi.order_id"), _within("od", "pi", bound))
     j = od.join(pi, cond, "inner")
-    j = j.select(
+    return j.select(
         F.col("od.id").alias("order_detail_id"), "od.order_id", "od.user_id", "od.sku_id",
         "od.sku_name", "od.province_id", "od.activity_id", "od.activity_rule_id",
         "od.coupon_id", F.col("pi.payment_type").alias("payment_type_code"),
@@ -178,7 +181,11 @@ def trade_pay_detail_suc(order_detail: DataFrame, ods: DataFrame, dic: DataFrame
         "od.sku_num", "od.split_original_amount", "od.split_activity_amount",
         "od.split_coupon_amount", F.col("od.split_total_amount").alias("split_payment_amount"),
         F.col("pi.ts").alias("ts"), F.col("od.row_op_ts").alias("row_op_ts"))
-    j = lookup(j, dic, "payment_type_code", "payment_type_name")
+
+
+def name_payments(joined: DataFrame, dic: DataFrame) -> DataFrame:
+    """The output rows of J7 from `join_payments`."""
+    j = lookup(joined, dic, "payment_type_code", "payment_type_name")
     return j.select(
         "order_detail_id", "order_id", "user_id", "sku_id", "sku_name", "province_id",
         "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
@@ -187,6 +194,14 @@ def trade_pay_detail_suc(order_detail: DataFrame, ods: DataFrame, dic: DataFrame
         "split_coupon_amount", "split_payment_amount", "ts", "row_op_ts")
 
 
+def trade_pay_detail_suc(order_detail: DataFrame, ods: DataFrame, dic: DataFrame,
+                         database: str = DEFAULT_DATABASE, bound: int | None = None) -> DataFrame:
+    """`dwd_trade_pay_detail_suc` (J7): the (de-duplicated) order-detail
+    stream joined to successful payments of the order, with the payment-type
+    name. `bound` (seconds) limits how far apart the two may be."""
+    return name_payments(join_payments(order_detail, ods, database, bound), dic)
+
+
 # -- refunds --------------------------------------------------------------------
 
 def order_refunds(ods: DataFrame, database: str = DEFAULT_DATABASE) -> DataFrame:
@@ -203,16 +218,19 @@ def orders_in_status(ods: DataFrame, status: str, database: str = DEFAULT_DATABA
         *fields("id", "user_id", "province_id"), *_carry_time(ods))
 
 
-def trade_order_refund(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_DATABASE,
-                       bound: int | None = None, row_op_ts: Column | None = None) -> DataFrame:
-    """`dwd_trade_order_refund` (J8): refund requests ⋈ orders that turned
-    refund-approved, with refund-type and refund-reason names (J2)."""
+def join_refund_orders(ods: DataFrame, database: str = DEFAULT_DATABASE,
+                       bound: int | None = None) -> DataFrame:
+    """Refund requests ⋈ orders that turned refund-approved."""
     ri = order_refunds(ods, database).alias("ri")
     oi = orders_in_status(ods, ORDER_REFUND_APPROVED, database).alias("oi")
     j = ri.join(oi, _on(F.col("ri.order_id") == F.col("oi.id"), _within("ri", "oi", bound)))
-    j = j.select("ri.*", F.col("oi.province_id").alias("province_id"))
+    return j.select("ri.*", F.col("oi.province_id").alias("province_id"))
+
+
+def name_refunds(joined: DataFrame, dic: DataFrame, row_op_ts: Column | None = None) -> DataFrame:
+    """The output rows of J8 from `join_refund_orders`."""
     d = prepared(dic)
-    j = lookup(j, d, "refund_type", "refund_type_name", checked=True)
+    j = lookup(joined, d, "refund_type", "refund_type_name", checked=True)
     j = lookup(j, d, "refund_reason_type", "refund_reason_type_name", checked=True)
     return j.select(
         "id", "user_id", "order_id", "sku_id", "province_id",
@@ -223,6 +241,13 @@ def trade_order_refund(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_D
         (row_op_ts if row_op_ts is not None else F.current_timestamp()).alias("row_op_ts"))
 
 
+def trade_order_refund(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_DATABASE,
+                       bound: int | None = None, row_op_ts: Column | None = None) -> DataFrame:
+    """`dwd_trade_order_refund` (J8): refund requests ⋈ orders that turned
+    refund-approved, with refund-type and refund-reason names (J2)."""
+    return name_refunds(join_refund_orders(ods, database, bound), dic, row_op_ts)
+
+
 def refund_payments(ods: DataFrame, database: str = DEFAULT_DATABASE,
                     strict: bool = False) -> DataFrame:
     """Refund payments; `strict` keeps only those that turned paid (0702)."""
@@ -249,18 +274,21 @@ def join_refund_lines(rp: DataFrame, ri: DataFrame, bound: int | None = None) ->
         "rp.*", F.col("ri.refund_num").alias("refund_num"))
 
 
-def trade_refund_pay_suc(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_DATABASE,
-                         strict: bool = False, bound: int | None = None,
-                         row_op_ts: Column | None = None) -> DataFrame:
-    """`dwd_trade_refund_pay_suc` (J9): refund payments ⋈ refund lines ⋈
-    orders that turned refund-paid, with the payment-type name."""
+def join_paid_refunds(ods: DataFrame, database: str = DEFAULT_DATABASE, strict: bool = False,
+                      bound: int | None = None) -> DataFrame:
+    """Refund payments ⋈ refund lines ⋈ orders that turned refund-paid."""
     j = join_refund_lines(refund_payments(ods, database, strict),
                           refund_lines(ods, database, strict), bound).alias("rp")
     oi = orders_in_status(ods, ORDER_REFUND_PAID, database).alias("oi")
     j = j.join(oi, _on(F.col("rp.order_id") == F.col("oi.id"), _within("rp", "oi", bound)))
-    j = j.select("rp.*", F.col("oi.user_id").alias("user_id"),
-                 F.col("oi.province_id").alias("province_id"))
-    j = lookup(j, dic, "payment_type", "payment_type_name")
+    return j.select("rp.*", F.col("oi.user_id").alias("user_id"),
+                    F.col("oi.province_id").alias("province_id"))
+
+
+def name_paid_refunds(joined: DataFrame, dic: DataFrame,
+                      row_op_ts: Column | None = None) -> DataFrame:
+    """The output rows of J9 from `join_paid_refunds`."""
+    j = lookup(joined, dic, "payment_type", "payment_type_name")
     return j.select(
         "id", "user_id", "order_id", "sku_id", "province_id",
         F.col("payment_type").alias("payment_type_code"), "payment_type_name",
@@ -269,6 +297,14 @@ def trade_refund_pay_suc(ods: DataFrame, dic: DataFrame, database: str = DEFAULT
         (row_op_ts if row_op_ts is not None else F.current_timestamp()).alias("row_op_ts"))
 
 
+def trade_refund_pay_suc(ods: DataFrame, dic: DataFrame, database: str = DEFAULT_DATABASE,
+                         strict: bool = False, bound: int | None = None,
+                         row_op_ts: Column | None = None) -> DataFrame:
+    """`dwd_trade_refund_pay_suc` (J9): refund payments ⋈ refund lines ⋈
+    orders that turned refund-paid, with the payment-type name."""
+    return name_paid_refunds(join_paid_refunds(ods, database, strict, bound), dic, row_op_ts)
+
+
 # -- order cancel (declared, unfinished in the reference) -------------------------
 
 def trade_cancel_detail(order_detail: DataFrame, ods: DataFrame, cancel_code: str,

@@ -375,3 +375,58 @@ oracle("epoch_to_date", """
 SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ms, strftime(ts, '%Y-%m-%d') AS day,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS ymd_hms
 FROM events""")
+
+# -- configuration as of a record's arrival: each record meets the last change
+# of its key before or at it.
+CTES["last_key"] = "SELECT max(c_custkey) AS last FROM customer"
+CTES["timed_dims"] = """
+SELECT 'user_info' AS src, 'insert' AS op_type, CAST(c_custkey AS VARCHAR) AS id,
+       CAST(25 * c_custkey AS BIGINT) AS arrival, c_name AS label FROM customer
+UNION ALL
+SELECT 'user_info', 'update', CAST(c_custkey AS VARCHAR),
+       CAST(25 * c_custkey + 25 * last AS BIGINT), c_name || '-v2'
+FROM customer, last_key WHERE c_custkey % 10 = 0
+UNION ALL
+SELECT 'sku_info', 'insert', CAST(p_partkey AS VARCHAR),
+       CAST(p_partkey * 9973 % (50 * last + 1) AS BIGINT), p_name FROM part, last_key
+UNION ALL
+SELECT 'base_province', 'insert', CAST(n_nationkey AS VARCHAR),
+       CAST(2 * n_nationkey * last + 1 AS BIGINT), n_name FROM nation, last_key"""
+CTES["timed_rules"] = """
+SELECT CASE n_nationkey % 3 WHEN 0 THEN 'user_info' WHEN 1 THEN 'sku_info'
+            ELSE 'base_province' END AS src,
+       substr('cudr', CAST(n_nationkey // 3 % 4 + 1 AS INTEGER), 1) AS op,
+       n_nationkey // 3 % 2 = 1 AS wide, CAST(2 * n_nationkey * last AS BIGINT) AS since
+FROM nation, last_key"""
+CTES["routed_as_of"] = """
+SELECT 'dim_' || d.src AS sink_table, d.src, d.op_type, d.id, d.arrival, d.label, r.wide
+FROM timed_dims d ASOF JOIN timed_rules r ON d.src = r.src AND d.arrival >= r.since
+WHERE r.op <> 'd'"""
+oracle("dim_route_as_of", """
+SELECT sink_table, op_type, id, arrival,
+       CASE src WHEN 'user_info' THEN CASE WHEN wide THEN 'id,name,province_id' ELSE 'id,name' END
+                WHEN 'sku_info' THEN CASE WHEN wide THEN 'brand,id,sku_name' ELSE 'id,sku_name' END
+                ELSE CASE WHEN wide THEN 'id,name,region_id' ELSE 'id,name' END END AS columns
+FROM routed_as_of""")
+oracle("dim_rows_after_replace", """
+SELECT sink_table, id, max(arrival) AS arrival, arg_max(op_type, arrival) AS op_type,
+       arg_max(label, arrival) AS label,
+       CAST(arg_max(CASE WHEN wide THEN 3 ELSE 2 END, arrival) AS INTEGER) AS n_columns
+FROM routed_as_of a
+WHERE arrival >= (SELECT max(since) FROM timed_rules r WHERE r.src = a.src AND r.op IN ('d', 'u'))
+GROUP BY sink_table, id""")
+CTES["dic_log"] = """
+SELECT '240' || CAST(r_regionkey + 1 AS VARCHAR) AS code,
+       'n240' || CAST(r_regionkey + 1 AS VARCHAR) || 'v' || CAST(step AS VARCHAR) AS name,
+       step = 2 AND r_regionkey % 2 = 1 AS deleted,
+       CAST(t0 + floor((step * 5 + r_regionkey) * (t1 - t0) / 20) AS BIGINT) AS since
+FROM region, (SELECT unnest(range(4)) AS step),
+     (SELECT min(epoch_us(ts) // 1000000) AS t0, max(epoch_us(ts) // 1000000) AS t1 FROM events)
+WHERE r_regionkey <> 4 OR step > 0"""
+oracle("lookup_as_of", """
+SELECT c.id, c.source_type AS source_type_code, l.name AS source_type_name, c.ts
+FROM (SELECT * FROM cart WHERE type = 'insert'
+      OR (type = 'update' AND old_sku_num IS NOT NULL
+          AND TRY_CAST(sku_num AS INTEGER) > TRY_CAST(old_sku_num AS INTEGER))) c
+ASOF JOIN dic_log l ON c.source_type = l.code AND c.ts >= l.since
+WHERE NOT l.deleted""")

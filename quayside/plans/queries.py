@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import times
-from quayside.operators import dims, traffic, trade, wordcount
+from quayside.operators import as_of, dims, traffic, trade, wordcount
 from quayside.operators.cdc import changes, clean_ods, fields, transitioned
 from quayside.operators.lookup import lookup
 from quayside.operators.upsert import latest_by_key
@@ -361,6 +361,52 @@ def dwd_route(spark, sf_dir):
                          F.size("data").alias("n_columns"), "ts")
 
 
+# -- configuration as of a record's arrival ---------------------------------------
+
+def routed_as_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(rows routed by the rule valid at their arrival, timed rule changes)."""
+    t = replay.Tables(spark, sf_dir)
+    log = parse_rule_changes(replay.rule_changes_in_time(t), timed=True)
+    clean = as_of.arrival_millis(clean_ods(parse_ods_db(replay.dim_sources_in_time(t))))
+    return as_of.route_as_of(clean, dims.rules_of(as_of.rule_versions(log), "dim")), log
+
+
+@query
+def dim_route_as_of(spark, sf_dir):
+    """Change rows routed by the rule valid at their arrival, while rules are
+    created, updated and deleted between them."""
+    routed, _ = routed_as_of(spark, sf_dir)
+    return routed.select("sink_table", "op_type", F.col("pk").alias("id"), "arrival",
+                         F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"))
+
+
+@query
+def dim_rows_after_replace(spark, sf_dir):
+    """Dimension rows left after all drops and replacements of their tables:
+    the last row per key of each table's last epoch."""
+    routed, log = routed_as_of(spark, sf_dir)
+    left = dims.latest_by_key(
+        as_of.surviving_rows(routed, as_of.table_epochs(log)).select(
+            "sink_table", "pk", "arrival", "op_type",
+            F.coalesce(F.col("data")["name"], F.col("data")["sku_name"]).alias("label"),
+            F.size("data").alias("n_columns")),
+        ["sink_table", "pk"], ["arrival"])
+    return left.withColumnRenamed("pk", "id")
+
+
+@query
+def lookup_as_of(spark, sf_dir):
+    """Cart additions with the source-type name valid at their time, while
+    names are given, changed and deleted."""
+    t = replay.Tables(spark, sf_dir)
+    log = parse_ods_db(replay.base_dic(t))
+    added = trade.cart_adds(ods(spark, sf_dir))
+    named = as_of.lookup_as_of(added, as_of.dictionary_versions(log), "source_type",
+                               "source_type_name")
+    return named.select("id", F.col("source_type").alias("source_type_code"),
+                        "source_type_name", "ts")
+
+
 # -- word count, date helpers ---------------------------------------------------
 
 @query

@@ -20,7 +20,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_DATABASE = "shop"
+from quayside.schemas import DEFAULT_DATABASE
+
 
 # Status codes of the change log (order, payment, refund).
 ORDER_CREATED = "1001"
@@ -299,6 +300,69 @@ def dim_sources(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     return reduce(DataFrame.unionByName, [users, skus, provinces, suppliers])
 
 
+def _last_key(t: Tables) -> DataFrame:
+    return t.customer.agg(F.max("c_custkey").alias("_last"))
+
+
+def dim_sources_in_time(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
+    """Dimension source rows with a `timestamp` of arrival, in millis from 0 to
+    50 times the largest customer key: users by key, renames after them, skus
+    and provinces spread over the whole time."""
+    at = {"user_info": lambda k: 25 * k, "sku_info": lambda k: k * 9973 % (50 * F.col("_last") + 1),
+          "base_province": lambda k: 2 * k * F.col("_last") + 1}
+    rows = dim_sources(t, db).filter(F.col("_table").isin(*at))
+    key = F.get_json_object("value", "$.data.id").cast("bigint")
+    renamed = F.get_json_object("value", "$.type") == "update"
+    arrival = F.coalesce(*[F.when(F.col("_table") == k, f(key)) for k, f in at.items()])
+    arrival = arrival + F.when(renamed, 25 * F.col("_last")).otherwise(0)
+    return rows.crossJoin(F.broadcast(_last_key(t))).select(
+        "value", "_table", F.timestamp_millis(arrival).alias("timestamp"))
+
+
+# Columns of a source table before and after a rule update.
+RULE_COLUMNS = {"user_info": ("id,name", "id,name,province_id"),
+                "sku_info": ("id,sku_name", "id,sku_name,brand"),
+                "base_province": ("id,name", "id,name,region_id")}
+
+
+def rule_changes_in_time(t: Tables) -> DataFrame:
+    """Debezium text of one rule change per nation, twice the largest customer
+    key apart: the three dimension sources take turns, each created, updated,
+    deleted and read again, with its columns changing in between."""
+    n = F.col("n_nationkey")
+    tables = list(RULE_COLUMNS)
+    table = F.element_at(F.array(*map(F.lit, tables)), (n % 3 + 1).cast("int"))
+    turn = F.floor(n / 3)
+    op = F.element_at(F.array(*map(F.lit, "cudr")), (turn % 4 + 1).cast("int"))
+    columns = F.coalesce(*[F.when(table == k, F.when(turn % 2 == 0, a).otherwise(b))
+                           for k, (a, b) in RULE_COLUMNS.items()])
+    rule = F.struct(table.alias("source_table"), F.lit("ALL").alias("source_type"),
+                    F.concat(F.lit("dim_"), table).alias("sink_table"),
+                    F.lit("dim").alias("sink_type"), columns.alias("sink_columns"),
+                    F.lit("id").alias("sink_pk"))
+    record = F.struct(op.alias("op"), F.when(op.isin("d", "u"), rule).alias("before"),
+                      F.when(op != "d", rule).alias("after"),
+                      (2 * n * F.col("_last")).cast("bigint").alias("ts_ms"))
+    return t.nation.crossJoin(F.broadcast(_last_key(t))).select(F.to_json(record).alias("value"))
+
+
+def base_dic(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
+    """Changes of the dictionary table over the time of the events: a source
+    type code per region, named, renamed, deleted (odd regions) and named again;
+    the last region's code has no first name."""
+    span = t.events.agg(F.min(_seconds(F.col("ts"))).alias("_from"),
+                        F.max(_seconds(F.col("ts"))).alias("_to"))
+    r = F.col("r_regionkey")
+    rows = t.region.crossJoin(F.broadcast(span)).withColumn(
+        "step", F.explode(F.sequence(F.lit(0), F.lit(3)))).filter((r != 4) | (F.col("step") > 0))
+    at = F.col("_from") + F.floor((F.col("step") * 5 + r) * (F.col("_to") - F.col("_from")) / 20)
+    kind = (F.when(F.col("step") == 0, "bootstrap-insert").when(F.col("step") == 1, "update")
+             .when((F.col("step") == 2) & (r % 2 == 1), "delete").otherwise("insert"))
+    code = F.concat(F.lit("240"), _str(r + 1))
+    data = [("dic_code", code), ("dic_name", F.concat(F.lit("n"), code, F.lit("v"), _str("step")))]
+    return _topic(rows, "base_dic", change("base_dic", kind, data, at, None, db))
+
+
 def bad_changes(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     """Dirty change records that every cleaning step must drop."""
     e = t.events

@@ -56,13 +56,15 @@ def change_order(seq: Column, source: Column, ts_ms: Column) -> Column:
                       F.lit(0).cast("bigint"))
 
 
-def parse_rule_changes(raw: DataFrame, value: str = "value") -> DataFrame:
+def parse_rule_changes(raw: DataFrame, value: str = "value", timed: bool = False) -> DataFrame:
     """Debezium change text -> one rule row per change (P4): the `before`
-    image when the change is a delete, else `after`; plus `op` and `seq`."""
+    image when the change is a delete, else `after`; plus `op` and `seq`, and
+    with `timed` also `at`, the time of the change in epoch millis."""
     parsed = raw.select(parse_once(F.from_json(F.col(value), RULE_CHANGE)))
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     return parsed.select(*[image[f].alias(f) for f in RULE_FIELDS], "op", change_order(
-        F.col("seq"), F.col("source"), F.col("ts_ms")).alias("seq"))
+        F.col("seq"), F.col("source"), F.col("ts_ms")).alias("seq"),
+        *([F.col("ts_ms").alias("at")] if timed else []))
 
 
 def preload_rules(rules: DataFrame) -> DataFrame:

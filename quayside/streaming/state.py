@@ -110,13 +110,12 @@ def _merge_group(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
 
 
 def merge_parts(base: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
-    """Order-detail rows (J6 columns) from streams of detail rows, activity
-    rows and coupon rows, merged by detail id in whatever order they come.
+    """Joined order-detail rows (`trade.name_order_details` names them) from
+    streams of detail rows, activity rows and coupon rows, merged by detail id
+    in whatever order they come.
 
     The state of a detail is kept for good: its activity may come at any
     time. A detail has few parts, so a key's rows stay small."""
-    from quayside.operators.trade import order_detail_columns
-
     def part(df: DataFrame, key: str, kind: str) -> DataFrame:
         return df.select(F.col(key).alias("id"), F.lit(kind).alias("kind"),
                          F.to_json(F.struct(*df.columns)).alias("body"))
@@ -129,4 +128,4 @@ def merge_parts(base: DataFrame, activities: DataFrame, coupons: DataFrame) -> D
     j = merged.select(F.from_json("base", base.schema).alias("b"),
                       F.from_json("activity", activities.schema).alias("a"),
                       F.from_json("coupon", coupons.schema).alias("c"))
-    return order_detail_columns(j.select("b.*", "a.activity_id", "a.activity_rule_id", "c.coupon_id"))
+    return j.select("b.*", "a.activity_id", "a.activity_rule_id", "c.coupon_id")
