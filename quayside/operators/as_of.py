@@ -49,12 +49,17 @@ def arrival_millis(df: DataFrame) -> DataFrame:
 
 # -- rules (J10, A3) --------------------------------------------------------------
 
+def with_preload(log: DataFrame, preload: DataFrame) -> DataFrame:
+    """Timed changes behind preloaded rules (`rules.preload_rules`)."""
+    return preload.withColumn("at", F.lit(BEFORE_ALL)).unionByName(log)
+
+
 def rule_versions(log: DataFrame, preload: DataFrame | None = None) -> DataFrame:
     """Rule versions with their intervals from timed changes
     (`rules.parse_rule_changes(timed=True)`); preloaded rules hold from the
     beginning. A deleted rule has no version until it is created again."""
     if preload is not None:
-        log = preload.withColumn("at", F.lit(BEFORE_ALL)).unionByName(log)
+        log = with_preload(log, preload)
     log = log.filter(F.col("at").isNotNull())
     versions = validity(log, ["source_table", "source_type"], "at",
                         ["seq", "op", *RULE_FIELDS])
