@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.times import day_of_text
+from quayside.operators import retention
 from quayside.operators.cdc import changes, fields, transitioned
 from quayside.operators.lookup import lookup, prepared
+from quayside.schemas import DEFAULT_DATABASE
 from quayside.sources.replay import (
-    DEFAULT_DATABASE, PAYMENT_SUCCESS, REFUND_APPROVED, REFUND_PAID,
+    PAYMENT_SUCCESS, REFUND_APPROVED, REFUND_PAID,
 )
 
 # Order status codes that mark an approved / a paid refund.
@@ -166,13 +168,21 @@ def payment_successes(ods: DataFrame, database: str = DEFAULT_DATABASE) -> DataF
 
 
 def join_payments(order_detail: DataFrame, ods: DataFrame, database: str = DEFAULT_DATABASE,
-                  bound: int | None = None) -> DataFrame:
+                  bound: int | None = None, idle: int | None = None) -> DataFrame:
     """Order details joined to successful payments of the order, before the
-    payment type has a name."""
+    payment type has a name. With `idle` (seconds, batch only), `order_detail`
+    holds all versions (`retention.with_replacement`), and a version meets the
+    payments that come while it is kept."""
     od = order_detail.alias("od")
     pi = payment_successes(ods, database).alias("pi")
     cond = _on(F.col("od.order_id") == F.col("pi.order_id"), _within("od", "pi", bound))
-    j = od.join(pi, cond, "inner")
+    if idle is not None:
+        cond = cond & retention.meet("od", "pi", "ts", idle)
+    return payment_columns(od.join(pi, cond, "inner"))
+
+
+def payment_columns(j: DataFrame) -> DataFrame:
+    """The columns of `join_payments` from a detail `od` and a payment `pi`."""
     return j.select(
         F.col("od.id").alias("order_detail_id"), "od.order_id", "od.user_id", "od.sku_id",
         "od.sku_name", "od.province_id", "od.activity_id", "od.activity_rule_id",
@@ -224,6 +234,11 @@ def join_refund_orders(ods: DataFrame, database: str = DEFAULT_DATABASE,
     ri = order_refunds(ods, database).alias("ri")
     oi = orders_in_status(ods, ORDER_REFUND_APPROVED, database).alias("oi")
     j = ri.join(oi, _on(F.col("ri.order_id") == F.col("oi.id"), _within("ri", "oi", bound)))
+    return refund_columns(j)
+
+
+def refund_columns(j: DataFrame) -> DataFrame:
+    """The columns of `join_refund_orders` from a request `ri` and an order `oi`."""
     return j.select("ri.*", F.col("oi.province_id").alias("province_id"))
 
 

@@ -235,6 +235,15 @@ oracle("trade_pay_detail_suc", PAY_SELECT.format(bound=""))
 oracle("pay_within_ttl", PAY_SELECT.format(
     bound="AND p.ts BETWEEN tod.ts - 1805 AND tod.ts + 1805"))
 
+# Two versions of every detail, the second 1,200 s after the first (`ts` stays
+# the first's); each meets payments while it is kept, or comes while they are.
+CTES["tod_versions"] = """
+SELECT *, 1 AS version FROM tod
+UNION ALL SELECT * REPLACE (coalesce(coupon_id, 'x') AS coupon_id), 2 AS version FROM tod"""
+oracle("pay_within_idle_ttl", PAY_SELECT.replace("FROM tod JOIN", "FROM tod_versions tod JOIN").format(
+    bound="""AND CASE version WHEN 1 THEN p.ts - tod.ts BETWEEN -1805 AND 1199
+                              ELSE p.ts - tod.ts BETWEEN -605 AND 3005 END"""))
+
 oracle("trade_order_refund", """
 SELECT ri.id, ri.user_id, ri.order_id, ri.sku_id, o.province_id,
        strftime(CAST(ri.create_time AS TIMESTAMP), '%Y-%m-%d') AS date_id, ri.create_time,
@@ -430,3 +439,19 @@ FROM (SELECT * FROM cart WHERE type = 'insert'
           AND TRY_CAST(sku_num AS INTEGER) > TRY_CAST(old_sku_num AS INTEGER))) c
 ASOF JOIN dic_log l ON c.source_type = l.code AND c.ts >= l.since
 WHERE NOT l.deleted""")
+
+oracle("topic_without_repeats", CART_ADD)
+oracle("rejects_by_reason", """
+SELECT 'ods_db' AS topic,
+       CASE WHEN database IS NULL THEN 'not_a_record'
+            WHEN database <> 'shop' THEN 'other_database'
+            WHEN regexp_replace(type, '^bootstrap-', '') NOT IN ('insert', 'update')
+                THEN 'other_operation'
+            WHEN n_fields = 0 THEN 'no_data' ELSE 'accepted' END AS reason, count(*) AS n
+FROM topic GROUP BY ALL
+UNION ALL
+SELECT 'ods_log', 'accepted', count(*) FROM lg
+UNION ALL
+SELECT 'ods_log', CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0 THEN 'not_a_record'
+                       ELSE 'no_device' END AS reason, count(*)
+FROM events WHERE event_id % 97 = 0 OR event_id % 101 = 0 OR event_id % 103 = 0 GROUP BY reason""")

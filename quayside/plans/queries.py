@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import times
-from quayside.operators import as_of, dims, traffic, trade, wordcount
+from quayside.operators import as_of, dims, rejects, retention, traffic, trade, wordcount
 from quayside.operators.cdc import changes, clean_ods, fields, transitioned
 from quayside.operators.lookup import lookup
 from quayside.operators.upsert import latest_by_key
@@ -25,7 +25,9 @@ from quayside.sources.dictionary import base_dic
 from quayside.sources.logs import clean_log, log_keys
 from quayside.sources.ods import parse_ods_db
 from quayside.sources.rules import parse_rule_changes, rule_change_texts
-from quayside.sources.sinks import json_records, read_json_records, upsert_records
+from quayside.sources.sinks import (
+    json_records, read_json_records, unique_records, upsert_records,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +91,23 @@ def pay_within_ttl(spark, sf_dir):
         bound=trade.PAYMENT_BOUND_SECONDS).drop("row_op_ts")
 
 
+@query
+def pay_within_idle_ttl(spark, sf_dir):
+    """Payment success under the reference's idle-time retention (1,805 s): a
+    second version of every detail, 20 minutes after the first with its coupon
+    filled in, starts the time anew. Every version that met the payment."""
+    od = trade.trade_order_detail(ods(spark, sf_dir), base_dic(spark),
+                                  row_op_ts=F.timestamp_seconds(F.col("ts")))
+    later = {"coupon_id": F.coalesce("coupon_id", F.lit("x")), "ts": F.col("ts") + 1200}
+    both = od.select(F.inline(F.array(
+        F.struct(*od.columns), F.struct(*[F.col(c) if c not in later else later[c].alias(c)
+                                          for c in od.columns]))))
+    topic = read_json_records(upsert_records(both, "id"), DWD_TRADE_ORDER_DETAIL)
+    kept = retention.with_replacement(topic, "id", "ts")
+    paid = trade.join_payments(kept, ods(spark, sf_dir), idle=trade.PAYMENT_BOUND_SECONDS)
+    return trade.name_payments(paid, base_dic(spark)).drop("row_op_ts")
+
+
 @query
 def trade_order_refund(spark, sf_dir):
     return trade.trade_order_refund(ods(spark, sf_dir), base_dic(spark)).drop("row_op_ts")
@@ -221,6 +240,25 @@ def dwd_json_sink_roundtrip(spark, sf_dir):
     return read_json_records(json_records(ca), DWD_TRADE_CART_ADD)
 
 
+@query
+def topic_without_repeats(spark, sf_dir):
+    """The cart-addition topic as an at-least-once sink leaves it after every
+    batch was written again, read without the repeats."""
+    written = upsert_records(trade.trade_cart_add(ods(spark, sf_dir), base_dic(spark)))
+    topic = written.withColumn("offset", F.explode(F.array(F.lit(0), F.lit(1))))
+    return read_json_records(unique_records(topic).drop("offset"), DWD_TRADE_CART_ADD)
+
+
+@query
+def rejects_by_reason(spark, sf_dir):
+    """Records of both raw topics by the reason that rejects them."""
+    both = {"ods_db": rejects.tagged_changes(replay.ods_db(spark, sf_dir)),
+            "ods_log": rejects.tagged_log(replay.ods_log(spark, sf_dir))}
+    parts = [rejects.by_reason(df).select(F.lit(name).alias("topic"), "reason", "n")
+             for name, df in both.items()]
+    return parts[0].unionByName(parts[1])
+
+
 # -- traffic (tracking log) -----------------------------------------------------
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Kafka topics as streaming sources (value text; key ignored)."""
+"""Kafka topics as streaming sources (value and key text)."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
                  max_offsets_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
-    """`value` (UTF-8 text), `partition`, `offset`, `timestamp` of a topic.
+    """`key`, `value` (UTF-8 text), `partition`, `offset`, `timestamp` of a topic.
 
     Requires the Kafka connector on the classpath. `max_offsets_per_trigger`
     bounds each micro-batch (and so the per-key state work in one batch).
@@ -19,7 +19,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str =
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    return r.load().select(F.col("value").cast("string").alias("value"),
+    return r.load().select(F.col("key").cast("string").alias("key"),
+                           F.col("value").cast("string").alias("value"),
                            "partition", "offset", "timestamp")
 
 

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT_SCHEMA = "value string, partition int, offset long, is_new string"
@@ -84,6 +85,55 @@ def key_columns(raw: DataFrame) -> DataFrame:
                        F.col("common")["is_new"].alias("is_new")).filter(F.col("mid").isNotNull())
 
 
+# -- joins with idle-time retention (T2) --------------------------------------------
+
+class IdleJoin(StatefulProcessor):
+    """Left rows (the last version per row id) and right rows of one join key,
+    each kept for a time after its last write. A pair comes out when the later
+    of the two comes, if the other is still kept."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.left = handle.getMapState("left", "id string", "body string", self.idle_ms)
+        self.right = handle.getMapState("right", "id string", "body string", self.idle_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pairs = []
+        for pdf in rows:
+            for is_left, row_id, body in zip(pdf["is_left"], pdf["row_id"], pdf["body"],
+                                             strict=True):
+                mine, other = (self.left, self.right) if is_left else (self.right, self.left)
+                mine.updateValue((row_id,), (body,))
+                pairs += [(body, o[0]) if is_left else (o[0], body) for o in other.values()]
+        if pairs:
+            yield pd.DataFrame(pairs, columns=["l", "r"])
+
+    def close(self) -> None:
+        pass
+
+
+def idle_join(left: DataFrame, right: DataFrame, key: str, left_id: str, idle_seconds: float,
+              left_name: str, right_name: str) -> DataFrame:
+    """Inner join of two streams on `key`, as the struct columns `left_name` and
+    `right_name`. A row's state goes `idle_seconds` (processing time) after its
+    last write: rows of one `left_id` replace each other, a repeated right row
+    counts as written again. State is bounded by what is written in that time.
+    Such a query runs batches without data too, so `availableNow` never ends it."""
+    def side(df: DataFrame, is_left: bool) -> DataFrame:
+        body = F.to_json(F.struct(*df.columns))
+        return df.filter(F.col(key).isNotNull()).select(
+            F.col(key).alias("k"), F.lit(is_left).alias("is_left"),
+            (F.col(left_id) if is_left else body).cast("string").alias("row_id"),
+            body.alias("body"))
+
+    met = side(left, True).unionByName(side(right, False)).groupBy("k").transformWithStateInPandas(
+        IdleJoin(int(idle_seconds * 1000)), "l string, r string", "Append", "ProcessingTime")
+    return met.select(F.from_json("l", left.schema).alias(left_name),
+                      F.from_json("r", right.schema).alias(right_name))
+
+
 # -- order detail from parts (J5, J6) ---------------------------------------------
 
 PART_SCHEMA = "id string, base string, activity string, coupon string"
