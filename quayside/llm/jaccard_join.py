@@ -22,7 +22,9 @@ with Bayesian pruning of candidates.
 
 Edge cases: texts without words (null, empty, blank) have no links and their
 own class id. Rows repeated under one id keep their own rows. Null ids are
-allowed; the class id is the smallest non-null id of the class. Only doc_id
+allowed; the class id is the smallest non-null id of the class. Texts are
+fetched by id and a hash of the text, so rows that share an id, or have none,
+do not meet each other's texts. Only doc_id
 and text are read, so other columns' names cannot clash. A class of very many
 *different* near copies costs one comparison per pair, spread over blocks.
 """
@@ -33,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import WordTable, map_arrow, map_groups, mix64, rolling, slices, stored
@@ -102,7 +104,8 @@ def least_matches(threshold: float = THRESHOLD[0] / THRESHOLD[1],
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, class (n1, n2), set size and MinHash values of every document."""
+    """doc_id, text hash, class (n1, n2), set size and MinHash values of every
+    document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -116,13 +119,20 @@ def sketched(docs: DataFrame) -> DataFrame:
             if len(full):
                 for i, row in zip(full, signatures([sets[i] for i in full]), strict=True):
                     sig[i] = row.tobytes()
-            parts.append(pa.record_batch([batch.column(0).slice(a, b - a), pa.array(one),
-                                          pa.array(two), pa.array(size), pa.array(sig, pa.binary())],
-                                         names=["doc_id", "n1", "n2", "size", "sig"]))
+            parts.append(pa.record_batch(
+                [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(one),
+                 pa.array(two), pa.array(size), pa.array(sig, pa.binary())],
+                names=["doc_id", "body", "n1", "n2", "size", "sig"]))
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
-    return map_arrow(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), run,
-                     f"doc_id {kind}, n1 long, n2 long, size int, sig binary")
+    return map_arrow(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                                 body().alias("body")), run,
+                     f"doc_id {kind}, body long, n1 long, n2 long, size int, sig binary")
+
+
+def body() -> Column:
+    """The hash of a document's text that, with its id, names the row."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def candidate_components(classes: DataFrame) -> DataFrame:
@@ -228,12 +238,14 @@ def _compare(group: pa.Table) -> pa.RecordBatch | None:
 
 
 def with_sets(owners: DataFrame, docs: DataFrame) -> DataFrame:
-    """``owners`` (owner id, n1, n2, ...) with the shingles of the owner's text.
+    """``owners`` (owner id, body, n1, n2, ...) with the shingles of that text.
 
-    Rows of the id whose text is of another class are left out.
+    A text of another class (by a clash of the text hash) is left out.
     """
-    text = docs.select(F.col("doc_id").alias("__id"), F.coalesce("text", F.lit("")).alias("__text"))
-    joined = owners.join(text, F.col("owner").eqNullSafe(F.col("__id"))).drop("__id", "owner")
+    text = docs.select(F.col("doc_id").alias("__id"), body().alias("__body"),
+                       F.coalesce("text", F.lit("")).alias("__text"))
+    joined = owners.join(text, F.col("owner").eqNullSafe(F.col("__id"))
+                         & (F.col("body") == F.col("__body"))).drop("__id", "__body", "owner", "body")
     names = [c for c in joined.columns if c != "__text"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -262,16 +274,23 @@ def near_classes(docs: DataFrame) -> DataFrame:
     documents with the same set. ``class_id``: the smallest id of all
     documents that links connect.
     """
+    return classified(docs).drop("body", "first")
+
+
+def classified(docs: DataFrame) -> DataFrame:
+    """``near_classes`` with each row's text hash (``body``) and the ``first``
+    row (``doc_id``, ``body``) of its class; null for texts without words."""
     rows = stored(sketched(docs), "sketches")
     classes = stored(rows.where("size > 0").groupBy("n1", "n2").agg(
-        F.count("*").alias("mult"), F.min("doc_id").alias("owner"), F.any_value("sig").alias("sig")),
-        "classes")
+        F.count("*").alias("mult"), F.any_value("sig").alias("sig"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")).alias("first"))
+        .withColumns({"owner": F.col("first.doc_id"), "body": F.col("first.body")}), "classes")
     found = stored(candidate_components(classes), "candidates")
     blocks = found.groupBy("c1", "c2").agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = (found.join(blocks, ["c1", "c2"])
              .withColumn("block", F.pmod(F.xxhash64("n1", "n2"), "blocks").cast("int")))
-    owners = classes.join(dealt, ["n1", "n2"])
+    owners = classes.drop("first").join(dealt, ["n1", "n2"])
     pairs = (with_sets(owners, docs)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
@@ -281,40 +300,44 @@ def near_classes(docs: DataFrame) -> DataFrame:
     counted = links.groupBy(F.col("a1").alias("n1"), F.col("a2").alias("n2")).agg(
         F.sum("texts").alias("texts"), F.sum("links").alias("links"))
     grouped = components(links)
-    named = classes.select("n1", "n2", "owner").join(grouped, ["n1", "n2"])
-    smallest = named.groupBy("c1", "c2").agg(F.min("owner").alias("class_id"))
-    per_class = (classes.select("n1", "n2", "mult", "owner")
+    named = classes.select("n1", "n2", F.col("first").alias("one")).join(grouped, ["n1", "n2"])
+    smallest = named.groupBy("c1", "c2").agg(F.min("one").alias("smallest"))
+    per_class = (classes.select("n1", "n2", "mult", "first")
                  .join(counted, ["n1", "n2"], "left")
                  .join(grouped.join(smallest, ["c1", "c2"]).drop("c1", "c2"), ["n1", "n2"], "left")
-                 .select("n1", "n2", "mult", F.coalesce("class_id", "owner").alias("class_id"),
+                 .select("n1", "n2", "mult", F.coalesce("smallest", "first").alias("first"),
                          F.coalesce("texts", F.lit(0)).alias("texts"),
                          F.coalesce("links", F.lit(0)).alias("links")))
     plain = rows.drop("sig", "size").join(per_class, ["n1", "n2"], "left")
     return plain.select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
+        "doc_id", F.coalesce("first.doc_id", "doc_id").alias("class_id"),
         (F.coalesce(F.col("links") + F.col("mult") - 1, F.lit(0))).cast("long").alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
-        F.coalesce("mult", F.lit(1)).cast("long").alias("n_copies"))
+        F.coalesce("mult", F.lit(1)).cast("long").alias("n_copies"), "body", "first")
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
-    """The documents whose id is their class id (columns unchanged).
+    """One row of each class (columns unchanged): that of the smallest id, null
+    ids last, then of the smallest text hash; of rows that repeat both, one.
 
-    An id names a document: if its rows are of several classes, it stays only
-    if it is the smallest id of each, and of the rows that repeat a kept id
-    one stays (that of the smallest text hash). Texts without words and rows
-    with a null id stay.
+    Classes are told by row, so rows that share an id, or have none, stay or go
+    each by its own text. Texts without words are in no class and all stay.
     """
-    found = stored(near_classes(docs).where("doc_id IS NOT NULL"), "near")
-    lost = found.where("doc_id != class_id").select(F.col("doc_id").alias("__id")).distinct()
-    repeated = found.groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id")
-    same_id = F.col("doc_id") == F.col("__id")
-    # The ids that go grow with the input: a merge join at every size.
-    kept = docs.join(lost.hint("merge"), same_id, "left_anti")
+    found = stored(classified(docs).where("first IS NOT NULL")
+                   .select(F.col("doc_id").alias("__id"), F.col("body").alias("__body"), "first"),
+                   "near")
+    is_first = (F.col("__id").eqNullSafe(F.col("first.doc_id"))
+                & (F.col("__body") == F.col("first.body")))
+    lost = found.where(~is_first).select("__id", "__body").distinct()
+    repeated = found.where(is_first).groupBy("__id", "__body").count().where("count > 1")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (body() == F.col("__body"))
+    # The rows that go grow with the input: a merge join at every size.
+    kept = docs.join(lost.hint("merge"), same, "left_anti")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, same_id, "left_anti")
-    row = F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("__row")
-    again = (kept.join(repeated, same_id, "left_semi").groupBy("doc_id").agg(row)
-             .select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
+    once = kept.join(repeated, same, "left_anti")
+    plain = [f.name for f in docs.schema.fields if "map" not in f.dataType.simpleString()]
+    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("__row")
+    again = (kept.join(repeated, same, "left_semi").groupBy("doc_id", body().alias("__body"))
+             .agg(row).select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
     return once.union(again)

@@ -117,6 +117,26 @@ def test_one_document_of_each_class_stays(make_docs):
                       (None, "a b c d e f g"), (3, None), (4, "")])
     kept = J.one_per_class(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 3, 4, 9, None]
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 3, 4, 9]   # the copy without an id goes
     assert J.one_per_class(docs.limit(0)).collect() == []
     assert J.near_classes(docs.limit(0)).collect() == []
+
+
+def test_rows_of_one_id_or_none_are_kept_by_their_own_text(make_docs):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcd")
+    rows = [(3, a), (7, a), (7, c), (8, b), (8, d), (None, a), (None, a), (None, d + " more"),
+            (9, ""), (9, ""), (None, None), (4, c), (4, c)]
+    docs = make_docs(rows)
+    kept = sorted(((r["doc_id"] is None, r["doc_id"] or 0), r["text"] or "")
+                  for r in J.one_per_class(docs).collect())
+    want = [((False, 3), a), ((False, 4), c), ((False, 8), b), ((False, 8), d),
+            ((False, 9), ""), ((False, 9), ""), ((True, 0), "")]
+    assert kept == want
+
+
+def test_half_of_the_rows_without_an_id(make_docs):
+    texts = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(400)]
+    docs = make_docs([(i if i % 2 else None, t) for i, t in enumerate(texts + texts)])
+    rows = J.near_classes(docs).collect()
+    assert len(rows) == 800 and {r["n_copies"] for r in rows} == {2}
+    assert sorted(r["text"] for r in J.one_per_class(docs).collect()) == sorted(texts)
