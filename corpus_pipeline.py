@@ -6,12 +6,13 @@ kept. All but the last return the columns of ``docs``:
 1. ``language_id``: documents without a determinable language go (no letter,
    or none of the n-grams of any learnt language).
 2. ``jaccard_join``: one document of each near-duplicate class stays, the one
-   with the smallest id.
+   with the smallest id (rows without an id come last).
 3. ``decontamination``: documents with a verified benchmark item go.
 4. ``secret_scan``: secrets are replaced by a mask; no document goes.
 5. ``sentencepiece``: the ids of every document and the text they decode to.
 
-Rows with a null id pass the stages as documents of their own; empty tables
+Rows with a null or repeated id are documents of their own, told apart by their
+text; of copies one stays, whatever their ids. Empty tables
 give empty results with the same columns.
 """
 
