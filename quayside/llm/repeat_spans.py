@@ -110,7 +110,8 @@ def kept_digest(data: bytes, table: WordTable, row: int, covered: np.ndarray | N
 
 
 def seeded(docs: DataFrame) -> DataFrame:
-    """doc_id, class (f1, f2), n_words, digest of all words, seeds of every text."""
+    """doc_id, text hash (``body``), class (f1, f2), n_words, digest of all words,
+    seeds of every text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -122,25 +123,31 @@ def seeded(docs: DataFrame) -> DataFrame:
             head = w.occurrences()
             off = np.searchsorted(w.row[head], np.arange(b - a + 1)).astype(np.int32)
             out.append(pa.record_batch(
-                [batch.column(0).slice(a, b - a), pa.array(f1), pa.array(f2),
+                [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
+                 pa.array(f1), pa.array(f2),
                  pa.array(np.diff(w.table.first)),
                  pa.array([kept_digest(data, w.table, r, None) for r in range(b - a)]),
                  pa.ListArray.from_arrays(pa.array(off), pa.array(w.seed[head].view(np.int64)))],
-                names=["doc_id", "f1", "f2", "n_words", "digest", "seeds"]))
+                names=["doc_id", "body", "f1", "f2", "n_words", "digest", "seeds"]))
         return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
-    picked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return map_arrow(picked, run, f"doc_id {kind}, f1 long, f2 long, n_words long, digest string, "
-                                  "seeds array<long>")
+    text = F.coalesce("text", F.lit(""))
+    picked = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("body"))
+    return map_arrow(picked, run, f"doc_id {kind}, body long, f1 long, f2 long, n_words long, "
+                                  "digest string, seeds array<long>")
 
 
 def with_text(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """``need`` (doc_id, rid, f1, f2, seeds) with its text, checked by class.
+    """``need`` (doc_id, body, rid, f1, f2, seeds) with its text, checked by class.
 
-    Rows of the id that hold another text are left out; equal ones count once.
+    The join is on the id and the text's hash, so that rows that share an id, or
+    have none, do not meet each other's texts; equal ones count once.
     """
-    text = docs.select(F.col("doc_id").alias("__id"), F.coalesce("text", F.lit("")).alias("text"))
-    joined = need.join(text, F.col("doc_id").eqNullSafe(F.col("__id"))).select(
+    text = F.coalesce("text", F.lit(""))
+    text = docs.select(F.col("doc_id").alias("__id"), text.alias("text"),
+                       F.xxhash64(text).alias("__body"))
+    joined = need.join(text, F.col("doc_id").eqNullSafe(F.col("__id"))
+                       & (F.col("body") == F.col("__body"))).select(
         "rid", "f1", "f2", "seeds", "text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -224,7 +231,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     again = stored(seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
                    .select("seed"), "repeated-seeds")
     of_row = seeds.join(again, "seed").groupBy("rid").agg(F.collect_set("seed").alias("seeds"))
-    need = heads.select("doc_id", "rid", "f1", "f2").join(of_row, "rid")
+    need = heads.select("doc_id", "body", "rid", "f1", "f2").join(of_row, "rid")
     bodies = stored(with_text(docs, need).dropDuplicates(["rid"]), "bodies")
     reaches = stored(seed_reaches(bodies), "reaches")
     marks = repeated_windows(reaches).groupBy("rid").agg(

@@ -73,3 +73,12 @@ def test_whole_table_equals_brute_force(spark):
     got = QUERIES["op5_substring_dedup"](spark, path).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(docs)
     assert 0 < sum(1 for r in got if 0 < r.n_removed < r.n_words)
+
+
+def test_many_rows_without_an_id_share_a_passage(make_docs):
+    rng = random.Random(9)
+    shared = " ".join(f"s{k}" for k in range(50))
+    texts = [f"a{rng.randrange(10**9)} {shared} b{i}" for i in range(500)]
+    rows = R.remove_repeats(make_docs([(None, t) for t in texts])).collect()
+    want = Counter((n, sum([gone] if isinstance(gone, int) else gone), d) for n, gone, d in brute(texts))
+    assert Counter((r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows) == want
