@@ -20,6 +20,7 @@ from quayside.operators.cdc import changes, clean_ods, fields, transitioned
 from quayside.operators.lookup import lookup
 from quayside.operators.upsert import latest_by_key
 from quayside.schemas import DWD_TRADE_CART_ADD, DWD_TRADE_ORDER_DETAIL
+from quayside.session import checkpoint_root
 from quayside.sources import replay
 from quayside.sources.dictionary import base_dic
 from quayside.sources.logs import clean_log, log_keys
@@ -401,10 +402,23 @@ def dwd_route(spark, sf_dir):
 
 # -- configuration as of a record's arrival ---------------------------------------
 
+def config_log(log: DataFrame) -> DataFrame:
+    """A configuration log read once, so that the size check and the join that
+    follows see the same rows; without a shared folder, read each time."""
+    context = log.sparkSession.sparkContext
+    try:
+        root = checkpoint_root(log.sparkSession)
+    except RuntimeError:
+        return log
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    return log.checkpoint()
+
+
 def routed_as_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(rows routed by the rule valid at their arrival, timed rule changes)."""
     t = replay.Tables(spark, sf_dir)
-    log = parse_rule_changes(replay.rule_changes_in_time(t), timed=True)
+    log = config_log(parse_rule_changes(replay.rule_changes_in_time(t), timed=True))
     clean = as_of.arrival_millis(clean_ods(parse_ods_db(replay.dim_sources_in_time(t))))
     return as_of.route_as_of(clean, dims.rules_of(as_of.rule_versions(log), "dim")), log
 
@@ -437,7 +451,7 @@ def lookup_as_of(spark, sf_dir):
     """Cart additions with the source-type name valid at their time, while
     names are given, changed and deleted."""
     t = replay.Tables(spark, sf_dir)
-    log = parse_ods_db(replay.base_dic(t))
+    log = config_log(parse_ods_db(replay.base_dic(t)))
     added = trade.cart_adds(ods(spark, sf_dir))
     named = as_of.lookup_as_of(added, as_of.dictionary_versions(log), "source_type",
                                "source_type_name")

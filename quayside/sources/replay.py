@@ -300,22 +300,23 @@ def dim_sources(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     return reduce(DataFrame.unionByName, [users, skus, provinces, suppliers])
 
 
-def _last_key(t: Tables) -> DataFrame:
-    return t.customer.agg(F.max("c_custkey").alias("_last"))
+def _last_key(t: Tables) -> Column:
+    return t.customer.agg(F.max("c_custkey")).scalar()
 
 
 def dim_sources_in_time(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     """Dimension source rows with a `timestamp` of arrival, in millis from 0 to
     50 times the largest customer key: users by key, renames after them, skus
     and provinces spread over the whole time."""
-    at = {"user_info": lambda k: 25 * k, "sku_info": lambda k: k * 9973 % (50 * F.col("_last") + 1),
-          "base_province": lambda k: 2 * k * F.col("_last") + 1}
+    last = _last_key(t)
+    at = {"user_info": lambda k: 25 * k, "sku_info": lambda k: k * 9973 % (50 * last + 1),
+          "base_province": lambda k: 2 * k * last + 1}
     rows = dim_sources(t, db).filter(F.col("_table").isin(*at))
     key = F.get_json_object("value", "$.data.id").cast("bigint")
     renamed = F.get_json_object("value", "$.type") == "update"
     arrival = F.coalesce(*[F.when(F.col("_table") == k, f(key)) for k, f in at.items()])
-    arrival = arrival + F.when(renamed, 25 * F.col("_last")).otherwise(0)
-    return rows.crossJoin(F.broadcast(_last_key(t))).select(
+    arrival = arrival + F.when(renamed, 25 * last).otherwise(0)
+    return rows.select(
         "value", "_table", F.timestamp_millis(arrival).alias("timestamp"))
 
 
@@ -342,20 +343,19 @@ def rule_changes_in_time(t: Tables) -> DataFrame:
                     F.lit("id").alias("sink_pk"))
     record = F.struct(op.alias("op"), F.when(op.isin("d", "u"), rule).alias("before"),
                       F.when(op != "d", rule).alias("after"),
-                      (2 * n * F.col("_last")).cast("bigint").alias("ts_ms"))
-    return t.nation.crossJoin(F.broadcast(_last_key(t))).select(F.to_json(record).alias("value"))
+                      (2 * n * _last_key(t)).cast("bigint").alias("ts_ms"))
+    return t.nation.select(F.to_json(record).alias("value"))
 
 
 def base_dic(t: Tables, db: str = DEFAULT_DATABASE) -> DataFrame:
     """Changes of the dictionary table over the time of the events: a source
     type code per region, named, renamed, deleted (odd regions) and named again;
     the last region's code has no first name."""
-    span = t.events.agg(F.min(_seconds(F.col("ts"))).alias("_from"),
-                        F.max(_seconds(F.col("ts"))).alias("_to"))
+    first, last = (t.events.agg(f(_seconds(F.col("ts")))).scalar() for f in (F.min, F.max))
     r = F.col("r_regionkey")
-    rows = t.region.crossJoin(F.broadcast(span)).withColumn(
+    rows = t.region.withColumn(
         "step", F.explode(F.sequence(F.lit(0), F.lit(3)))).filter((r != 4) | (F.col("step") > 0))
-    at = F.col("_from") + F.floor((F.col("step") * 5 + r) * (F.col("_to") - F.col("_from")) / 20)
+    at = first + F.floor((F.col("step") * 5 + r) * (last - first) / 20)
     kind = (F.when(F.col("step") == 0, "bootstrap-insert").when(F.col("step") == 1, "update")
              .when((F.col("step") == 2) & (r % 2 == 1), "delete").otherwise("insert"))
     code = F.concat(F.lit("240"), _str(r + 1))
