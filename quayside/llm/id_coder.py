@@ -409,7 +409,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> None:
     python_batches(docs.sparkSession)
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.coalesce("text", F.lit("")).alias("text"))
-    (picked.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Range bounds are sampled to the driver: of ids and text hashes, not of texts.
+    (picked.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash")
+     .sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
      .mapInArrow(run, FILE_SCHEMA).write.parquet(path))
 
 
