@@ -20,6 +20,8 @@ document larger than a shard's share makes that shard larger by itself.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,14 +56,19 @@ def rebalanced(owner: np.ndarray, weight: np.ndarray, shards: int) -> np.ndarray
         mine = np.flatnonzero((owner == high) & (weight > 0))
         theirs = np.flatnonzero(owner == low)
         # Moving a slot of weight d, or swapping two that differ by d, leaves |gap - 2d|.
-        d = np.concatenate([weight[mine, None], weight[mine, None] - weight[None, theirs]], axis=1)
-        left = np.where((d > 0) & (d < gap), np.abs(gap - 2 * d), gap)
+        # A move is a swap with nothing; the best partner is next to weight - gap / 2.
+        back = np.concatenate([[0], weight[theirs]])
+        order = np.argsort(back, kind="stable")
+        place = np.searchsorted(2 * back[order], 2 * weight[mine] - gap)
+        near = order[np.clip(place[:, None] - [1, 0], 0, len(order) - 1)]
+        d = weight[mine, None] - back[near]
+        left = np.abs(gap - 2 * d)
         if gap == 0 or not left.size or left.min() >= gap:
             return owner
         i, j = np.unravel_index(int(left.argmin()), left.shape)
         owner[mine[i]] = low
-        if j:
-            owner[theirs[j - 1]] = high
+        if near[i, j]:
+            owner[theirs[near[i, j] - 1]] = high
         load[high] -= d[i, j]
         load[low] += d[i, j]
 
@@ -91,11 +98,12 @@ def first_map(shards: int, slots: int = SLOTS) -> np.ndarray:
 def store_map(spark: SparkSession, path: str, version: int, owner: np.ndarray,
               weight: np.ndarray, rows: np.ndarray) -> None:
     """Write one version of the slot map; earlier versions stay readable."""
-    values = ", ".join(f"({version}, {k}, {int(o)}, {int(w)}L, {int(n)}L)" for k, (o, w, n) in
-                       enumerate(zip(owner, weight, rows, strict=True)))
-    names = ", ".join(c.split()[0] for c in MAP_SCHEMA.split(", "))
-    spark.sql(f"SELECT * FROM VALUES {values} AS slot_map({names})").coalesce(1).write.mode(
-        "overwrite").parquet(f"{path.rstrip('/')}/version-{version:06d}")
+    values = json.dumps([{"vslot": k, "shard": int(o), "bytes": int(w), "rows": int(n)}
+                         for k, (o, w, n) in enumerate(zip(owner, weight, rows, strict=True))])
+    kind = f"array<struct<{MAP_SCHEMA.split(', ', 1)[1].replace(' ', ':').replace(',:', ',')}>>"
+    spark.range(1).select(F.inline(F.from_json(F.lit(values), kind))).select(
+        F.lit(version).alias("map_version"), "*").coalesce(1).write.mode("overwrite").parquet(
+        f"{path.rstrip('/')}/version-{version:06d}")
 
 
 def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:

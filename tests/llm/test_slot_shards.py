@@ -5,7 +5,7 @@ import pytest
 
 from quayside.llm.queries import QUERIES
 from quayside.llm.slot_shards import (SLOTS, first_map, grown, read_map, rebalanced,
-                                      shard_documents, slot_sums, slotted)
+                                      shard_documents, slot_sums, slotted, store_map)
 from tests.conftest import SF_SMALL
 
 
@@ -29,6 +29,18 @@ def test_whole_table_gives_near_equal_gapless_shards(spark, sf):
     assert max(load) <= max(largest, 1.002 * sum(load) / 8)
 
 
+def test_many_slots_are_balanced_and_stored(spark, scratch):
+    slots = 65536
+    weight = np.random.default_rng(3).lognormal(8, 2, slots).astype(np.int64)
+    owner = rebalanced(first_map(8, slots), weight, 8)
+    load = np.bincount(owner, weight, 8)
+    assert load.max() - load.min() <= 1 or load.max() <= 1.0001 * load.mean()
+    store_map(spark, f"{scratch}/map", 3, owner, weight, weight)
+    back = sorted(map(tuple, read_map(spark, f"{scratch}/map", 3).collect()))
+    assert back == [(3, k, o, w, w) for k, (o, w) in
+                    enumerate(zip(owner.tolist(), weight.tolist(), strict=True))]
+
+
 def test_nulls_repeats_clashing_names_and_empty(make_docs):
     docs = make_docs([(i % 40 if i % 50 else None, None if i % 3 == 0 else "x" * (i % 7))
                       for i in range(200)])
