@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import WordTable, map_arrow, rolling, slices
 
 SAMPLE = 2000
+SAMPLE_LINES = 2000
 ROUNDS = 2
 STEPS = 200
 PIECE = 32
@@ -262,7 +263,8 @@ def train_lines(x: np.ndarray, row: np.ndarray, good: np.ndarray, rounds: int =
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """Fit on at most ``sample`` labelled documents (smallest id hashes)."""
+    """Fit on at most ``sample`` labelled documents (smallest id hashes), also
+    where ids repeat; documents of more than ``SAMPLE_LINES`` lines are not fitted on."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
               .select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("quality"))
               .orderBy(F.xxhash64("__id"), "__id", "quality").limit(sample))
@@ -282,8 +284,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     joined = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = map_arrow(joined, run, f"doc_id {kind}, quality int, lines array<int>").orderBy(
-        "doc_id", "quality", "lines").toArrow()
+    rows = map_arrow(joined, run, f"doc_id {kind}, quality int, lines array<int>")
+    got = (rows.where(F.size("lines") <= SAMPLE_LINES)
+           .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "lines").limit(sample)
+           .orderBy("doc_id", "quality", "lines").toArrow())
     lists = got.column("lines").combine_chunks()
     size = np.diff(lists.offsets.to_numpy())
     bits = lists.flatten().to_numpy(zero_copy_only=False)
