@@ -1,8 +1,11 @@
+import itertools
 import math
 import random
 import re
+import tracemalloc
 
 import pyarrow as pa
+import pytest
 
 import corpus_pipeline
 from quayside.llm import bm25_decontam as D
@@ -87,6 +90,50 @@ def test_retrieval_equals_scoring_every_item(make_docs):
     assert D.clean(spark_docs, bench.limit(0)).count() == len(docs)
 
 
+def _part(items, length):
+    words = [_words(t) for _, t in items]
+    df = {}
+    for w in words:
+        for t in set(D.words_of(pa.array([" ".join(w)])).hash().tolist()):
+            df[t] = df.get(t, 0) + 1
+    mean = max(sum(map(len, words)), 1) / len(items)
+    return D.Part.build([k for k, _ in items], [t for _, t in items], len(items), mean, df, length)
+
+
+@pytest.mark.parametrize(("segment", "work"), [(4096, 1 << 21), (32, 1), (16, 200), (48, 5000)])
+def test_small_segments_and_groups_retrieve_the_same(monkeypatch, segment, work):
+    monkeypatch.setattr(D, "SEGMENT_ITEMS", segment)
+    monkeypatch.setattr(D, "WORK", work)
+    rng = random.Random(segment)
+    vocab = [f"w{min(int(rng.paretovariate(0.6)), 400)}" for _ in range(3000)]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randint(1, 40)))) for i in range(300)]
+    docs = [" ".join([*rng.choices(vocab, k=rng.randint(0, 150)), rng.choice(items)[1],
+                      *rng.choices(vocab, k=rng.randint(0, 150))]) for _ in range(40)] + [""]
+    part = _part(items, max(len(t.split()) for _, t in items))
+    row, item, score, _, question, answer = D.retrieve(part, pa.array(docs))
+    got = {}
+    for r, k, x, q, a in zip(row.tolist(), item.tolist(), score, question, answer, strict=True):
+        key = (r, part.items[k])
+        got[key] = max(got.get(key, (-1, -1)), (round(min(q, a), 6), round(x, 4)))
+    assert got == brute(docs, items) and len(got) > 100
+
+
+def test_many_items_are_searched_in_little_memory():
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(30_000)]
+    weight = [1 / (i + 1) for i in range(len(vocab))]
+    words = iter(rng.choices(vocab, weight, k=400_000))
+    items = [(i, " ".join(itertools.islice(words, 30))) for i in range(8000)]
+    part = _part(items, 30)
+    docs = [" ".join(itertools.islice(words, 700)) for _ in range(100)] + [items[5][1]]
+    texts = pa.array(docs)
+    tracemalloc.start()
+    row, item, *_ = D.retrieve(part, texts)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert (100, 5) in {(r, part.items[k]) for r, k in zip(row, item, strict=True)}
+
+
 def test_index_parts_give_the_same_pairs(make_docs, monkeypatch):
     docs = make_docs([(i, f"start {i} alpha beta gamma delta w{i} end") for i in range(30)])
     bench = docs.sparkSession.createDataFrame(
@@ -97,6 +144,26 @@ def test_index_parts_give_the_same_pairs(make_docs, monkeypatch):
     assert {(i, i) for i in range(20)} <= one
 
 
+def test_parts_share_windows_and_weights(make_docs, monkeypatch):
+    rng = random.Random(2)
+    vocab = [a + b for a in "abcdefgh" for b in "rstuvwxyz"]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randint(2, 40)))) for i in range(60)]
+    rows = [(i, " ".join(rng.choices(vocab, k=90)) + " " + items[i][1][:-3]) for i in range(30)]
+    docs = make_docs([*rows, (7, rows[3][1]), (None, rows[4][1]), (None, None)])
+    bench = docs.sparkSession.createDataFrame(items, "item_id long, text string")
+    columns = ["doc_id", "item_id", "score", "overlap", "n_passages"]
+
+    def results():
+        pairs = D.retrieved(docs, bench).select(*columns).collect()
+        kept = D.clean(docs, bench, answers=False).select("doc_id", "text").collect()
+        return (sorted((str(r.doc_id), r.item_id, round(r.score, 9), r.overlap, r.n_passages)
+                       for r in pairs), sorted(map(str, kept)))
+
+    one = results()
+    monkeypatch.setattr(D, "PART_BYTES", 1500)
+    assert results() == one and len(one[0]) > 100 and "Row(doc_id=None, text=None)" in one[1]
+
+
 def test_block_maxima_bound_every_posting():
     index = D.Index.build([1, 2, 3], ["a b c", "b c d d", "e"], 3, 8 / 3,
                           dict.fromkeys(D.words_of(pa.array(["a b c d e"])).hash().tolist(), 1))
