@@ -80,7 +80,12 @@ def repair_is_new(log: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     one row per device. Pass `keys` (`sources.logs.log_keys` of the same
     raw log) to compute the per-device days from a narrower parse.
     """
-    days = first_visit_days(log if keys is None else keys)
+    return repair_with(log, first_visit_days(log if keys is None else keys))
+
+
+def repair_with(log: DataFrame, days: DataFrame) -> DataFrame:
+    """`log` corrected by known first-visit days (`_mid`, `_first_day`, one row
+    per device); records of other devices stay as they are."""
     c = F.col("common")
     j = log.join(days, c["mid"] == F.col("_mid"), "left")
     fixed = repaired_is_new(c["is_new"], day_of_millis(F.col("ts")), F.col("_first_day"))
