@@ -173,8 +173,13 @@ def join_payments(order_detail: DataFrame, ods: DataFrame, database: str = DEFAU
     payment type has a name. With `idle` (seconds, batch only), `order_detail`
     holds all versions (`retention.with_replacement`), and a version meets the
     payments that come while it is kept."""
-    od = order_detail.alias("od")
-    pi = payment_successes(ods, database).alias("pi")
+    return join_paid_details(order_detail, payment_successes(ods, database), bound, idle)
+
+
+def join_paid_details(order_detail: DataFrame, payments: DataFrame, bound: int | None = None,
+                      idle: int | None = None) -> DataFrame:
+    """`join_payments` of given payments."""
+    od, pi = order_detail.alias("od"), payments.alias("pi")
     cond = _on(F.col("od.order_id") == F.col("pi.order_id"), _within("od", "pi", bound))
     if idle is not None:
         cond = cond & retention.meet("od", "pi", "ts", idle)
@@ -231,8 +236,13 @@ def orders_in_status(ods: DataFrame, status: str, database: str = DEFAULT_DATABA
 def join_refund_orders(ods: DataFrame, database: str = DEFAULT_DATABASE,
                        bound: int | None = None) -> DataFrame:
     """Refund requests ⋈ orders that turned refund-approved."""
-    ri = order_refunds(ods, database).alias("ri")
-    oi = orders_in_status(ods, ORDER_REFUND_APPROVED, database).alias("oi")
+    return join_approved_orders(order_refunds(ods, database),
+                                orders_in_status(ods, ORDER_REFUND_APPROVED, database), bound)
+
+
+def join_approved_orders(ri: DataFrame, oi: DataFrame, bound: int | None = None) -> DataFrame:
+    """`join_refund_orders` of given requests and orders."""
+    ri, oi = ri.alias("ri"), oi.alias("oi")
     j = ri.join(oi, _on(F.col("ri.order_id") == F.col("oi.id"), _within("ri", "oi", bound)))
     return refund_columns(j)
 
@@ -292,9 +302,15 @@ def join_refund_lines(rp: DataFrame, ri: DataFrame, bound: int | None = None) ->
 def join_paid_refunds(ods: DataFrame, database: str = DEFAULT_DATABASE, strict: bool = False,
                       bound: int | None = None) -> DataFrame:
     """Refund payments ⋈ refund lines ⋈ orders that turned refund-paid."""
-    j = join_refund_lines(refund_payments(ods, database, strict),
-                          refund_lines(ods, database, strict), bound).alias("rp")
-    oi = orders_in_status(ods, ORDER_REFUND_PAID, database).alias("oi")
+    return join_paid_orders(refund_payments(ods, database, strict),
+                            refund_lines(ods, database, strict),
+                            orders_in_status(ods, ORDER_REFUND_PAID, database), bound)
+
+
+def join_paid_orders(rp: DataFrame, ri: DataFrame, oi: DataFrame,
+                     bound: int | None = None) -> DataFrame:
+    """`join_paid_refunds` of given payments, lines and orders."""
+    j, oi = join_refund_lines(rp, ri, bound).alias("rp"), oi.alias("oi")
     j = j.join(oi, _on(F.col("rp.order_id") == F.col("oi.id"), _within("rp", "oi", bound)))
     return j.select("rp.*", F.col("oi.user_id").alias("user_id"),
                     F.col("oi.province_id").alias("province_id"))

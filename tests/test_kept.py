@@ -1,0 +1,179 @@
+"""Joins of streams on kept tables: equal to batch in any order, late matches, runs
+that repeat, merged spans, pruned folders, hot keys, no state."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.operators import trade
+from quayside.plans import queries as Q
+from quayside.sources import replay
+from quayside.sources.dictionary import base_dic
+from quayside.sources.ods import parse_ods_db
+from quayside.streaming import apps, jobs, kept, launcher
+from tests.conftest import SF_SMALL
+from tests.test_streaming import last_by, rows_of, shuffled_chunks, write_files
+
+
+def _texts(spark, tables):
+    raw = replay.ods_db(spark, SF_SMALL).filter(F.col("_table").isin(tables))
+    return [r[0] for r in raw.select("value").collect()]
+
+
+def _stream(spark, folder, chunks):
+    write_files(folder, chunks)
+    return spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(folder)
+
+
+def _run(spark, scratch, job, stream, name, fan=2, **kw):
+    def write(frame, batch_id):
+        frame.write.mode("overwrite").parquet(f"{scratch}/out/{batch_id}")
+    q = launcher.run_available(stream, f"kept_{job}", checkpoint=f"{scratch}/ck",
+                               foreach_batch=jobs.kept_batch(job, f"{scratch}/kept", name,
+                                                             base_dic, write, fan=fan, **kw))
+    assert not any(p["stateOperators"] for p in q.recentProgress)
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{scratch}/out")
+
+
+def test_spans_cover_every_batch_once():
+    for fan in (2, 3, 16):
+        for stop in range(70):
+            got = kept.spans(0, stop, fan)
+            assert [b for a, z in got for b in range(a, z)] == list(range(stop))
+            levels = [z - a for a, z in got]
+            assert levels == sorted(levels, reverse=True)
+            assert all(levels.count(n) < fan for n in levels)
+
+
+def test_order_detail_equals_batch_in_any_order(spark, scratch):
+    texts = _texts(spark, ["order_detail", "order_info", "order_detail_activity",
+                           "order_detail_coupon"])
+    stream = _stream(spark, f"{scratch}/ods", shuffled_chunks(texts, 3))
+    got = _run(spark, scratch, "order_detail", stream, trade.name_order_details)
+    want = Q.trade_order_detail(spark, SF_SMALL)
+    assert rows_of(last_by(got, "id")) == rows_of(want)
+    assert got.count() > want.count()       # some came out before a part was known
+
+
+def test_payments_equal_batch_in_any_order(spark, scratch):
+    od = jobs.order_detail_topic(Q.order_detail_topic(spark, SF_SMALL))
+    od_texts = [r[0] for r in od.select("value").collect()]
+    both = jobs.payment_inputs(
+        _stream(spark, f"{scratch}/od", shuffled_chunks(od_texts, 2)),
+        _stream(spark, f"{scratch}/ods", shuffled_chunks(
+            _texts(spark, ["payment_info", "order_info"]), 2)))
+    got = _run(spark, scratch, "pay_detail_suc", both, trade.name_payments)
+    assert rows_of(got.drop("row_op_ts")) == rows_of(Q.trade_pay_detail_suc(spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_paid_refunds_equal_batch_in_any_order(spark, scratch, strict):
+    texts = _texts(spark, ["refund_payment", "order_refund_info", "order_info"])
+    stream = _stream(spark, f"{scratch}/ods", shuffled_chunks(texts, 3))
+    got = _run(spark, scratch, "refund_pay_suc", stream, trade.name_paid_refunds, strict=strict)
+    want = (Q.trade_refund_pay_suc_strict if strict else Q.trade_refund_pay_suc)(spark, SF_SMALL)
+    assert rows_of(got.drop("row_op_ts")) == rows_of(want.drop("row_op_ts"))
+    assert want.count() > 0
+
+
+def test_refunds_equal_batch_in_any_order(spark, scratch):
+    texts = _texts(spark, ["order_refund_info", "order_info"])
+    stream = _stream(spark, f"{scratch}/ods", shuffled_chunks(texts, 3))
+    got = _run(spark, scratch, "order_refund", stream, trade.name_refunds)
+    assert rows_of(got.drop("row_op_ts")) == rows_of(
+        Q.trade_order_refund(spark, SF_SMALL).drop("row_op_ts"))
+
+
+def _request(i, order, ts=1):
+    return json.dumps({"database": "shop", "table": "order_refund_info", "type": "insert",
+                       "ts": ts, "data": {"id": str(i), "order_id": order, "sku_id": "1"}})
+
+
+def _approved(order, province="2", ts=1):
+    return json.dumps({"database": "shop", "table": "order_info", "type": "update", "ts": ts,
+                       "data": {"id": order, "province_id": province, "order_status": "1005"},
+                       "old": {"order_status": "1001"}})
+
+
+def _batch(spark, texts):
+    return parse_ods_db(spark.createDataFrame([(t,) for t in texts], "value string"))
+
+
+def _pairs(df):
+    return sorted((r.id, r.order_id, r.province_id) for r in df.collect())
+
+
+def test_every_pair_once_against_a_simulation(spark, scratch):
+    """Random keys (numbers, names, null), repeats and empty micro-batches."""
+    rng = random.Random(3)
+    orders = ["7", "199999", "200000", "-5", "x-1", "", None]
+    join = jobs.kept_join("order_refund", f"{scratch}/kept", fan=2)
+    requests, approved, n = [], [], 0
+    for b in range(6):
+        new_r = [] if b == 2 else [(str(n + i), rng.choice(orders)) for i in range(rng.randint(0, 4))]
+        new_a = [] if b in (0, 2) else [(rng.choice(orders), str(rng.randint(0, 2)))
+                                        for _ in range(rng.randint(0, 3))]
+        n += len(new_r)
+        batch = _batch(spark, [_request(*r) for r in new_r] + [_approved(*a) for a in new_a])
+        got = _pairs(join.joined(batch, b))
+        fresh = [(r, a, i >= len(requests) or j >= len(approved))
+                 for i, r in enumerate(requests + new_r) for j, a in enumerate(approved + new_a)]
+        assert got == sorted((r[0], r[1], a[1]) for r, a, new in fresh
+                             if new and r[1] is not None and r[1] == a[0]), b
+        join.merge(spark, b)
+        if b == 3:                                           # the micro-batch runs again
+            assert _pairs(join.joined(batch, b)) == got
+            join.merge(spark, b)
+        requests, approved = requests + new_r, approved + new_a
+    assert kept.spans(0, 6, 2) == [(0, 4), (4, 6)]
+
+
+def test_only_the_batchs_buckets_are_read(spark, scratch):
+    join = jobs.kept_join("order_refund", f"{scratch}/kept")
+    wide = [str(i * kept.WIDTH) for i in range(6)]
+    join.joined(_batch(spark, [_approved(o) for o in wide]), 0).collect()
+    late = join.joined(_batch(spark, [_request(1, wide[4], ts=10 ** 9)]), 1)
+    files = [f for f in late.inputFiles() if "/order/" in f and "_span=0-1" in f]
+    assert _pairs(late) == [("1", wide[4], "2")]
+    plan = late._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and "_bucket" in plan
+    assert files and "_bucket=4" in " ".join(files)
+    assert kept.buckets_of(spark.createDataFrame([(str(i * kept.WIDTH),) for i in range(1100)],
+                                                 "k string"), "k") is None
+
+
+def test_a_hot_order_is_spread_over_tasks(spark, scratch):
+    """Half of the requests are of one order; the skew join splits its partition."""
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    texts = [_request(i, "1" if i % 2 else str(i)) for i in range(8000)]
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        join = jobs.kept_join("order_refund", f"{scratch}/kept")
+        join.joined(_batch(spark, texts).repartition(8), 0).collect()
+        out = join.joined(_batch(spark, [_approved(str(i)) for i in range(8000)]), 1)
+        out.select("id", "order_id", F.spark_partition_id().alias("task")).write.parquet(
+            f"{scratch}/out")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    got = spark.read.parquet(f"{scratch}/out")
+    assert got.count() == got.select("id").distinct().count() == 8000
+    hot = got.where("order_id = '1'").groupBy("task").count().collect()
+    assert len(hot) >= 3 and max(r["count"] for r in hot) < 2000
+
+
+def test_app_names_and_limits(spark):
+    assert set(apps.NAMES) == set(apps.NAMED_JOBS)
+    with pytest.raises(ValueError):
+        jobs.kept_join("nope", "/none")
+    with pytest.raises(ValueError):
+        apps.run("order_refund", spark, "none", path="/none", idle=1.0)
