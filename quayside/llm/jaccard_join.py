@@ -7,11 +7,15 @@ with Bayesian pruning of candidates.
    classes, so copies are never paired.
 2. ``HASHES`` MinHash values per class; classes that agree on any of
    ``BANDS`` bands are candidates. A pair at the threshold agrees on none
-   with probability (1 - 0.8^4)^28 < 4e-7.
+   with probability (1 - 0.8^5)^32 < 4e-6.
 3. Candidate classes are grouped into connected components of the candidate
    graph (an edge to each bucket's smallest member). No pair is written:
-   a component is dealt out in blocks of about ``BLOCK`` classes, every two
-   blocks of it meet in one group, and pairs exist only inside that task.
+   a group is dealt out in blocks of about ``BLOCK`` classes, every two
+   blocks of it meet in one task, and pairs exist only inside that task. A group
+   is a component, or each of a component's buckets, whichever deals out fewer
+   rows: pages of one template hang together by few shared bands each, so their
+   buckets are small; many copies of one text share most bands. By buckets, a pair
+   counts in the first band that it shares, so both ways find the same links.
 4. There, MinHash values are compared ``STEP`` at a time. With m matches in k
    and a uniform prior, P(J >= t | m, k) = P(Bin(k + 1, t) <= m); pairs whose
    posterior falls below ``TOLERANCE`` are dropped. The rest are verified
@@ -26,7 +30,8 @@ allowed; the class id is the smallest non-null id of the class. Texts are
 fetched by id and a hash of the text, so rows that share an id, or have none,
 do not meet each other's texts. Only doc_id
 and text are read, so other columns' names cannot clash. A class of very many
-*different* near copies costs one comparison per pair, spread over blocks.
+*different* near copies costs one comparison per pair, spread over blocks; a
+template of very many pages that are not near costs one per shared band.
 """
 
 from __future__ import annotations
@@ -43,7 +48,7 @@ from quayside.llm.components import components
 
 WIDTH = 5
 THRESHOLD = (4, 5)                 # 0.8 as a fraction, so that the test is exact
-ROWS, BANDS = 4, 28
+ROWS, BANDS = 5, 32
 HASHES = ROWS * BANDS
 STEP = 8
 TOLERANCE = 1e-9
@@ -135,18 +140,24 @@ def body() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def candidate_components(classes: DataFrame) -> DataFrame:
-    """Component (c1, c2) of every class that shares a band with another."""
+def banded(classes: DataFrame) -> DataFrame:
+    """``classes`` without its signature, a row per band with the band's key."""
     width = ROWS * 4
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
         F.substring(F.col("sig"), i * width + 1, F.lit(width)), i))
-    banded = classes.select("n1", "n2", F.explode(keys).alias("key"))
-    hubs = (banded.groupBy("key").agg(F.count("*").alias("n"),
+    rest = [c for c in classes.columns if c != "sig"]
+    return classes.select(*rest, F.posexplode(keys).alias("band", "key"))
+
+
+def candidate_components(classes: DataFrame) -> DataFrame:
+    """Component (c1, c2) of every class that shares a band with another."""
+    bands = banded(classes.select("n1", "n2", "sig")).drop("band")
+    hubs = (bands.groupBy("key").agg(F.count("*").alias("n"),
                                       F.min(F.struct("n1", "n2")).alias("hub"))
             .where("n > 1").select("key", F.col("hub.n1").alias("b1"), F.col("hub.n2").alias("b2")))
     # A class is tied to the smallest of its buckets' hubs, and so are those
     # hubs: as connected as an edge to each hub, but few rows after distinct.
-    tied = banded.join(hubs, "key").groupBy("n1", "n2").agg(
+    tied = bands.join(hubs, "key").groupBy("n1", "n2").agg(
         F.min(F.struct("b1", "b2")).alias("least"), F.collect_set(F.struct("b1", "b2")).alias("hubs"))
     own = F.array(F.struct(F.col("n1").alias("b1"), F.col("n2").alias("b2")))
     edges = (tied.select("least", F.explode(F.concat("hubs", own)).alias("end"))
@@ -156,9 +167,46 @@ def candidate_components(classes: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def linked_pairs(sig: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray
-                 ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ``left`` x ``right`` (index lists) that reach the threshold."""
+def dealt(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``n1, n2, deals``: the groups that a candidate class is compared in, each with
+    its band (-1: a whole component), the class's block and the group's blocks."""
+    size = F.count("*").alias("n")
+    cost = F.col("n") * F.col("blocks")               # rows that a group deals out
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    whole = stored(found.groupBy("c1", "c2").agg(size).withColumn("blocks", blocks), "components")
+    # A component of one block is never dealt out cheaper by its buckets.
+    several = whole.where("blocks > 1").select("c1", "c2", cost.alias("cost"))
+    bands = banded(classes.select("n1", "n2", "sig").join(
+        found.join(several.drop("cost"), ["c1", "c2"]), ["n1", "n2"]))
+    buckets = stored(bands.groupBy("c1", "c2", "band", "key").agg(size).where("n > 1")
+                     .withColumn("blocks", blocks), "buckets")
+    cheaper = (buckets.groupBy("c1", "c2").agg(F.sum(cost).alias("split"))
+               .join(several, ["c1", "c2"]).where("split < cost").select("c1", "c2"))
+    by_bucket = bands.join(buckets.join(cheaper, ["c1", "c2"]), ["c1", "c2", "band", "key"]).select(
+        "n1", "n2", F.col("key").alias("g1"), F.lit(0).cast("long").alias("g2"), "band", "blocks")
+    by_component = found.join(whole.join(cheaper, ["c1", "c2"], "left_anti"), ["c1", "c2"]).select(
+        "n1", "n2", F.col("c1").alias("g1"), F.col("c2").alias("g2"), F.lit(-1).alias("band"),
+        "blocks")
+    block = F.pmod(F.xxhash64("n1", "n2"), "blocks").cast("int").alias("block")
+    deal = F.struct("g1", "g2", "band", block, "blocks")
+    return by_component.union(by_bucket).groupBy("n1", "n2").agg(
+        F.collect_list(deal).alias("deals"))          # at most BANDS
+
+
+def first_shared(sig: np.ndarray, i: np.ndarray, j: np.ndarray, band: int) -> np.ndarray:
+    """Whether ``band`` is the first that the pairs ``i``, ``j`` share."""
+    rows = sig.reshape(len(sig), BANDS, ROWS)
+    first = (rows[i, band] == rows[j, band]).all(axis=1)
+    for b in range(band):
+        at = np.flatnonzero(first)
+        first[at[(rows[i[at], b] == rows[j[at], b]).all(axis=1)]] = False
+    return first
+
+
+def linked_pairs(sig: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
+                 band: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``left`` x ``right`` (index lists) that reach the threshold; with a
+    ``band``, those that share it as their first."""
     if left is right:
         i, j = (left[x] for x in np.triu_indices(len(left), 1))
     else:
@@ -171,6 +219,11 @@ def linked_pairs(sig: np.ndarray, sets: list[np.ndarray], left: np.ndarray, righ
             i, j, matches = i[stay], j[stay], matches[stay]
         if not len(i):
             return i, j
+    if band >= 0:
+        stay = first_shared(sig, i, j, band)
+        i, j = i[stay], j[stay]
+        if not len(i):
+            return i, j
     used = np.unique(np.concatenate([i, j]))
     size = np.array([len(s) for s in sets])
     values, local = np.unique(np.concatenate([sets[u] for u in used]), return_inverse=True)
@@ -223,7 +276,8 @@ def _compare(group: pa.Table) -> pa.RecordBatch | None:
     off, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
     sets = [flat[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
     left = np.flatnonzero(block == bi)
-    i, j = linked_pairs(sig, sets, left, left if bi == bj else np.flatnonzero(block == bj))
+    i, j = linked_pairs(sig, sets, left, left if bi == bj else np.flatnonzero(block == bj),
+                        group.column("band")[0].as_py())
     if not len(i):
         return None
     n = len(node)
@@ -286,16 +340,13 @@ def classified(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")).alias("first"))
         .withColumns({"owner": F.col("first.doc_id"), "body": F.col("first.body")}), "classes")
     found = stored(candidate_components(classes), "candidates")
-    blocks = found.groupBy("c1", "c2").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = (found.join(blocks, ["c1", "c2"])
-             .withColumn("block", F.pmod(F.xxhash64("n1", "n2"), "blocks").cast("int")))
-    owners = classes.drop("first").join(dealt, ["n1", "n2"])
+    owners = classes.drop("first").join(dealt(classes, found), ["n1", "n2"])
     pairs = (with_sets(owners, docs)
+             .withColumn("deal", F.explode("deals")).select("*", "deal.*").drop("deals", "deal")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
              .drop("other", "blocks"))
-    links = stored(map_groups(pairs, ["c1", "c2", "bi", "bj"], _compare,
+    links = stored(map_groups(pairs, ["g1", "g2", "band", "bi", "bj"], _compare,
                               "a1 long, a2 long, b1 long, b2 long, texts long, links long"), "links")
     counted = links.groupBy(F.col("a1").alias("n1"), F.col("a2").alias("n2")).agg(
         F.sum("texts").alias("texts"), F.sum("links").alias("links"))

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from quayside.llm import jaccard_join as J
 from quayside.llm.components import components
@@ -75,6 +76,39 @@ def test_links_equal_brute_force(make_docs, monkeypatch):
     assert _rows(J.near_classes(spark_docs)) == brute(docs)
 
 
+def test_pages_of_one_template_are_compared_by_bucket(make_docs, monkeypatch):
+    """Pages with a common part that are not near, and some that are: the component is
+    dealt out by its buckets, in far fewer pairs, with the same links."""
+    monkeypatch.setattr(J, "BLOCK", 8)
+    rng = random.Random(6)
+    common = [f"menu{i}" for i in range(50)]
+    own = [[f"w{rng.randrange(10 ** 6)}" for _ in range(38)] for _ in range(150)]
+    texts = [" ".join(common + o) for o in own]
+    texts += [" ".join(common + o[:-1] + ["edited"]) for o in own[:20]]
+    texts += _near_copies(rng, 40)                    # dealt out as a whole: all are near
+    docs = list(enumerate(texts))
+    table = make_docs(docs)
+    assert _rows(J.near_classes(table)) == brute(docs)
+    classes = J.sketched(table).groupBy("n1", "n2").agg(F.any_value("sig").alias("sig"))
+    deals = J.dealt(classes, J.candidate_components(classes)).selectExpr("inline(deals)")
+    groups = [(r["band"], r["count"]) for r in deals.groupBy("g1", "g2", "band").count().collect()]
+    by_bucket = sum(n * (n - 1) // 2 for band, n in groups if band >= 0)
+    assert 20 <= by_bucket < 170 * 169 // 2
+    assert any(band < 0 and n >= 20 for band, n in groups)
+
+
+def test_a_pair_counts_in_its_first_shared_band():
+    sig = np.random.default_rng(1).integers(0, 2**32, (3, J.HASHES), dtype=np.uint32)
+    for band in (4, 9):
+        at = slice(band * J.ROWS, (band + 1) * J.ROWS)
+        sig[1, at] = sig[0, at]
+    sig[2, :J.ROWS] = sig[0, :J.ROWS]
+    i, j = np.array([0, 0, 1]), np.array([1, 2, 2])
+    hits = {b: J.first_shared(sig, i, j, b).tolist() for b in range(J.BANDS)}
+    assert hits.pop(0) == [False, True, False] and hits.pop(4) == [True, False, False]
+    assert not any(any(h) for h in hits.values())
+
+
 def test_whole_table_equals_brute_force(spark):
     path = SF_SMALL.replace("sf0.001", "sf0.01")
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
