@@ -1,0 +1,62 @@
+"""Records written from structs, and the key that goes beside a record's texts."""
+
+from pyspark.sql import functions as F
+
+from quayside.operators.upsert import latest_by_key
+from quayside.plans.queries import QUERIES
+from quayside.schemas import DWD_TRADE_ORDER_DETAIL
+from quayside.sources import replay
+from quayside.sources.sinks import read_json_records, upsert_records, with_key
+
+from tests.conftest import SF_SMALL
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_record_text_is_that_of_a_map_with_nulls(spark):
+    rows = spark.createDataFrame(
+        [("a", 'q"\\ü\n', 5, "insert"), (None, None, None, None), ("", "x", 0, "update")],
+        "a string, b string, t long, k string")
+    data = [("id", F.col("a")), ("name", F.col("b")), ("t", F.col("t"))]
+    old = F.when(F.col("a") == "a", replay._smap([("name", F.col("b"))]))
+    got = replay.change("x", F.col("k"), data, F.col("t"), old, 's"hop')
+    want = F.to_json(F.struct(
+        F.lit('s"hop').alias("database"), F.lit("x").alias("table"), F.col("k").alias("type"),
+        F.col("t").alias("ts"), replay._smap(data).alias("data"), old.alias("old")))
+    pairs = rows.select(got.alias("got"), want.alias("want")).collect()
+    assert [r.got for r in pairs] == [r.want for r in pairs]
+    assert '"id":null' in pairs[1].got and "type" not in pairs[1].got
+
+
+def test_record_data_is_not_written_from_a_map(spark):
+    assert "map(" not in plan_of(replay.order_detail(replay.Tables(spark, SF_SMALL)))
+
+
+def test_readers_step_per_key_adds_no_shuffle(spark):
+    def shuffles(name):
+        return plan_of(QUERIES[name](spark, SF_SMALL)).count("hashpartitioning(")
+
+    assert shuffles("upsert_latest_by_key") == shuffles("trade_order_detail")
+
+
+def test_carried_key_finds_the_same_rows(spark):
+    columns = [f.name for f in DWD_TRADE_ORDER_DETAIL.fields]
+    base = spark.createDataFrame(
+        [("a", "o1", 1), ("a", "o2", 1), ("a", "o3", 0), (None, "o4", 2), (None, "o5", 1),
+         ("", "o6", 1), ("b", None, None)], "id string, order_id string, ts long")
+    rows = base.select(*[c if c in base.columns else
+                         F.lit(None).cast(DWD_TRADE_ORDER_DETAIL[c].dataType).alias(c)
+                         for c in columns])
+
+    def last(df, **by):
+        topic = read_json_records(upsert_records(df, "id"), DWD_TRADE_ORDER_DETAIL)
+        out = latest_by_key(topic, "id", ["row_op_ts", "ts"], **by)
+        assert out.columns == columns
+        return {(r.id, r.order_id, r.ts) for r in out.collect()}
+
+    want = {("a", "o2", 1), (None, "o4", 2), ("", "o6", 1), ("b", None, None)}
+    assert last(rows) == want
+    assert last(with_key(rows), carried="_key_id") == want
+    assert "_key_id" not in upsert_records(with_key(rows)).select("value").first().value
