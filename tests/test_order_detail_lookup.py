@@ -1,0 +1,53 @@
+"""Order details get their source-type name before the joins deal them out."""
+
+import json
+import re
+
+from quayside.operators import trade
+from quayside.plans.queries import QUERIES
+from quayside.sources.ods import parse_ods_db
+from tests.conftest import SF_SMALL
+
+
+def record(table, **data):
+    return (json.dumps({"database": "gmall", "table": table, "type": "insert", "ts": 5,
+                        "data": data}),)
+
+
+def test_rows_are_those_of_a_lookup_after_the_joins(spark):
+    """Unknown and null codes, a code with two names, an id that repeats, a
+    detail without order, an order and a coupon that repeat."""
+    detail = [("a", "1", "x"), ("b", "1", "y"), ("c", "1", "z"), ("d", "2", None), ("e", "9", "x"),
+              ("a", "2", "x"), (None, "2", "x")]
+    ods = parse_ods_db(spark.createDataFrame(
+        [record("order_detail", id=i, order_id=o, source_type=s, sku_num="2", order_price="1.5")
+         for i, o, s in detail]
+        + [record("order_info", id=o, user_id=u) for o, u in (("1", "u"), ("2", "v"), ("2", "w"))]
+        + [record("order_detail_activity", order_detail_id="b", activity_id="act")]
+        + [record("order_detail_coupon", order_detail_id="b", coupon_id=c) for c in "pq"],
+        "value string"))
+    dic = spark.createDataFrame([("x", "ex"), ("y", "why"), ("y", "wye"), ("w", None)],
+                                "dic_code string, dic_name string")
+    after = trade.join_activity_coupon(
+        trade.order_detail_base(ods, "gmall"), trade.detail_activities(ods, "gmall"),
+        trade.detail_coupons(ods, "gmall"))
+    frames = [trade.trade_order_detail(ods, dic, "gmall"), trade.name_order_details(after, dic)]
+    assert frames[0].schema == frames[1].schema
+    got, want = (sorted(map(repr, f.drop("row_op_ts").collect())) for f in frames)
+    assert got == want
+    rows = sorted((str(r.id), r.user_id, r.source_type_name, str(r.activity_id), str(r.coupon_id))
+                  for r in frames[0].collect())
+    assert rows == sorted(
+        [("a", "u", "ex", "None", "None")] + [("a", u, "ex", "None", "None") for u in "vw"]
+        + [("None", u, "ex", "None", "None") for u in "vw"]
+        + [("b", "u", n, "act", c) for n in ("why", "wye") for c in "pq"])
+
+
+def test_details_without_a_name_are_not_dealt_out(spark):
+    """The dictionary is joined below the joins by order and by id."""
+    for name in ("trade_order_detail", "trade_cancel_detail"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin) \[([a-z_]+)#", plan)
+        at = [columns for _, columns in joins].index("source_type")
+        assert joins[at][0] == "BroadcastHashJoin"
+        assert [columns for _, columns in joins[:at]][-3:] == ["id", "id", "order_id"], joins
