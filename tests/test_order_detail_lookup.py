@@ -51,3 +51,10 @@ def test_details_without_a_name_are_not_dealt_out(spark):
         at = [columns for _, columns in joins].index("source_type")
         assert joins[at][0] == "BroadcastHashJoin"
         assert [columns for _, columns in joins[:at]][-3:] == ["id", "id", "order_id"], joins
+
+
+def test_details_read_the_lines_only_for_their_own_tables(spark):
+    """The tables that a filter leaves out are not read: lines for details,
+    activities and coupons, none for refunds."""
+    plan = QUERIES["trade_order_detail"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
+    assert len(re.findall(r"Relation \[l_orderkey#", plan.toString())) == 3
