@@ -28,6 +28,11 @@ from quayside.llm.piece_codec import Numbers
 
 TOKENIZER = "byte_bpe_50k.json"
 CACHE_PRETOKENS = 600_000       # about 200 bytes each
+GROUP = 1000                    # pre-tokens given to the library at once
+# The characters that stand for bytes in a byte-level vocabulary.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = dict(zip([*_PRINTED, *sorted({*range(256)} - {*_PRINTED})],
+                  map(chr, [*_PRINTED, *range(256, 324)]), strict=True))
 
 
 def written(buffer: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
@@ -60,6 +65,8 @@ class PretokenCodec:
         self.added = regex.compile("|".join(map(regex.escape, self.names)))
         # Characters after a pre-token that its end depends on, at most.
         self.reach = max([2, *map(len, self.names)])
+        # The library's model alone: pre-tokens need no further cut.
+        self.bare = Tokenizer(self.library.model)
         self.size = self.library.get_vocab_size()
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self._forget()
@@ -68,6 +75,19 @@ class PretokenCodec:
         self._cache = Numbers()                # pre-token -> its place in off
         # Buffers with room to grow; the cache's length says how far off is filled.
         self.flat, self.off = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
+        for k, name in enumerate(self.names):  # added tokens are no matter of the model
+            self._cache[name], self.flat[k], self.off[k + 1] = k, self.library.token_to_id(name), k + 1
+
+    def merged(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids per pre-token) by the library, for no added tokens."""
+        flat, size = [], []
+        for a in range(0, len(pretokens), GROUP):
+            group = pretokens[a:a + GROUP]
+            found = self.bare.encode([p.encode().decode("latin-1").translate(_BYTES) for p in group],
+                                     is_pretokenized=True, add_special_tokens=False)
+            flat.append(np.array(found.ids, np.int32))
+            size.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(group)))
+        return np.concatenate(flat), np.concatenate(size)
 
     def codes(self, pretokens: list[str]) -> np.ndarray:
         """Place of each pre-token's ids: ``flat[off[c]:off[c + 1]]``.
@@ -79,12 +99,10 @@ class PretokenCodec:
         cache = self._cache
         code = np.fromiter(map(cache.__getitem__, pretokens), np.int64, len(pretokens))
         if cache.fresh:
-            ids = [e.ids for e in self.library.encode_batch_fast(
-                cache.fresh, add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids, size = self.merged(cache.fresh)
             known = len(cache) - len(cache.fresh)
             end = int(self.off[known])
-            self.flat = written(self.flat, end, np.fromiter((i for x in ids for i in x), np.int32))
+            self.flat = written(self.flat, end, ids)
             self.off = written(self.off, known + 1, end + np.cumsum(size))
             cache.fresh = []
         return code
