@@ -81,7 +81,8 @@ _PRIOR = np.concatenate([(k << 20) + (np.arange(a, b) - a << w) for k, (a, b, w)
 _PRIOR_WIDE = np.repeat(1 << _WIDE, np.diff(_RANGES))
 # Both in whole numbers, so that all machines agree: 256 ln(p / (1 - p)) of a
 # probability in 4096ths, and parts of _ONE at 256ths from -8 to 8.
-_STRETCH = np.rint(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))).astype(np.int32)
+_STRETCH = np.rint(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))
+                   ).astype(np.int32)
 _SQUASH = np.clip(np.rint(_ONE / (1 + np.exp(-np.arange(-2048, 2048) / 256))),
                   _LEAST, _ONE - _LEAST).astype(np.int32)
 
@@ -147,22 +148,23 @@ class _Model:
         """One damped Newton step of each weight, by the steps' coding errors."""
         p = self.mixed[:n] >> 12
         error = (hits << 12) - tries * p                           # 4096ths
-        spread = tries * (p * (4096 - p) >> 12)
+        spread = tries * (p * (4096 - p) >> 12) >> 3               # 512ths
         for order, s in enumerate(x[:n] for x in self.s):
-            slope, bend = error * (s >> 2), spread * (s * s >> 8)  # 64ths; 256ths
+            slope, bend = error * (s >> 2), spread * (s * s >> 8)  # below 2**31 in an epoch
             for rows, at in ((slice(1, 8), 0), (slice(1, 8), 1), (slice(0, 1), 2)):
                 part = (slice(None), rows, at % 2)
                 up = slope[part].sum(axis=(1, 2), dtype=np.int64)
                 down = bend[part].sum(axis=(1, 2), dtype=np.int64)
                 self.weight[order, :n, at] += np.clip(
-                    (up << 17) // (down + (16 << 20)), -1 << 15, 1 << 15)
+                    (up << 14) // (down + (16 << 17)), -1 << 15, 1 << 15)
         np.clip(self.weight, 0, 3 << 16, out=self.weight)
 
     def _mix(self, n: int) -> None:
         """Parts of ``_ONE`` by case: ``first`` for the guess, ``second`` for
         order 1's other id."""
         s1 = _odds(self.by1[1, :n], self.by1[0, :n])
-        s1 = np.concatenate([s1[:, None, [2, 2]], np.broadcast_to(s1[:, None, :2], (n, 7, 2, 8))], axis=1)
+        s1 = np.concatenate([s1[:, None, [2, 2]], np.broadcast_to(s1[:, None, :2], (n, 7, 2, 8))],
+                            axis=1)
         s2 = _odds(self.by2[1, :n], self.by2[0, :n])[:, :, None, None]
         self.s = (s2, s1)
         of = np.array([[2, 2]] + 7 * [[0, 1]])
@@ -215,7 +217,8 @@ class _Model:
         new &= np.uint32(3 << 16)
         new |= ids
         np.copyto(new, value | np.uint32(1 << 16), where=now < np.uint32(4 << 16))
-        np.copyto(new, np.minimum(now + np.uint32(1 << 16), ids | np.uint32(7 << 16)), where=ids == value)
+        np.copyto(new, np.minimum(now + np.uint32(1 << 16), ids | np.uint32(7 << 16)),
+                  where=ids == value)
         self.entry[self.at.ravel()] = new.ravel()
         self.two[:n] = self.one[:n]
         self.one[:n] = value
@@ -268,7 +271,8 @@ class _Reader:
             words[i, :len(b) // 4] = np.frombuffer(b, "<u4", len(b) // 4)
         self.code = (words[:, 0] << np.uint64(31)) | (words[:, 1] >> np.uint64(1))
         # The code has 63 bits, so it takes the last bit of a word with the next one.
-        words[:, :-1] = (words[:, :-1] & np.uint64(1)) << np.uint64(31) | words[:, 1:] >> np.uint64(1)
+        words[:, :-1] = ((words[:, :-1] & np.uint64(1)) << np.uint64(31)
+                         | words[:, 1:] >> np.uint64(1))
         self.words = words.astype(np.uint32).ravel()
         self.at = np.arange(len(blocks)) * most + 1
         self.width = np.full(len(blocks), 2**63 - 1, np.uint64)
@@ -440,7 +444,8 @@ def _decoded(size: np.ndarray, reader: _Reader) -> np.ndarray:
             wide = (found >> 40) * part
             np.copyto(wide, _ONE - start, where=new)
             other = ~(hit | miss)
-            for kind, ids, a, b in ((other, model.other, first, second), (hit, model.guess, 0, first)):
+            for kind, ids, a, b in ((other, model.other, first, second),
+                                    (hit, model.guess, 0, first)):
                 np.copyto(value, ids, where=kind)
                 np.copyto(start, a, where=kind)
                 np.copyto(wide, b, where=kind)

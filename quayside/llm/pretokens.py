@@ -76,15 +76,16 @@ class PretokenCodec:
         # Buffers with room to grow; the cache's length says how far off is filled.
         self.flat, self.off = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
         for k, name in enumerate(self.names):  # added tokens are no matter of the model
-            self._cache[name], self.flat[k], self.off[k + 1] = k, self.library.token_to_id(name), k + 1
+            self._cache[name], self.flat[k] = k, self.library.token_to_id(name)
+            self.off[k + 1] = k + 1
 
     def merged(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids per pre-token) by the library, for no added tokens."""
         flat, size = [], []
         for a in range(0, len(pretokens), GROUP):
             group = pretokens[a:a + GROUP]
-            found = self.bare.encode([p.encode().decode("latin-1").translate(_BYTES) for p in group],
-                                     is_pretokenized=True, add_special_tokens=False)
+            printed = [p.encode().decode("latin-1").translate(_BYTES) for p in group]
+            found = self.bare.encode(printed, is_pretokenized=True, add_special_tokens=False)
             flat.append(np.array(found.ids, np.int32))
             size.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(group)))
         return np.concatenate(flat), np.concatenate(size)
